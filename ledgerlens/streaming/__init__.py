@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The reporting job this library re-expresses has no streams, watermarks,
+event-time windows or state: both of its jobs recompute whole tables and
+replace their results. Reports here are batch DataFrame functions; they can
+be run per micro-batch with ``foreachBatch`` if a caller needs that, but no
+streaming operator is part of the feature set.
+"""
