@@ -71,6 +71,15 @@ def to_eur(amount: Column, key: Column, rates: dict, *, on_unknown: str = "null"
     return converted
 
 
+def to_eur_cents(cents: Column, key: Column, rates: dict) -> Column:
+    """Per-row conversion rounded to whole cents (HALF_UP), as bigint.
+
+    ``round(cents * 0.01 * rate, 2)`` in integer cents, so a column of these
+    sums as a long; NULL for an unknown key.
+    """
+    return F.round(cents.cast("decimal(20,0)") * rate_of(key, rates), 0).cast("bigint")
+
+
 def as_money(c: Column) -> Column:
     """Result-edge type for money columns."""
     return c.cast("double")

@@ -219,8 +219,8 @@ def sum_amounts(spark, sf_dir):
 @query
 def cost_eur_row_round(spark, sf_dir):
     c = _src(spark, sf_dir).cost_line
-    eur = money.to_eur(money.to_units(F.col("amount")), F.col("currency_id"), money.RATES_BY_ID_COST)
-    return c.groupBy("project_id").agg(money.as_money(F.sum(eur)).alias("cost_amount_eur"))
+    eur = money.to_eur_cents(F.col("amount"), F.col("currency_id"), money.RATES_BY_ID_COST)
+    return c.groupBy("project_id").agg(money.as_money(money.to_units(F.sum(eur))).alias("cost_amount_eur"))
 
 
 @query

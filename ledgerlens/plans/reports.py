@@ -507,10 +507,14 @@ def accounting_dump(src, sort: bool = True) -> DataFrame:
     spt = src.product.select(F.col("translatable_id").alias("_spt_tid"), F.col("name").alias("product_name"))
     psp = (src.sales_line.join(spt, F.col("sales_product_id") == F.col("_spt_tid"), "left")
            .select(F.col("project_id").alias("_s_pid"), F.col("project_product_group_id").alias("_s_wid"),
-                   "product_name", "quantity", money.to_units(F.col("unit_price")).alias("unit_price"),
-                   money.to_units(F.col("quantity") * F.col("unit_price")).alias("_line")))
-    psp2 = _pick(psp, ["_s_pid", "_s_wid", "product_name"], ["unit_price"],
-                 [F.sum("quantity").alias("quantity"), F.sum("_line").alias("total_sales")])
+                   "product_name", "quantity", "unit_price",
+                   (F.col("quantity") * F.col("unit_price")).alias("_line")))
+    psp2 = (psp.groupBy("_s_pid", "_s_wid", "product_name")
+            .agg(aggs.first_null_first(F.col("unit_price")).alias("_price"), F.sum("quantity").alias("quantity"),
+                 F.sum("_line").alias("_sales"))
+            .select("_s_pid", "_s_wid", "product_name", "quantity",
+                    money.to_units(F.col("_price")).alias("unit_price"),
+                    money.to_units(F.col("_sales")).alias("total_sales")))
     ad = _invoice_groups(src)
     adg = _pick(ad.select(F.col("project_id").alias("_a_pid"), F.col("wave_id").alias("_a_wid"),
                           "invoiced_company", "submit_date", "invoice_number", "invoice_status",
@@ -637,10 +641,12 @@ def extended_export(src, weekly_rates: DataFrame, cutoff: str = "2018-01-01",
 def convert_two_roles(df: DataFrame, rates: DataFrame) -> DataFrame:
     """Join the weekly rate twice (sales week/code, invoice week/code); EUR
     rows get rate 1; amounts are divided by the rate (NULL when unknown)."""
-    r1 = rates.select(F.col("currency_code").alias("_r1_code"), F.col("week_nr").alias("_r1_week"),
-                      F.col("rate_avg").alias("_r1_rate"))
-    r2 = rates.select(F.col("currency_code").alias("_r2_code"), F.col("week_nr").alias("_r2_week"),
-                      F.col("rate_avg").alias("_r2_rate"))
+    # one row per (code, week): bounded by #codes x #weeks of history, not by
+    # the report's size, so it is broadcast and the report is not shuffled
+    r1 = F.broadcast(rates.select(F.col("currency_code").alias("_r1_code"), F.col("week_nr").alias("_r1_week"),
+                                  F.col("rate_avg").alias("_r1_rate")))
+    r2 = F.broadcast(rates.select(F.col("currency_code").alias("_r2_code"), F.col("week_nr").alias("_r2_week"),
+                                  F.col("rate_avg").alias("_r2_rate")))
     out = df.join(r1, (F.col("sales_week_nr") == F.col("_r1_week")) & (F.col("currency_code") == F.col("_r1_code")),
                   "left")
     out = out.withColumn("rate_avg", F.when(F.col("sales_currency") == "Euro", F.lit(1.0))
