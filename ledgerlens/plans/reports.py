@@ -206,7 +206,7 @@ def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
     invs = (src.project_invoice.select(F.col("project_id").alias("_pi_pid"), "invoice_id")
             .join(i, F.col("invoice_id") == F.col("_i_id"), "left"))
     invs = join_dim(invs, ist, F.col("invoice_status_id") == F.col("_ist_id"), "left", bounded=True)
-    invs = invs.select("_pi_pid", "invoice_id", "invoice_number", "invoice_status", "submit_date")
+    invs = invs.select("_pi_pid", "invoice_id", "invoice_number", "invoice_status", "submit_date").distinct()
     # invoice lines per (invoice, project code, product); currency 12 converted
     ipl = src.invoice_product.select(
         F.col("invoice_id").alias("_ip_iid"), "project_code", F.col("sales_product_id").alias("_ip_sp"),
@@ -220,14 +220,13 @@ def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
                             F.round(ip_units * money.rate_of(F.lit(12), money.RATES_BY_ID), 2))
                      .otherwise(ip_units).alias("invoice_amount"))
     # sales per (project, product), converted after summing
-    ta = _pick(src.sales_line.select(F.col("project_id").alias("_ta_pid"),
-                                     F.col("sales_product_id").alias("_ta_sp"), "currency_id",
-                                     (F.col("quantity") * F.col("unit_price")).alias("_c")),
-               ["_ta_pid", "_ta_sp"], ["currency_id"], [F.sum("_c").alias("_ta_sum")])
+    ta = (src.sales_line.groupBy(F.col("project_id").alias("_ta_pid"), F.col("sales_product_id").alias("_ta_sp"))
+          .agg(aggs.first_null_first(F.col("currency_id")).alias("currency_id"),
+               F.sum(F.col("quantity") * F.col("unit_price")).alias("_ta_sum")))
     ta = ta.select("_ta_pid", "_ta_sp", F.col("currency_id").alias("sales_currency"),
                    money.to_eur(money.to_units(F.col("_ta_sum")), F.col("currency_id"),
                                 money.RATES_BY_ID).alias("sales_amount"))
-    spt = src.product.select(F.col("translatable_id").alias("_spt_tid"), F.col("name").alias("product"))
+    spt = src.product.select(F.col("translatable_id").alias("_spt_tid"), F.col("name").alias("product")).distinct()
     # waves with the first time-log text of each wave
     tl = src.time_log.select(F.col("project_id").alias("_tl_pid"),
                              F.col("project_product_group_id").alias("_tl_wid"),
@@ -251,9 +250,13 @@ def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
                        "project_name", "client_name", "invoice_id", "invoice_number", "invoice_status",
                        "submit_date", "project_code", "sales_product_id", "product", "invoice_currency",
                        "sales_amount", "invoice_amount", "sales_currency", "time_log")
+    # Every input above is distinct on its join keys (products, clients,
+    # invoices, translations de-duplicated; invoice lines, sales and time logs
+    # reduced per key), so the rows are already one per group of the report's
+    # twelve keys and the picked columns need no further aggregation.
     group = ["project_id", "project_wave_id", "project_name", "client_name", "invoice_id", "invoice_number",
              "invoice_status", "submit_date", "project_code", "sales_product_id", "product", "invoice_currency"]
-    out = _pick(rows, group, ["sales_amount", "invoice_amount", "sales_currency", "time_log"])
+    out = rows
     return out.select(*group[:7], F.to_date("submit_date").alias("submit_date"), *group[8:],
                       money.as_money(F.col("sales_amount")).alias("sales_amount"),
                       money.as_money(F.col("invoice_amount")).alias("invoice_amount"),
@@ -294,9 +297,12 @@ def project_summary(src, demo_name: str = DEMO) -> DataFrame:
     """One line per project wave, client hierarchy and sales currency."""
     p = _live_projects(src)
     cg = parts.client_groups(src, demo_name).withColumnRenamed("project_id", "_cg_pid").drop("n_accounts")
-    sales = parts.sales_by_wave_currency(src).select(
-        F.col("project_id").alias("_s_pid"), F.col("wave_id").alias("_s_wid"), "revenue",
-        "sales_amount_eur", "sales_currency", "last_sales_date")
+    # sales rows of a wave that agree on (revenue, EUR value, currency name)
+    # form one report line; its picked last sale date is the earliest
+    sales = (parts.sales_by_wave_currency(src)
+             .groupBy(F.col("project_id").alias("_s_pid"), F.col("wave_id").alias("_s_wid"), "revenue",
+                      "sales_amount_eur", "sales_currency")
+             .agg(aggs.first_null_first(F.col("last_sales_date")).alias("last_sales_date")))
     ad = parts.invoice_headers_by_wave(src, with_eur=True)
     ad = _pick(ad.select(F.col("project_id").alias("_a_pid"), F.col("wave_id").alias("_a_wid"),
                          "invoice_amount", "invoice_amount_eur", "invoice_currency", "invoice_status",
@@ -326,11 +332,9 @@ def project_summary(src, demo_name: str = DEMO) -> DataFrame:
         "project_close_date", "last_sales_date",
         F.coalesce("submit_date", "last_sales_date", "project_close_date", "created_at").alias("project_date"),
         "project_status")
-    group = ["project_id", "wave_id", "project_wave_id", "client_managing_company", "managing_office",
-             "managing_company", "account_manager", "project_name", "revenue", "sales_amount_eur",
-             "sales_currency"]
-    picked = [c for c in SUMMARY_COLUMNS if c not in group and c != "client"]
-    out = _pick(rows, group, picked, [F.min(F.col("client")).alias("client")])
+    # one row per project, client group, wave and sales line already: every
+    # joined piece is unique on its keys, so no final aggregation is needed
+    out = rows
     money_cols = {"revenue", "sales_amount_eur", "invoice_amount", "invoice_amount_eur", "cost_amount",
                   "cost_amount_eur", "time_log"}
     date_cols = {"submit_date", "project_date", "last_sales_date", "project_close_date"}
@@ -627,7 +631,7 @@ def extended_export(src, weekly_rates: DataFrame, cutoff: str = "2018-01-01",
             "cost_amount_eur", "time_log"]
     dates = ["submit_date", "project_date", "last_sales_date", "project_close_date"]
     df = base.select(*[F.coalesce(money.as_money(F.col(c)), F.lit(0.0)).alias(c) if c in zero
-                       else F.col(c).cast("timestamp").alias(c) if c in dates else F.col(c)
+                       else F.col(c).cast("timestamp_ntz").alias(c) if c in dates else F.col(c)
                        for c in EXTENDED_COLUMNS])
     df = df.select("*",
                    keys.week_key(F.col("last_sales_date")).alias("sales_week_nr"),

@@ -20,6 +20,9 @@ BASE_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.ansi.enabled": "true",
+    # plans are built once per report from many Column calls; skip capturing
+    # a Python call site for each of them
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -38,7 +38,7 @@ def cents(c: Column) -> Column:
 
 def fx_date(k: Column) -> Column:
     """A date inside the FX series: FX_START + (k % FX_DAYS) days, as timestamp."""
-    return F.date_add(F.lit(FX_START).cast("date"), (k % FX_DAYS).cast("int")).cast("timestamp")
+    return F.date_add(F.lit(FX_START).cast("date"), (k % FX_DAYS).cast("int")).cast("timestamp_ntz")
 
 
 def _null_unless(cond: Column, value: Column) -> Column:
@@ -109,7 +109,7 @@ class Adapters:
             F.nullif(cid % 7, F.lit(0)).alias("invoiced_by"),
             (cid % 137).alias("responsible_account_manager_id"),
             F.col("c_nationkey").cast("bigint").alias("country_id"),
-            _null_unless(cid % 41 == 0, F.lit("2024-01-01").cast("timestamp")).alias("deleted_at"),
+            _null_unless(cid % 41 == 0, F.lit("2024-01-01").cast("timestamp_ntz")).alias("deleted_at"),
         )
 
     @cached_property
@@ -274,7 +274,7 @@ class Adapters:
             F.concat(F.lit("O"), F.col("id").cast("string")).alias("name"),
             F.col("id").alias("company_id"),
             (F.col("id") % 10).alias("managing_company_id"),
-            _null_unless(F.col("id") % 17 == 0, F.lit("2024-01-01").cast("timestamp")).alias("archived_at"),
+            _null_unless(F.col("id") % 17 == 0, F.lit("2024-01-01").cast("timestamp_ntz")).alias("archived_at"),
         )
 
     @cached_property

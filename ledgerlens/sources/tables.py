@@ -17,18 +17,45 @@ DRIVER_TABLES = (
 )
 
 
+# Declared schemas of the given tables (no inference job per read).
+DRIVER_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+              "o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+                "l_extendedprice double, l_discount double, l_tax double, l_returnflag string, "
+                "l_linestatus string, l_shipdate timestamp_ntz",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
+}
+
+
 class Tables(dict):
-    """Name -> DataFrame, read on first access."""
+    """Name -> DataFrame, read on first access with its declared schema."""
 
-    def __init__(self, spark: SparkSession, base_dir: str, fmt: str = "parquet"):
+    def __init__(self, spark: SparkSession, base_dir: str, fmt: str = "parquet",
+                 schemas: dict | None = None):
         super().__init__()
         self.spark = spark
         self.base_dir = base_dir
         self.fmt = fmt
+        self.schemas = DRIVER_SCHEMAS if schemas is None else schemas
 
     def __missing__(self, name: str) -> DataFrame:
         path = os.path.join(self.base_dir, f"{name}.{self.fmt}")
-        df = self.spark.read.format(self.fmt).load(path)
+        reader = self.spark.read.format(self.fmt)
+        if name in self.schemas:
+            reader = reader.schema(self.schemas[name])
+        df = reader.load(path)
         self[name] = df
         return df
 
