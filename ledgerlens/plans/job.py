@@ -19,9 +19,10 @@ from __future__ import annotations
 import argparse
 import datetime as _dt
 import os
+import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..session import build_session, checkpoint_dir
 from ..sources.adapters import Adapters
@@ -68,21 +69,28 @@ class SnapshotSource:
 
 def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None = None,
         run_date: _dt.date | None = None, fx_cutoff: str = "2018-01-01",
-        client_not_like: str = reports.TESTING, table_prefix: str = "") -> dict[str, str]:
+        client_not_like: str = reports.TESTING, table_prefix: str = "",
+        timings: dict | None = None) -> dict[str, str]:
     """Run the whole job; returns table name -> written path.
 
     ``table_prefix`` is prepended to every report table name (the FX tables
     keep their own names), for deployments whose readers expect a prefix.
+    ``timings``, when given, receives seconds per step.
     """
     run_date = run_date or _dt.date.today()
+    timings = {} if timings is None else timings
     shared = os.path.join(checkpoint_dir(spark), f"ledgerlens-snapshot-{uuid.uuid4().hex}")
+    t0 = time.perf_counter()
     snap = SnapshotSource(src, spark, shared)
+    timings["snapshot_sources"] = round(time.perf_counter() - t0, 3)
     written: dict[str, str] = {}
 
     def put(name: str, df: DataFrame) -> None:
+        t = time.perf_counter()
         path = os.path.join(out_dir, name)
         replace_table(df, name, path=path)
         written[name] = path
+        timings[name] = round(time.perf_counter() - t, 3)
 
     put("full_table", fx.wide_table(src.fx_wide))
     put("weekly_avg", fx.weekly_average_table(src.fx_wide, snap.currency))
@@ -104,7 +112,8 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
         put(table, df)
         if snapshot_dirs and key in ("cost_dump", "accounting_dump"):
             name = "cost_dump" if key == "cost_dump" else "accounting_cost_dump"
-            write_snapshot(spark.read.parquet(written[table]), snapshot_dirs, name, run_date)
+            ordered = spark.read.parquet(written[table]).orderBy(F.col("project_id").asc_nulls_first())
+            write_snapshot(ordered, snapshot_dirs, name, run_date)
 
     weekly = spark.read.parquet(written["weekly_avg"])
     put(table_prefix + EXTENDED_TABLE, reports.extended_export(snap, weekly, cutoff=fx_cutoff))

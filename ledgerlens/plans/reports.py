@@ -90,12 +90,11 @@ def sold_products(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
           .join(spt, F.col("sales_product_id") == F.col("_spt_tid"), "left")
           .join(cur, F.col("currency_id") == F.col("_cur_id"), "left")
           .join(cc, F.col("country_id") == F.col("_cc_id"), "left"))
-    rows = parts.with_waves(p.join(sp, F.col("project_id") == F.col("_sp_pid"), "inner"), src)
+    # everything that depends on the sales line only is computed once per
+    # line, before the line is repeated for every wave of its project
     amount = money.to_units(F.col("quantity") * F.col("unit_price"))
-    return rows.select(
-        "project_id",
-        keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_wave_id"),
-        "sales_product_id", "product",
+    sp = sp.select(
+        "_sp_pid", "sales_product_id", "product",
         scalars.product_category(F.col("product")).alias("product_category"),
         scalars.product_sub_category(F.col("product")).alias("product_sub_category"),
         money.as_money(money.to_units(F.col("unit_price"))).alias("unit_price"),
@@ -103,7 +102,13 @@ def sold_products(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
         money.as_money(money.to_eur(amount, F.col("currency"), money.RATES_BY_CODE_SALES,
                                     digits=None)).alias("product_amount_eur"),
         money.as_money(amount).alias("original_product_amount"),
-        "target_country", "created_at", "updated_at",
+        "target_country", "created_at", "updated_at")
+    rows = parts.with_waves(p.join(sp, F.col("project_id") == F.col("_sp_pid"), "inner"), src)
+    return rows.select(
+        "project_id",
+        keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_wave_id"),
+        "sales_product_id", "product", "product_category", "product_sub_category", "unit_price", "currency",
+        "product_amount_eur", "original_product_amount", "target_country", "created_at", "updated_at",
     )
 
 
@@ -143,8 +148,12 @@ def project_time(src) -> DataFrame:
 
 
 # ---------------------------------------------------------------- R5
-def invoice_lines(src, sort: bool = True) -> DataFrame:
-    """Invoice lines per project; status joined on the translation row id."""
+def invoice_lines(src, sort: bool = False) -> DataFrame:
+    """Invoice lines per project; status joined on the translation row id.
+
+    ``sort``: order by project id (for a human-facing file; a table has no
+    row order, and a global sort costs a sampling pass plus a range shuffle).
+    """
     p = src.project.select(F.col("id").alias("project_id"), "project_code")
     pi = src.project_invoice.select(F.col("project_id").alias("_pi_pid"), F.col("invoice_id").alias("_pi_iid"))
     i = src.invoice.select(F.col("id").alias("invoice_id"), F.col("number").alias("invoice_number"),
@@ -482,7 +491,7 @@ def omnibus_cost_dump(src) -> DataFrame:
         "cost_comment", "cost_type", money.as_money(hours).alias("time_log"))
 
 
-def cost_dump(src, sort: bool = True) -> DataFrame:
+def cost_dump(src, sort: bool = False) -> DataFrame:
     """Project and omnibus cost dumps in one table (R8 ∪ R9)."""
     r8 = project_cost_dump(src)
     if sort:
@@ -498,7 +507,7 @@ ACCOUNTING_COLUMNS = [
 ]
 
 
-def accounting_dump(src, sort: bool = True) -> DataFrame:
+def accounting_dump(src, sort: bool = False) -> DataFrame:
     """Accounting cost dump: per wave, cost line, sold product and invoice."""
     p = _live_projects_all(src)
     cl = parts.clients_per_project(src).drop("n_accounts")
