@@ -322,16 +322,12 @@ def project_summary(src, demo_name: str = DEMO) -> DataFrame:
     pc = parts.cost_by_wave(src).withColumnsRenamed({"project_id": "_c_pid", "wave_id": "_c_wid"})
     ptl = parts.time_by_wave(src).withColumnsRenamed({"project_id": "_t_pid", "wave_id": "_t_wid"})
 
-    # everything at wave grain first (joined on the integer pair) ...
-    w = parts.waves(src).withColumnRenamed("_w_pid", "project_id")
-    w = (w.join(sales, (F.col("project_id") == F.col("_s_pid")) & (F.col("wave_id") == F.col("_s_wid")), "left")
-         .join(ad, (F.col("project_id") == F.col("_a_pid")) & (F.col("wave_id") == F.col("_a_wid")), "left")
-         .join(pc, (F.col("project_id") == F.col("_c_pid")) & (F.col("wave_id") == F.col("_c_wid")), "left")
-         .join(ptl, (F.col("project_id") == F.col("_t_pid")) & (F.col("wave_id") == F.col("_t_wid")), "left")
-         .withColumnRenamed("project_id", "_w_pid"))
-    # ... then onto the projects and their client groups
-    rows = (p.join(cg, F.col("project_id") == F.col("_cg_pid"), "left")
-            .join(w, F.col("project_id") == F.col("_w_pid"), "left"))
+    # project-level spine (projects, client groups) expanded to waves once;
+    # every wave-grain piece then joins on the same (project_id, wave_id) key
+    # set, so the spine keeps its partitioning from one join to the next
+    spine = parts.with_waves(p.join(cg, F.col("project_id") == F.col("_cg_pid"), "left"), src)
+    rows = parts.join_on_wave(spine, [(sales, "_s_pid", "_s_wid"), (ad, "_a_pid", "_a_wid"),
+                                      (pc, "_c_pid", "_c_wid"), (ptl, "_t_pid", "_t_wid")])
     rows = rows.select(
         "project_id", "wave_id", keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_wave_id"),
         "client_managing_company", "managing_office", "managing_company", "account_manager",
@@ -397,13 +393,9 @@ def project_cost_dump(src) -> DataFrame:
                 ["invoice_status"], [F.count(F.lit(1)).alias("n_ad")])
     ptl = parts.time_by_wave(src).withColumnsRenamed({"project_id": "_t_pid", "wave_id": "_t_wid"})
 
-    w = parts.waves(src).withColumnRenamed("_w_pid", "project_id")
-    w = (w.join(pcg, (F.col("project_id") == F.col("_pc_pid")) & (F.col("wave_id") == F.col("_pc_wid")), "left")
-         .join(adg, (F.col("project_id") == F.col("_a_pid")) & (F.col("wave_id") == F.col("_a_wid")), "left")
-         .join(ptl, (F.col("project_id") == F.col("_t_pid")) & (F.col("wave_id") == F.col("_t_wid")), "left")
-         .withColumnRenamed("project_id", "_w_pid"))
-    rows = (p.join(cl, F.col("project_id") == F.col("_cl_pid"), "left")
-            .join(w, F.col("project_id") == F.col("_w_pid"), "left"))
+    spine = parts.with_waves(p.join(cl, F.col("project_id") == F.col("_cl_pid"), "left"), src)
+    rows = parts.join_on_wave(spine, [(pcg, "_pc_pid", "_pc_wid"), (adg, "_a_pid", "_a_wid"),
+                                      (ptl, "_t_pid", "_t_wid")])
     mult = (F.coalesce(F.col("n_accounts"), F.lit(1)) * F.coalesce(F.col("n_pc"), F.lit(1))
             * F.coalesce(F.col("n_ad"), F.lit(1)))
     fanout_sum = money.to_units(F.col("amount") * mult)
@@ -535,14 +527,9 @@ def accounting_dump(src, sort: bool = False) -> DataFrame:
                 ["_a_pid", "_a_wid", "invoiced_company", "submit_date", "invoice_number", "invoice_status"],
                 ["invoice_amount"])
     ptl = parts.time_by_wave(src).withColumnsRenamed({"project_id": "_t_pid", "wave_id": "_t_wid"})
-    w = parts.waves(src).withColumnRenamed("_w_pid", "project_id")
-    w = (w.join(pc, (F.col("project_id") == F.col("_pc_pid")) & (F.col("wave_id") == F.col("_pc_wid")), "left")
-         .join(psp2, (F.col("project_id") == F.col("_s_pid")) & (F.col("wave_id") == F.col("_s_wid")), "left")
-         .join(adg, (F.col("project_id") == F.col("_a_pid")) & (F.col("wave_id") == F.col("_a_wid")), "left")
-         .join(ptl, (F.col("project_id") == F.col("_t_pid")) & (F.col("wave_id") == F.col("_t_wid")), "left")
-         .withColumnRenamed("project_id", "_w_pid"))
-    rows = (p.join(cl, F.col("project_id") == F.col("_cl_pid"), "left")
-            .join(w, F.col("project_id") == F.col("_w_pid"), "left"))
+    spine = parts.with_waves(p.join(cl, F.col("project_id") == F.col("_cl_pid"), "left"), src)
+    rows = parts.join_on_wave(spine, [(pc, "_pc_pid", "_pc_wid"), (psp2, "_s_pid", "_s_wid"),
+                                      (adg, "_a_pid", "_a_wid"), (ptl, "_t_pid", "_t_wid")])
     out = rows.select(
         "project_id", keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_cost_id"),
         "managing_company", "project_name", "client", "invoiced_company",
@@ -607,15 +594,12 @@ def extended_export_base(src, demo_name: str = DEMO) -> DataFrame:
     pc = parts.cost_by_wave(src).withColumnsRenamed({"project_id": "_c_pid", "wave_id": "_c_wid"})
     ptl = parts.time_by_wave(src).withColumnsRenamed({"project_id": "_t_pid", "wave_id": "_t_wid"})
 
-    w = parts.waves(src).withColumnRenamed("_w_pid", "project_id")
-    w = (w.join(s, (F.col("project_id") == F.col("_s_pid")) & (F.col("wave_id") == F.col("_s_wid")), "left")
-         .join(ad, (F.col("project_id") == F.col("_a_pid")) & (F.col("wave_id") == F.col("_a_wid"))
-               & (F.col("product") == F.col("_a_product")), "left")
-         .join(pc, (F.col("project_id") == F.col("_c_pid")) & (F.col("wave_id") == F.col("_c_wid")), "left")
-         .join(ptl, (F.col("project_id") == F.col("_t_pid")) & (F.col("wave_id") == F.col("_t_wid")), "left")
-         .withColumnRenamed("project_id", "_w_pid"))
-    rows = (p.join(cg, F.col("project_id") == F.col("_cg_pid"), "left")
-            .join(w, F.col("project_id") == F.col("_w_pid"), "left"))
+    # sales and invoices meet per (wave, product) before the spine
+    sa = s.join(ad, (F.col("_s_pid") == F.col("_a_pid")) & (F.col("_s_wid") == F.col("_a_wid"))
+                & (F.col("product") == F.col("_a_product")), "left")
+    spine = parts.with_waves(p.join(cg, F.col("project_id") == F.col("_cg_pid"), "left"), src)
+    rows = parts.join_on_wave(spine, [(sa, "_s_pid", "_s_wid"), (pc, "_c_pid", "_c_wid"),
+                                      (ptl, "_t_pid", "_t_wid")])
     return rows.select(
         "project_id", keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_wave_id"),
         "client_managing_company", "managing_office", "managing_company", "project_name", "client", "product",
