@@ -7,9 +7,9 @@ Order and data flow:
    consistent snapshot, and their lineage starts at files, so a lost executor
    recomputes from the snapshot instead of the sources;
 2. X1 (wide rates) and X2 (long rates with weekly averages) are written;
-3. R1-R10 are built and written; R8 ∪ R9 and R10 also get a dated CSV copy;
-4. R11 reads X2 back from its written table (the one cross-job dependency)
-   and is written last.
+3. R1-R11 are built and written as concurrent jobs (R11 reads X2 back from
+   its written table, the one cross-job dependency); R8 ∪ R9 and R10 also
+   get a dated CSV copy, sorted by project.
 
 Usage (test tables):  python -m ledgerlens.plans.job --sf-dir DIR --out DIR
 """
@@ -21,6 +21,7 @@ import datetime as _dt
 import os
 import time
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -50,14 +51,22 @@ EXTENDED_TABLE = "data_export_ext"
 
 
 class SnapshotSource:
-    """A source whose shared views were written once to the shared folder."""
+    """A source whose shared views were written once to the shared folder.
 
-    def __init__(self, src, spark: SparkSession, folder: str, names=SHARED_VIEWS):
+    The views are written concurrently (independent Spark jobs in one
+    session), then read back from the files.
+    """
+
+    def __init__(self, src, spark: SparkSession, folder: str, names=SHARED_VIEWS, workers: int = 4):
         self._src = src
         self._views: dict[str, DataFrame] = {}
-        for name in names:
+
+        def write(name):
             path = os.path.join(folder, name)
             getattr(src, name).write.mode("overwrite").parquet(path)
+            return name, path
+
+        for name, path in _in_parallel(write, names, workers):
             self._views[name] = spark.read.parquet(path)
 
     def __getattr__(self, name):
@@ -67,34 +76,42 @@ class SnapshotSource:
         return getattr(self.__dict__["_src"], name)
 
 
+def _in_parallel(fn, items, workers: int):
+    """Run ``fn`` over ``items`` as concurrent Spark jobs; re-raise the first
+    failure."""
+    items = list(items)
+    if workers <= 1:
+        return [fn(i) for i in items]
+    with ThreadPoolExecutor(max_workers=workers) as pool:
+        return list(pool.map(fn, items))
+
+
 def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None = None,
         run_date: _dt.date | None = None, fx_cutoff: str = "2018-01-01",
         client_not_like: str = reports.TESTING, table_prefix: str = "",
-        timings: dict | None = None) -> dict[str, str]:
+        timings: dict | None = None, workers: int = 4) -> dict[str, str]:
     """Run the whole job; returns table name -> written path.
 
     ``table_prefix`` is prepended to every report table name (the FX tables
     keep their own names), for deployments whose readers expect a prefix.
-    ``timings``, when given, receives seconds per step.
+    ``timings``, when given, receives seconds per step (steps overlap when
+    ``workers`` > 1: independent tables are written as concurrent jobs).
     """
     run_date = run_date or _dt.date.today()
     timings = {} if timings is None else timings
     shared = os.path.join(checkpoint_dir(spark), f"ledgerlens-snapshot-{uuid.uuid4().hex}")
     t0 = time.perf_counter()
-    snap = SnapshotSource(src, spark, shared)
+    snap = SnapshotSource(src, spark, shared, workers=workers)
     timings["snapshot_sources"] = round(time.perf_counter() - t0, 3)
     written: dict[str, str] = {}
 
-    def put(name: str, df: DataFrame) -> None:
+    def put(name: str, build) -> None:
         t = time.perf_counter()
         path = os.path.join(out_dir, name)
-        replace_table(df, name, path=path)
+        replace_table(build(), name, path=path)
         written[name] = path
         timings[name] = round(time.perf_counter() - t, 3)
 
-    put("full_table", fx.wide_table(src.fx_wide))
-    put("weekly_avg", fx.weekly_average_table(src.fx_wide, snap.currency))
-
     builders = {
         "project_master": lambda: reports.project_master(snap),
         "sold_products": lambda: reports.sold_products(snap, not_like=client_not_like),
@@ -106,17 +123,22 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
         "cost_dump": lambda: reports.cost_dump(snap),
         "accounting_dump": lambda: reports.accounting_dump(snap),
     }
-    for base, key in RESULT_TABLES.items():
-        table = table_prefix + base
-        df = builders[key]()
-        put(table, df)
-        if snapshot_dirs and key in ("cost_dump", "accounting_dump"):
-            name = "cost_dump" if key == "cost_dump" else "accounting_cost_dump"
-            ordered = spark.read.parquet(written[table]).orderBy(F.col("project_id").asc_nulls_first())
-            write_snapshot(ordered, snapshot_dirs, name, run_date)
-
+    # FX tables first: the extended export reads the weekly rates back from
+    # their written table (the one cross-job dependency) ...
+    _in_parallel(lambda step: put(*step), [
+        ("full_table", lambda: fx.wide_table(src.fx_wide)),
+        ("weekly_avg", lambda: fx.weekly_average_table(src.fx_wide, snap.currency))], workers)
     weekly = spark.read.parquet(written["weekly_avg"])
-    put(table_prefix + EXTENDED_TABLE, reports.extended_export(snap, weekly, cutoff=fx_cutoff))
+    builders["extended_export"] = lambda: reports.extended_export(snap, weekly, cutoff=fx_cutoff)
+    # ... then every report as concurrent jobs
+    steps = [(table_prefix + base, builders[key]) for base, key in RESULT_TABLES.items()]
+    steps.append((table_prefix + EXTENDED_TABLE, builders["extended_export"]))
+    _in_parallel(lambda step: put(*step), steps, workers)
+
+    if snapshot_dirs:
+        for base, name in (("cost_data_export", "cost_dump"), ("accounting_data_export", "accounting_cost_dump")):
+            ordered = spark.read.parquet(written[table_prefix + base]).orderBy(F.col("project_id").asc_nulls_first())
+            write_snapshot(ordered, snapshot_dirs, name, run_date)
     return written
 
 
