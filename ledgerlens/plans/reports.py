@@ -71,6 +71,12 @@ def project_master(src, statuses=ACTIVE_STATUSES, demo_name: str = DEMO) -> Data
     ).distinct()
 
 
+def project_master_duplicate_waves(master: DataFrame) -> DataFrame:
+    """Post-check of the master report: rows whose wave key occurs more than
+    once (several client companies on one wave), every copy kept."""
+    return aggs.duplicate_keys(master, ["project_wave_id"])
+
+
 # ---------------------------------------------------------------- R2
 def sold_products(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
                   demo_name: str = DEMO) -> DataFrame:

@@ -42,6 +42,16 @@ def test_project_master_filters_and_hierarchy(spark):
                    (10, "10/101", "UnderDemo", None, "Invoicer", "No Account Manager")]
 
 
+def test_master_duplicate_waves(spark):
+    src = Source(
+        spark, project_status=STATUSES, company=_companies(),
+        project=[(10, 1, 1, "P10", "C-10", D, None, None, None), (14, 1, 1, "P14", "C-14", D, None, None, None)],
+        wave=[(100, 10), (140, 14)], project_account_view=[(10, 2), (10, 3), (14, 2)],
+        sales_line=[(1, 10, 100, 5, 1, 100, 3, 1, D, D), (2, 14, 140, 5, 1, 100, 3, 1, D, D)])
+    dup = reports.project_master_duplicate_waves(reports.project_master(src))
+    assert sorted(r.client_company for r in dup.collect()) == ["Client A", "Client B"]
+
+
 def test_sold_products_filters_client_names(spark):
     src = Source(
         spark, project_status=STATUSES, company=_companies(), currency=CURRENCIES,
