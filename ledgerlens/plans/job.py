@@ -89,13 +89,15 @@ def _in_parallel(fn, items, workers: int):
 def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None = None,
         run_date: _dt.date | None = None, fx_cutoff: str = "2018-01-01",
         client_not_like: str = reports.TESTING, table_prefix: str = "",
-        timings: dict | None = None, workers: int = 4) -> dict[str, str]:
+        timings: dict | None = None, workers: int = 4, keep_snapshot: bool = False) -> dict[str, str]:
     """Run the whole job; returns table name -> written path.
 
     ``table_prefix`` is prepended to every report table name (the FX tables
     keep their own names), for deployments whose readers expect a prefix.
     ``timings``, when given, receives seconds per step (steps overlap when
     ``workers`` > 1: independent tables are written as concurrent jobs).
+    The run's source snapshot is removed from the shared folder once every
+    result is written, unless ``keep_snapshot``.
     """
     run_date = run_date or _dt.date.today()
     timings = {} if timings is None else timings
@@ -139,9 +141,18 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
         for base, name in (("cost_data_export", "cost_dump"), ("accounting_data_export", "accounting_cost_dump")):
             ordered = spark.read.parquet(written[table_prefix + base]).orderBy(F.col("project_id").asc_nulls_first())
             write_snapshot(ordered, snapshot_dirs, name, run_date)
+    if not keep_snapshot:
+        _delete_path(spark, shared)
     return written
 
 
+def _delete_path(spark: SparkSession, path: str) -> None:
+    """Recursive delete on whatever file system ``path`` lives on."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", required=True)

@@ -11,6 +11,8 @@ SF = "/root/testdata/sf0.001"
 
 def test_job_writes_every_table(spark, tmp_path):
     src = Adapters(load_tables(spark, SF))
+    ckpt = spark.conf.get("spark.checkpoint.dir").replace("file:", "")
+    before = set(os.listdir(ckpt))
     out = str(tmp_path / "out")
     snaps = [str(tmp_path / "files_a"), str(tmp_path / "files_b")]
     written = job.run(spark, src, out, snaps, run_date=dt.date(2024, 2, 1), fx_cutoff=FX_CUTOFF,
@@ -22,6 +24,8 @@ def test_job_writes_every_table(spark, tmp_path):
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
     ext = spark.read.parquet(written[job.EXTENDED_TABLE])
     assert ext.count() == QUERIES["report_extended_fx"](spark, SF).count()
+    # the run's source snapshot is removed once the results are written
+    assert not [p for p in set(os.listdir(ckpt)) - before if p.startswith("ledgerlens-snapshot-")]
     for d in snaps:
         assert os.path.isdir(os.path.join(d, "cost_dump", "run_date=2024_02_01"))
         assert os.path.isdir(os.path.join(d, "accounting_cost_dump", "run_date=2024_02_01"))
