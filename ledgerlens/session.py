@@ -16,6 +16,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "3",
     # split a hot join key even when that costs one more exchange downstream
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # at run time, hash-join instead of sort-merge when every build-side
+    # partition is measured under this size (no sort; bounded hash map)
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
