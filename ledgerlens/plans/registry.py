@@ -310,7 +310,7 @@ def fx_unpivot(spark, sf_dir):
 def _weekly_on_rows(src) -> DataFrame:
     long = src.fx_long.select("date", "currency",
                               money.to_units(F.col("rate_cents")).cast(fx.DAILY_RATE).alias("exchange_rate"))
-    long = long.withColumnsRenamed({}).withColumn("week_nr", keys.week_key(F.col("date")))
+    long = long.withColumn("week_nr", keys.week_key(F.col("date")))
     w = Window.partitionBy("currency", "week_nr")
     return long.withColumn("weekly_avg", F.avg("exchange_rate").over(w).cast(fx.WEEKLY_RATE))
 

@@ -30,7 +30,14 @@ def _pick(df: DataFrame, group: list[str], picked: list[str], extra=()) -> DataF
     return aggs.pick_one_row(df, group, picked, extra)
 
 
-def _client_filter(name: Column, not_like: str, demo_name: str) -> Column:
+def _client_filter(name: Column, not_like: str, demo_name: str, case_insensitive: bool = False) -> Column:
+    """``name NOT LIKE pattern AND name <> demo``; NULL names fail both tests.
+
+    ``case_insensitive`` compares under the UTF8_LCASE collation, as a source
+    database with a case-insensitive collation would.
+    """
+    if case_insensitive:
+        name = F.collate(name, "UTF8_LCASE")
     return (~name.like(not_like)) & (name != F.lit(demo_name))
 
 
@@ -79,13 +86,13 @@ def project_master_duplicate_waves(master: DataFrame) -> DataFrame:
 
 # ---------------------------------------------------------------- R2
 def sold_products(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
-                  demo_name: str = DEMO) -> DataFrame:
+                  demo_name: str = DEMO, case_insensitive: bool = False) -> DataFrame:
     """Sold products: one row per project wave x sales line x translation."""
     p = parts.projects_with_status(src, statuses).select(F.col("id").alias("project_id"),
                                                          F.col("company_id").alias("_pcomp"))
     ccc = src.company.select(F.col("id").alias("_ccc_id"), F.col("name").alias("_ccc_name"))
     p = (p.join(ccc, F.col("_pcomp") == F.col("_ccc_id"), "inner")
-         .where(_client_filter(F.col("_ccc_name"), not_like, demo_name))
+         .where(_client_filter(F.col("_ccc_name"), not_like, demo_name, case_insensitive))
          .select("project_id"))
     spt = src.product.select(F.col("translatable_id").alias("_spt_tid"), F.col("name").alias("product"))
     cur = src.currency.select(F.col("id").alias("_cur_id"), F.col("iso_code").alias("currency"))
@@ -201,7 +208,7 @@ def invoice_lines(src, sort: bool = False) -> DataFrame:
 
 # ---------------------------------------------------------------- R6
 def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
-                demo_name: str = DEMO) -> DataFrame:
+                demo_name: str = DEMO, case_insensitive: bool = False) -> DataFrame:
     """Sales against invoices per project, wave, client, invoice and product."""
     p = parts.projects_with_status(src, statuses).select(F.col("id").alias("project_id"),
                                                          F.col("name").alias("project_name"))
@@ -211,7 +218,7 @@ def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
     # client companies that pass the name filters
     c2 = src.company.select(F.col("id").alias("_c2_id"), F.col("name").alias("client_name"))
     clients = (src.project_account.join(c2, F.col("company_id") == F.col("_c2_id"), "inner")
-               .where(_client_filter(F.col("client_name"), not_like, demo_name))
+               .where(_client_filter(F.col("client_name"), not_like, demo_name, case_insensitive))
                .select(F.col("project_id").alias("_cl_pid"), "client_name").distinct())
     # invoices of the project with number, status (by row id) and date
     i = src.invoice.select(F.col("id").alias("_i_id"), F.col("number").alias("invoice_number"),

@@ -2,7 +2,6 @@ import datetime as dt
 import io
 import zipfile
 
-from pyspark.sql import functions as F
 
 from ledgerlens.plans import fx, reports
 from ledgerlens.sources import fx_files

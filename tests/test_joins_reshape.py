@@ -1,4 +1,3 @@
-from pyspark.sql import functions as F
 
 from ledgerlens.operators import joins, reshape
 from conftest import rows

@@ -68,6 +68,17 @@ def test_sold_products_filters_client_names(spark):
                    ("10/101", "SMALL", "red bolt", "USD", 30.03, 25.5255)]
 
 
+def test_client_filter_case_insensitive_option(spark):
+    comps = _companies() + [(10, "acme TESTING ltd", None, None, None, 1, None)]
+    src = Source(
+        spark, project_status=STATUSES, company=comps, currency=CURRENCIES,
+        project=[(10, 1, 10, "P10", "C", D, None, None, None)], wave=[(100, 10)],
+        product=[(6, 5, "SMALL-Brand#1 - red bolt")],
+        sales_line=[(1, 10, 100, 5, 1, 100, 3, None, D, D)])
+    assert reports.sold_products(src).count() == 1
+    assert reports.sold_products(src, case_insensitive=True).count() == 0
+
+
 def _dump_source(spark):
     return Source(
         spark, project_status=STATUSES, company=_companies(), currency=CURRENCIES, user=[(1, "Ann", None)],
