@@ -44,7 +44,8 @@ def main() -> None:
     parts = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(cpus)))
     workers = int(os.environ.get("BENCH_JOB_WORKERS", "4"))
     spark = build_session(f"local[{cpus}]", app="ledgerlens-bench", shuffle_partitions=parts,
-                          extra={"spark.driver.memory": "16g", "spark.scheduler.mode": os.environ.get("BENCH_SCHEDULER", "FIFO")})
+                          extra={"spark.driver.memory": "16g", "spark.scheduler.mode": os.environ.get("BENCH_SCHEDULER", "FIFO"),
+                                 **json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}"))})
     scratch = tempfile.mkdtemp(prefix="ledgerlens-bench-")
     if not spark.conf.get("spark.checkpoint.dir", None):
         checkpoint_dir(spark, os.path.join(scratch, "checkpoints"))
