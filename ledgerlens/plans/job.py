@@ -12,6 +12,8 @@ Order and data flow:
    get a dated CSV copy, sorted by project.
 
 Usage (test tables):  python -m ledgerlens.plans.job --sf-dir DIR --out DIR
+Usage (source DB):    python -m ledgerlens.plans.job --jdbc-url URL --jdbc-properties FILE
+                          --fx-archives 'landing/*.zip' --out DIR
 """
 
 from __future__ import annotations
@@ -155,7 +157,11 @@ def _delete_path(spark: SparkSession, path: str) -> None:
 
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser()
-    ap.add_argument("--sf-dir", required=True)
+    ap.add_argument("--sf-dir", help="test tables (parquet); or use --jdbc-url")
+    ap.add_argument("--jdbc-url", help="source database; reads the reporting schema's base tables")
+    ap.add_argument("--jdbc-properties", help="JSON file with user/password/driver (never printed)")
+    ap.add_argument("--jdbc-schema", default=None)
+    ap.add_argument("--fx-archives", help="glob of landed rate archives (zip with one wide CSV)")
     ap.add_argument("--out", required=True)
     ap.add_argument("--snapshot-dir", action="append", default=[])
     ap.add_argument("--master", default=None)
@@ -166,7 +172,18 @@ def main(argv=None) -> None:
     spark = build_session(a.master)
     if not spark.conf.get("spark.checkpoint.dir", None):
         checkpoint_dir(spark, os.path.join(a.out, "_checkpoints"))
-    src = Adapters(load_tables(spark, a.sf_dir))
+    if a.jdbc_url:
+        import json
+
+        from ..sources.fx_files import long_to_wide, read_zipped_rates_long
+        from ..sources.jdbc import JdbcSource
+
+        with open(a.jdbc_properties) as fh:
+            props = json.load(fh)
+        wide = long_to_wide(read_zipped_rates_long(spark, a.fx_archives).drop("source"))
+        src = JdbcSource(spark, a.jdbc_url, props, schema=a.jdbc_schema, fx_wide=wide)
+    else:
+        src = Adapters(load_tables(spark, a.sf_dir))
     for name, path in run(spark, src, a.out, a.snapshot_dir, fx_cutoff=a.fx_cutoff,
                           client_not_like=a.client_not_like, table_prefix=a.table_prefix).items():
         print(name, path)
