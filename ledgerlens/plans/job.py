@@ -91,7 +91,8 @@ def _in_parallel(fn, items, workers: int):
 def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None = None,
         run_date: _dt.date | None = None, fx_cutoff: str = "2018-01-01",
         client_not_like: str = reports.TESTING, table_prefix: str = "",
-        timings: dict | None = None, workers: int = 4, keep_snapshot: bool = False) -> dict[str, str]:
+        timings: dict | None = None, workers: int = 4, keep_snapshot: bool = False,
+        snapshot_views=SHARED_VIEWS) -> dict[str, str]:
     """Run the whole job; returns table name -> written path.
 
     ``table_prefix`` is prepended to every report table name (the FX tables
@@ -99,13 +100,16 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
     ``timings``, when given, receives seconds per step (steps overlap when
     ``workers`` > 1: independent tables are written as concurrent jobs).
     The run's source snapshot is removed from the shared folder once every
-    result is written, unless ``keep_snapshot``.
+    result is written, unless ``keep_snapshot``. ``snapshot_views`` chooses
+    what is snapshotted: all shared views for a database source (one
+    consistent read of the database); ``()`` when the sources are already
+    well-split files and a second copy of the facts is not worth its write.
     """
     run_date = run_date or _dt.date.today()
     timings = {} if timings is None else timings
     shared = os.path.join(checkpoint_dir(spark), f"ledgerlens-snapshot-{uuid.uuid4().hex}")
     t0 = time.perf_counter()
-    snap = SnapshotSource(src, spark, shared, workers=workers)
+    snap = SnapshotSource(src, spark, shared, names=snapshot_views, workers=workers)
     timings["snapshot_sources"] = round(time.perf_counter() - t0, 3)
     written: dict[str, str] = {}
 

@@ -29,3 +29,12 @@ def test_job_writes_every_table(spark, tmp_path):
     for d in snaps:
         assert os.path.isdir(os.path.join(d, "cost_dump", "run_date=2024_02_01"))
         assert os.path.isdir(os.path.join(d, "accounting_cost_dump", "run_date=2024_02_01"))
+
+
+def test_job_without_snapshot(spark, tmp_path):
+    src = Adapters(load_tables(spark, SF))
+    written = job.run(spark, src, str(tmp_path / "out"), fx_cutoff=FX_CUTOFF, client_not_like="%MACHINERY%",
+                      snapshot_views=(), workers=2)
+    got = spark.read.parquet(written["cost_data_export"])
+    exp = QUERIES["report_cost_dump"](spark, SF)
+    assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
