@@ -22,6 +22,7 @@ import os
 import sys
 import tempfile
 import time
+import uuid
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -46,9 +47,11 @@ def main() -> None:
     spark = build_session(f"local[{cpus}]", app="ledgerlens-bench", shuffle_partitions=parts,
                           extra={"spark.driver.memory": "16g", "spark.scheduler.mode": os.environ.get("BENCH_SCHEDULER", "FIFO"),
                                  **json.loads(os.environ.get("BENCH_EXTRA_CONF", "{}"))})
-    scratch = tempfile.mkdtemp(prefix="ledgerlens-bench-")
+    # outputs go to the shared folder the session names; a local temporary
+    # folder is used only when none is set (a laptop run)
     if not spark.conf.get("spark.checkpoint.dir", None):
-        checkpoint_dir(spark, os.path.join(scratch, "checkpoints"))
+        checkpoint_dir(spark, tempfile.mkdtemp(prefix="ledgerlens-bench-"))
+    scratch = os.path.join(checkpoint_dir(spark), f"ledgerlens-bench-{uuid.uuid4().hex}")
 
     def job_pass(tag: str) -> tuple[float, dict]:
         steps: dict[str, float] = {}
@@ -59,6 +62,7 @@ def main() -> None:
 
     cold_total, cold = job_pass("cold")
     total, steps = job_pass("warm")
+    job._delete_path(spark, scratch)  # bench outputs are not kept
     out = {
         "metric": "report_job_total_sec",
         "value": total,
