@@ -21,6 +21,7 @@ from __future__ import annotations
 import argparse
 import datetime as _dt
 import os
+import threading
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
@@ -61,7 +62,12 @@ class SnapshotSource:
 
     def __init__(self, src, spark: SparkSession, folder: str, names=SHARED_VIEWS, workers: int = 4):
         self._src = src
+        self._spark = spark
+        self._folder = folder
         self._views: dict[str, DataFrame] = {}
+        self._parts: dict[str, DataFrame] = {}
+        self._locks: dict[str, threading.Lock] = {}
+        self._guard = threading.Lock()
 
         def write(name):
             path = os.path.join(folder, name)
@@ -71,6 +77,19 @@ class SnapshotSource:
         for name, path in _in_parallel(write, names, workers):
             self._views[name] = spark.read.parquet(path)
 
+    def shared_part(self, name: str, build) -> DataFrame:
+        """A sub-plan several reports use, computed once per job: the first
+        report that needs it writes it to the shared folder, the others wait
+        for it and read it back."""
+        with self._guard:
+            lock = self._locks.setdefault(name, threading.Lock())
+        with lock:
+            if name not in self._parts:
+                path = os.path.join(self._folder, "parts", name)
+                build().write.mode("overwrite").parquet(path)
+                self._parts[name] = self._spark.read.parquet(path)
+        return self._parts[name]
+
     def __getattr__(self, name):
         views = self.__dict__.get("_views", {})
         if name in views:
