@@ -38,3 +38,19 @@ def test_job_without_snapshot(spark, tmp_path):
     got = spark.read.parquet(written["cost_data_export"])
     exp = QUERIES["report_cost_dump"](spark, SF)
     assert got.exceptAll(exp).count() == 0 and exp.exceptAll(got).count() == 0
+
+
+def test_shared_part_built_once_under_concurrency(spark, tmp_path):
+    from concurrent.futures import ThreadPoolExecutor
+
+    src = Adapters(load_tables(spark, SF))
+    snap = job.SnapshotSource(src, spark, str(tmp_path / "snap"), names=())
+    calls = []
+
+    def build():
+        calls.append(1)
+        return spark.range(10).toDF("id")
+
+    with ThreadPoolExecutor(4) as pool:
+        counts = list(pool.map(lambda _: snap.shared_part("ids", build).count(), range(8)))
+    assert counts == [10] * 8 and len(calls) == 1
