@@ -4,24 +4,43 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import mph_dedup, quality_rules
+from . import html_main_text, mph_dedup, quality_rules, sp_chunks, warc_chunks
+
+PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return html_main_text.extracted(pages, html_main_text.learned(pages))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality(table(spark, sf_dir, "documents"))
 
 
+def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_chunks.round_trip(table(spark, sf_dir, "pages"))
+
+
+def op5_sp_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sp_chunks.encoded(table(spark, sf_dir, "documents"), sp_chunks.model_bytes(PIECE_MODEL))
+
+
 def op10_mph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mph_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_html_main_text": op1_html_main_text,
     "op2_quality_rules": op2_quality_rules,
+    "op3_warc_chunks": op3_warc_chunks,
+    "op5_sp_chunks": op5_sp_chunks,
     "op10_mph_dedup": op10_mph_dedup,
 }
