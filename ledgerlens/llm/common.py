@@ -93,25 +93,29 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
     return left.join(renamed, cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def prefix_sums(df: DataFrame, group: list[str], key: str, size: str, ties: list[str],
+def prefix_sums(rows: DataFrame, stats: DataFrame, group: str, key: str, size: str, ties: list[str],
                 out: str, rows_per_bucket: int = 20_000) -> DataFrame:
-    """Exclusive running sum of the long ``size`` per group, ordered by the
-    hexadecimal hash ``key`` (eight digits or more), then by ``ties``.
+    """Exclusive running sum of the long ``size`` per ``group`` (not null), in
+    the order of the hexadecimal hash ``key`` (eight digits or more), then ``ties``.
 
     A group is cut by ranges of its hash into buckets of about
     ``rows_per_bucket`` rows. Bucket totals are summed up in a small table and
-    rows only inside their bucket, so no task holds a whole group. Null groups
-    are groups; rows that tie in everything are interchangeable.
+    rows only inside their bucket, so no task holds a whole group. ``stats`` has
+    group, key and size of the same rows and is read twice; ``rows`` may carry
+    more and is read once. Rows that tie in everything are interchangeable.
     """
-    counts = df.groupBy(*group).agg(F.ceil(F.count(F.lit(1)) / rows_per_bucket).alias("_buckets"))
-    cut = null_safe(df, counts, group).withColumn(
-        "_bucket", F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("double")
-                           * F.col("_buckets") / float(2 ** 32))).drop("_buckets")
-    totals = cut.groupBy(*group, "_bucket").agg(F.sum(size).alias("_total"))
-    before = Window.partitionBy(*group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*group, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
-    inside = (Window.partitionBy(*group, "_bucket").orderBy(key, *ties)
+    counts = stats.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / rows_per_bucket).alias("_buckets"))
+
+    def cut(df: DataFrame) -> DataFrame:
+        return df.join(counts, group).withColumn(
+            "_bucket", F.floor(F.conv(F.substring(key, 1, 8), 16, 10).cast("double")
+                               * F.col("_buckets") / float(2 ** 32))).drop("_buckets")
+
+    totals = cut(stats.select(group, key, size)).groupBy(group, "_bucket").agg(F.sum(size).alias("_total"))
+    before = Window.partitionBy(group).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(group, "_bucket", F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_offset"))
+    inside = (Window.partitionBy(group, "_bucket").orderBy(key, *ties)
               .rowsBetween(Window.unboundedPreceding, -1))
-    return (null_safe(cut, offsets, [*group, "_bucket"])
+    return (cut(rows).join(offsets, [group, "_bucket"])
             .withColumn(out, F.col("_offset") + F.coalesce(F.sum(size).over(inside), F.lit(0)))
             .drop("_bucket", "_offset"))

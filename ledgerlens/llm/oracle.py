@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .curriculum_mix import Mix, _segments
 from .quality_rules import MAX_REPEAT_PERCENT, MIN_GROUP, MIN_WORDS, SHARES, SPREADS
 
 #: Measures of each document, straight from the definitions: windows are rows.
@@ -70,10 +71,51 @@ judged AS (
   FROM failing d LEFT JOIN wide w ON w.lang IS NOT DISTINCT FROM d.lang AND w.source IS NOT DISTINCT FROM d.source)"""
 
 
+def _time(share: str, mix: Mix) -> str:
+    """Inverse of the cumulative demand, schedule by schedule."""
+    out = []
+    for k, shape in enumerate(mix.schedules):
+        time = ""
+        for t, done, w, slope, _ in reversed(_segments(shape)):
+            left = f"greatest({share} - {done!r}::DOUBLE, 0::DOUBLE)"
+            x = (f"2 * {left} / ({w!r}::DOUBLE + sqrt(greatest({w * w!r}::DOUBLE + "
+                 f"{2 * slope!r}::DOUBLE * {left}, 0::DOUBLE)))")
+            time += f"WHEN {share} >= {done!r}::DOUBLE THEN {t!r}::DOUBLE + CASE WHEN {left} > 0 THEN {x} ELSE 0 END "
+        out.append(f"WHEN rank % {len(mix.schedules)} = {k} THEN least(CASE {time} END, 1::DOUBLE)")
+    return f"CASE {' '.join(out)} END"
+
+
+def mix_sql(mix: Mix = Mix()) -> str:
+    weight = " ".join(f"WHEN {i} THEN {w}" for i, w in enumerate(mix.weights))
+    taken = " + ".join(f"greatest(0, least(size, goal - (start + {e} * source_size)))" for e in range(mix.max_epochs))
+    positions = ", ".join(
+        f"CASE WHEN taken > 0 AND start + {e} * source_size < goal THEN "
+        + _time(f"((start + {e} * source_size) / greatest(target, 1::DOUBLE))", mix) + f" END AS position_{e + 1}"
+        for e in range(mix.max_epochs))
+    return rf"""WITH sized AS (
+  SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k, md5(coalesce(doc_id::VARCHAR, '')) AS h,
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> ''))::BIGINT AS size
+  FROM documents),
+streams AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY k ORDER BY h, doc_id, size
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM sized),
+sources AS (SELECT k, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY k) - 1 AS rank FROM sized GROUP BY k),
+weighted AS (SELECT *, CASE rank % {len(mix.weights)} {weight} END AS w, {mix.max_epochs} * source_size AS cap FROM sources),
+levels AS (SELECT *, ((SELECT sum(source_size) FROM sources)::BIGINT * {mix.total_percent} / 100::DOUBLE
+      - coalesce(sum(cap) OVER before, 0)::BIGINT)
+    / ((SELECT sum(w) FROM weighted)::BIGINT - coalesce(sum(w) OVER before, 0)::BIGINT) AS lv, cap / w::DOUBLE AS fill
+  FROM weighted WINDOW before AS (ORDER BY cap / w::DOUBLE, rank ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+level AS (SELECT lv AS l FROM levels WHERE lv * w <= cap ORDER BY fill, rank LIMIT 1),
+goals AS (SELECT k, source_size, rank, least(cap::DOUBLE, coalesce((SELECT l FROM level) * w, cap::DOUBLE)) AS target FROM levels),
+placed AS (SELECT *, ({taken})::BIGINT AS taken FROM
+  (SELECT s.*, source_size, rank, target, round(target)::BIGINT AS goal FROM streams s JOIN goals g ON g.k = s.k))
+SELECT doc_id, size, source_size, target, taken, {positions} FROM placed"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": f"""WITH {quality_ctes('documents')}
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, kept FROM judged""",
+    "op7_curriculum_mix": mix_sql(),
     "op10_mph_dedup": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
        doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import html_main_text, mph_dedup, quality_rules, sp_chunks, warc_chunks
+from . import curriculum_mix, hash_tree, html_main_text, mph_dedup, quality_rules, sp_chunks, warc_chunks
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 
@@ -33,6 +33,14 @@ def op5_sp_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_chunks.encoded(table(spark, sf_dir, "documents"), sp_chunks.model_bytes(PIECE_MODEL))
 
 
+def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return curriculum_mix.mixed(table(spark, sf_dir, "documents"))
+
+
+def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hash_tree.sharded(table(spark, sf_dir, "documents"))
+
+
 def op10_mph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mph_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -42,5 +50,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_quality_rules": op2_quality_rules,
     "op3_warc_chunks": op3_warc_chunks,
     "op5_sp_chunks": op5_sp_chunks,
+    "op7_curriculum_mix": op7_curriculum_mix,
+    "op8_hash_tree": op8_hash_tree,
     "op10_mph_dedup": op10_mph_dedup,
 }
