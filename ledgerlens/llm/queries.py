@@ -7,9 +7,10 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curriculum_mix, hash_tree, html_main_text, mph_dedup, quality_rules, sp_chunks, warc_chunks
+from . import curriculum_mix, hash_tree, html_main_text, mph_dedup, quality_rules, sp_chunks, token_rollup, warc_chunks
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -29,6 +30,10 @@ def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_chunks.round_trip(table(spark, sf_dir, "pages"))
 
 
+def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_rollup.corpus_totals(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
+
+
 def op5_sp_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_chunks.encoded(table(spark, sf_dir, "documents"), sp_chunks.model_bytes(PIECE_MODEL))
 
@@ -49,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_main_text": op1_html_main_text,
     "op2_quality_rules": op2_quality_rules,
     "op3_warc_chunks": op3_warc_chunks,
+    "op4_token_rollup": op4_token_rollup,
     "op5_sp_chunks": op5_sp_chunks,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op8_hash_tree": op8_hash_tree,
