@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import curriculum_mix, hash_tree, html_main_text, mph_dedup, quality_rules, sp_chunks, token_rollup, warc_chunks
+from . import crf_langid, curriculum_mix, hash_tree, html_main_text, mph_dedup, quality_rules, sp_chunks, token_rollup, warc_chunks
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -46,6 +46,11 @@ def op8_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.sharded(table(spark, sf_dir, "documents"))
 
 
+def op9_crf_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return crf_langid.identified(docs, crf_langid.learned(docs))
+
+
 def op10_mph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mph_dedup.dedup(table(spark, sf_dir, "documents"))
 
@@ -58,5 +63,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_sp_chunks": op5_sp_chunks,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op8_hash_tree": op8_hash_tree,
+    "op9_crf_langid": op9_crf_langid,
     "op10_mph_dedup": op10_mph_dedup,
 }
