@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crf_langid, curriculum_mix, hash_tree, html_main_text, mph_dedup, quality_rules, sp_chunks, token_rollup, warc_chunks
+from . import crf_langid, curriculum_mix, hash_tree, html_main_text, mph_dedup, quality_rules, sp_chunks, token_rollup, trie_join, warc_chunks
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
@@ -38,6 +38,10 @@ def op5_sp_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sp_chunks.encoded(table(spark, sf_dir, "documents"), sp_chunks.model_bytes(PIECE_MODEL))
 
 
+def op6_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie_join.similar(table(spark, sf_dir, "documents"))
+
+
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return curriculum_mix.mixed(table(spark, sf_dir, "documents"))
 
@@ -61,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_warc_chunks": op3_warc_chunks,
     "op4_token_rollup": op4_token_rollup,
     "op5_sp_chunks": op5_sp_chunks,
+    "op6_trie_join": op6_trie_join,
     "op7_curriculum_mix": op7_curriculum_mix,
     "op8_hash_tree": op8_hash_tree,
     "op9_crf_langid": op9_crf_langid,

@@ -257,7 +257,7 @@ def read(index: DataFrame, with_data: bool = False) -> DataFrame:
 
     archives = index.select("archive").distinct()
     # rows are few but stand for much work, so they are spread by number, not by size
-    spread = archives.repartition(max(1, archives.count()), "archive")
+    spread = archives.repartitionByRange(max(1, archives.count()), "archive")
     return spread.mapInArrow(run, CHUNKS + ", data binary" * with_data)
 
 
