@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
 
@@ -77,11 +78,21 @@ def delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def release(spark: SparkSession) -> None:
-    """Delete the scratch tables made so far. For callers that have written
-    what was computed from them."""
-    while _scratch:
-        delete(spark, _scratch.pop())
+def forget(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that is not needed any more."""
+    delete(spark, path)
+    if path in _scratch:
+        _scratch.remove(path)
+
+
+@contextlib.contextmanager
+def recorded(paths: list[str]):
+    """Add to ``paths`` the scratch tables that are made meanwhile."""
+    before = set(_scratch)
+    try:
+        yield
+    finally:
+        paths += [p for p in _scratch if p not in before]
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

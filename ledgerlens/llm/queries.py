@@ -39,7 +39,8 @@ def op5_sp_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_trie_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return trie_join.similar(table(spark, sf_dir, "documents"))
+    join = trie_join.TrieJoin(shingle=4, similarity=trie_join.Similarity(85))
+    return trie_join.similar(table(spark, sf_dir, "documents"), join)
 
 
 def op7_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:

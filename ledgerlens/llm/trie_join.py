@@ -1,14 +1,15 @@
 """N-gram Jaccard join by prefix trees.
 
 Documents are sets of distinct shingles in one global order (that of their
-hashes). Sets that meet are stored in a prefix tree, runs of shingles that have
-no branch being one edge; a probe goes down the tree and counts its overlap
-with a path once for all the sets below, and leaves a subtree as soon as the
-overlap so far and the lengths that remain (of the probe and of the longest
-path) cannot reach what the similarity asks of the smallest set below.
+hashes). Sets that meet are stored in a prefix tree; a probe goes down level by
+level, counts its overlap with a path once for all the sets below, and leaves a
+subtree as soon as the overlap so far and the lengths that remain (of the probe
+and of the longest path) cannot reach what the similarity asks of the smallest
+set below.
 
 Which sets meet. Two sets of similarity t or more differ in a bounded number d
-of shingles. Cut the global order into d + 1 + s ranges: the two agree on all
+of shingles. Where d is up to ``SMALL``, sets meet in each of their first
+shingles, as many as a set can lose and stay similar, plus one. Else cut the global order into d + 1 + s ranges: the two agree on all
 shingles of at least 1 + s ranges. A set's subset in a range, hashed, is a
 bucket, and sets meet in buckets; ranges without shingles name a bucket only in
 combinations of 1 + s. d depends on sizes, so sizes are cut into bands, and a
@@ -20,8 +21,8 @@ lost by any of this; a candidate's similarity is always counted in full.
 
 No group is expanded into pairs. Equal sets are one node. In a bucket the least
 node is the hub, and the tree of the others, in blocks of ``BLOCK``, is probed
-with the hub alone. Then components are formed, and only buckets that still
-hold more than one component are joined in full, block against block, where
+with the hub alone. Then components are formed, and only where buckets still
+hold more than one component are sets joined in full, block against block, and
 subtrees of the probe's own component are skipped.
 """
 
@@ -35,7 +36,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -43,15 +44,19 @@ from .common import rows_as, unpacked, written
 from .components import components
 
 #: Words in a shingle; similarity in percent.
-SHINGLE, PERCENT = 4, 85
-#: Sets in a tree at most.
-BLOCK = 256
+SHINGLE, PERCENT = 5, 80
+#: Sets in a tree, about, and shingles in all of them.
+BLOCK, BLOCK_SHINGLES = 256, 500_000
+#: Sets that meet as one cluster.
+CLUSTER = 16 * BLOCK
 #: A shingle in this share of a task's documents (of 1000 or more) is common.
 COMMON_SHARE = 0.01
 #: Bytes of text handled at a time, about.
 BYTES = 2_000_000
 #: Shingles a range at least, for buckets without common shingles.
 LEAST_RANGE = 2.5
+#: Up to this many differences sets meet in single shingles.
+SMALL = 4
 
 U = np.uint64
 
@@ -144,10 +149,7 @@ class Similarity:
 
     percent: int = PERCENT
 
-    def linked(self, overlap: int, x: int, y: int) -> bool:
-        return 100 * overlap >= self.percent * (x + y - overlap)
-
-    def needed(self, x: int, y: int) -> int:
+    def needed(self, x, y):
         """The least overlap that links sets of these sizes."""
         return -(-self.percent * (x + y) // (100 + self.percent))
 
@@ -174,7 +176,7 @@ class Similarity:
 
 def _slack(d: int) -> int:
     """Ranges that may be empty without being named."""
-    return 1 + d // 20
+    return 1 + d // 10
 
 
 def _buckets(x: np.ndarray, d: int, tag: int) -> np.ndarray:
@@ -187,19 +189,25 @@ def _buckets(x: np.ndarray, d: int, tag: int) -> np.ndarray:
     empty = sorted(set(range(ranges)) - set(r[begins].tolist()))
     if len(empty) > slack:
         if math.comb(len(empty), slack + 1) <= 64:
-            more = [hash((1, *c)) & (2 ** 64 - 1) for c in itertools.combinations(empty, slack + 1)]
+            more = [sum((i + 1) * 65_537 ** k for k, i in enumerate(c)) for c in itertools.combinations(empty, slack + 1)]
         else:
-            more = [hash((0, c)) & (2 ** 64 - 1) for c in empty]
-        named = np.concatenate([named, np.array(more, U)])
+            more = [i + 1 for i in empty]
+        named = np.concatenate([named, _mix(np.array([x % 2 ** 64 for x in more], U))])
     return _mix(named + _mix(np.array([tag], U)))
 
 
 def buckets(shingles: np.ndarray, common: np.ndarray, similarity: Similarity) -> np.ndarray:
     """All buckets of a set. Sets that can only be linked to equal ones have none."""
-    out, rare = [], shingles[~np.isin(shingles, common)] if len(common) else shingles
-    for begin, d in similarity.bands(len(shingles)):
+    n, out = len(shingles), []
+    often = np.isin(shingles, common) if len(common) else np.zeros(n, bool)
+    rare = shingles[~often]
+    for begin, d in similarity.bands(n):
         if not d:
             continue
+        if d <= SMALL:  # in the order of the hashes, common ones last
+            first = np.concatenate([rare, shingles[often]])[:n - similarity.least_partner(n) + 1]
+            out.append(_mix(first + _mix(np.array([2 * begin], U))))
+            continue
         least = LEAST_RANGE * (d + 1 + _slack(d))
         if len(rare) >= least:
             out.append(_buckets(rare, d, 2 * begin))
@@ -210,106 +218,118 @@ def buckets(shingles: np.ndarray, common: np.ndarray, similarity: Similarity) ->
 
 
 @dataclass
-class Edge:
-    """An edge of the tree with the shingles on it and what lies below."""
-
+class Level:
+    """The nodes of a tree between two depths. A node holds the sets ``low`` to
+    ``high`` of the tree's order, which are equal down to here."""
+
+    low: np.ndarray
+    high: np.ndarray
+    #: node of the level above
+    up: np.ndarray
+    #: shingles between the depths, begin and length of each node's
     shingles: np.ndarray
-    ends: list[int] = field(default_factory=list)
-    below: list[Edge] = field(default_factory=list)
-    least: int = 0
-    most: int = 0
-    rest: int = 0
-    #: a set below, if all below were in one component when last seen
-    one: int | None = None
-
-
-class Groups:
-    """Components of the sets at hand."""
-
-    def __init__(self, given: list[int]):
-        first: dict[int, int] = {}
-        self.up = [first.setdefault(g, i) for i, g in enumerate(given)]
-
-    def find(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
-
-    def join(self, i: int, j: int) -> None:
-        self.up[self.find(i)] = self.find(j)
-
-
-def tree(sets: list[np.ndarray], members: list[int]) -> Edge:
-    """Prefix tree of the sets named by ``members``; sets are sorted."""
-    order = sorted(members, key=lambda i: sets[i].astype(">u8").tobytes())
-
-    def build(low: int, high: int, depth: int) -> Edge:
-        a, b = sets[order[low]], sets[order[high - 1]]
-        n = min(len(a), len(b))
-        differ = np.flatnonzero(a[depth:n] != b[depth:n])
-        to = depth + int(differ[0]) if len(differ) else n
-        edge = Edge(a[depth:to])
-        while low < high and len(sets[order[low]]) == to:
-            edge.ends.append(order[low])
-            low += 1
-        while low < high:
-            lead, end = sets[order[low]][to], low + 1
-            while end < high and sets[order[end]][to] == lead:
-                end += 1
-            edge.below.append(build(low, end, to))
-            low = end
-        sizes = [len(sets[i]) for i in edge.ends]
-        edge.least = min([*sizes, *(e.least for e in edge.below)])
-        edge.most = max([*sizes, *(e.most for e in edge.below)])
-        edge.rest = edge.most - to
-        return edge
-
-    return build(0, len(order), 0)
-
-
-def probe(root: Edge, sets: list[np.ndarray], x: int, similarity: Similarity, groups: Groups) -> Iterator[int]:
-    """Sets of the tree linked to set ``x``, of other components than its own;
-    each found joins it."""
-    own, size = sets[x], len(sets[x])
-    least, most = similarity.least_partner(size), similarity.most_partner(size)
-
-    def visit(edge: Edge, overlap: int, at: int) -> Iterator[int]:
-        if edge.most < least or edge.least > most or edge.one is not None and groups.find(edge.one) == groups.find(x):
-            return
-        if len(edge.shingles):
-            place = np.searchsorted(own, edge.shingles)
-            place[place == size] = size - 1
-            overlap += int((own[place] == edge.shingles).sum())
-            at = int(np.searchsorted(own, edge.shingles[-1], side="right"))
-        if overlap + min(size - at, edge.rest) < similarity.needed(size, max(least, edge.least)):
-            return
-        for y in edge.ends:
-            if groups.find(y) != groups.find(x) and similarity.linked(overlap, size, len(sets[y])):
-                groups.join(x, y)
-                yield y
-        for e in edge.below:
-            yield from visit(e, overlap, at)
-        roots = {groups.find(y) for y in edge.ends} | {groups.find(e.one) if e.one is not None else -1 for e in edge.below}
-        if len(roots) == 1 and -1 not in roots:
-            edge.one = edge.ends[0] if edge.ends else edge.below[0].one
-
-    yield from visit(root, 0, 0)
-
-
-def _linked(sets: list[np.ndarray], nodes: list[int], given: list[int], stored: list[int], probes: list[int],
-            similarity: Similarity) -> list[tuple[int, int]]:
-    """Links that join components, found by probing the tree of ``stored``."""
-    groups = Groups(given)
-    if not stored or not probes:
-        return []
-    root = tree(sets, stored)
-    return [(nodes[x], nodes[y]) for x in probes for y in probe(root, sets, x, similarity, groups)]
+    begin: np.ndarray
+    length: np.ndarray
+    #: sizes of the sets below: the least, the most, and what the longest has after this level
+    least: np.ndarray
+    most: np.ndarray
+    rest: np.ndarray
+    #: nodes of one set that ends here
+    ends: np.ndarray
+
+
+class Tree:
+    """Prefix tree of some sets, in ``LEVELS`` levels of equal depth."""
+
+    LEVELS = 8
+
+    def __init__(self, sets: list[np.ndarray], members: list[int]):
+        self.order = sorted(members, key=lambda i: sets[i].astype(">u8").tobytes())
+        held = [sets[i] for i in self.order]
+        self.sizes = np.array([len(s) for s in held])
+        shared = np.zeros(len(held), np.int64)
+        for k in range(1, len(held)):
+            n = min(len(held[k - 1]), len(held[k]))
+            differ = held[k - 1][:n] != held[k][:n]
+            shared[k] = differ.argmax() if differ.any() else n
+        flat, offsets = np.concatenate(held), np.cumsum(self.sizes) - self.sizes
+        deepest = int(self.sizes.max())
+        step = max(16, -(-deepest // self.LEVELS))
+        self.levels: list[Level] = []
+        for depth in range(0, deepest, step):
+            first = np.flatnonzero(np.append(True, shared[1:] < depth + step))
+            high = np.append(first[1:], len(held))
+            live = self.sizes[first] > depth
+            low, high = first[live], high[live]
+            length = np.minimum(step, self.sizes[low] - depth)
+            pairs = np.stack([low, high], 1).ravel()
+            ext = np.append(self.sizes, self.sizes[-1])
+            least, most = np.minimum.reduceat(ext, pairs)[::2], np.maximum.reduceat(ext, pairs)[::2]
+            up = np.searchsorted(self.levels[-1].low, low, side="right") - 1 if depth else np.zeros(len(low), np.int64)
+            self.levels.append(Level(
+                low, high, up, flat[_ranges(offsets[low] + depth, length)], np.cumsum(length) - length, length,
+                least, most, np.maximum(most - depth - step, 0), self.sizes[low] <= depth + step))
+
+    def probe(self, own: np.ndarray, wanted: np.ndarray, similarity: Similarity) -> list[int]:
+        """Places in ``order`` of the sets linked to ``own``, among those that
+        ``wanted`` marks."""
+        size, found = len(own), []
+        least, most = similarity.least_partner(size), similarity.most_partner(size)
+        count = np.append(0, np.cumsum(wanted))
+        overlap, alive = np.zeros(1, np.int64), np.ones(1, bool)
+        for v in self.levels:
+            at = np.flatnonzero(alive[v.up] & (count[v.high] > count[v.low]) & (v.most >= least) & (v.least <= most))
+            if not len(at):
+                break
+            length = v.length[at]
+            mine = v.shingles if len(at) == len(v.low) else v.shingles[_ranges(v.begin[at], length)]
+            place = np.searchsorted(own, mine)
+            hit = own[np.minimum(place, size - 1)] == mine
+            ends = np.cumsum(length)
+            seen = overlap[v.up[at]] + np.add.reduceat(hit.astype(np.int64), ends - length)
+            past = place[ends - 1] + hit[ends - 1]  # of the probe, what is not after the level's last shingle
+            reach = seen + np.minimum(size - past, v.rest[at])
+            keep = reach >= similarity.needed(size, np.maximum(v.least[at], least))
+            done = at[keep & v.ends[at]]
+            o, n = seen[keep & v.ends[at]], self.sizes[v.low[done]]
+            found += v.low[done][100 * o >= similarity.percent * (size + n - o)].tolist()
+            overlap, alive = np.zeros(len(v.low), np.int64), np.zeros(len(v.low), bool)
+            overlap[at], alive[at] = seen, keep & ~v.ends[at]
+        return found
+
+
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The indices of ranges, one after another."""
+    return np.repeat(begin - (np.cumsum(length) - length), length) + np.arange(length.sum())
 
 
 STORED, PROBE = 1, 2
 
 
+def linked(sets: list[np.ndarray], component: np.ndarray, role: np.ndarray,
+           similarity: Similarity) -> list[tuple[int, int]]:
+    """Links between components of the sets at hand, found by probing the tree
+    of the stored ones; each link makes its two components one."""
+    stored, probes = np.flatnonzero(role & STORED), np.flatnonzero(role & PROBE)
+    if not len(stored) or not len(probes):
+        return []
+    tree, out = Tree(sets, stored.tolist()), []
+    order = np.array(tree.order)
+    of, probing = component[order], (role[order] & PROBE) > 0
+    component, place = component.copy(), {i: k for k, i in enumerate(tree.order)}
+    for x in probes.tolist():
+        wanted = of != component[x]
+        if x in place:  # of two probes in the tree the earlier has met the later
+            wanted[:place[x]] &= ~probing[:place[x]]
+        for k in tree.probe(sets[x], wanted, similarity) if wanted.any() else ():
+            if of[k] != component[x]:
+                out.append((x, int(order[k])))
+                old = of[k]
+                of[of == old] = component[x]
+                component[component == old] = component[x]
+    return out
+
+
 def joined(meetings: DataFrame, sets: DataFrame, similarity: Similarity) -> DataFrame:
     """Links (a, b) inside each meeting of (meeting, block, node, component,
     role): the tree of its stored nodes is probed with its probes. Sets with
@@ -321,10 +341,9 @@ def joined(meetings: DataFrame, sets: DataFrame, similarity: Similarity) -> Data
         key = None
 
         def close() -> list[tuple[int, int]]:
-            own = [h[3] for h in held]
-            return _linked(own, [h[0] for h in held], [h[1] for h in held],
-                           [i for i, h in enumerate(held) if h[2] & STORED],
-                           [i for i, h in enumerate(held) if h[2] & PROBE], similarity)
+            node, component, role = (np.array([h[k] for h in held], np.int64) for k in range(3))
+            found = linked([h[3] for h in held], component, role, similarity)
+            return [(int(node[x]), int(node[y])) for x, y in found]
 
         def batch_of(links: list[tuple[int, int]]) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], ["a", "b"])
@@ -349,7 +368,7 @@ class TrieJoin:
     """The join with its parameters. ``seed`` changes which 64 bits name a set."""
 
     shingle: int = SHINGLE
-    similarity: Similarity = field(default_factory=Similarity)
+    similarity: Similarity = Similarity()
     seed: int = 0
 
     def measured(self, docs: DataFrame) -> DataFrame:
@@ -443,51 +462,79 @@ class TrieJoin:
         nodes = written(nodes, "nodes")
         if not nodes.where("_low <> _high").isEmpty():  # two sets share 64 bits: name them by others
             return TrieJoin(self.shingle, self.similarity, self.seed + 1).grouped(docs)
-        # at most (shingles a document) / COMMON_SHARE by definition, whatever the corpus
-        common = np.sort(np.array([r.node for r in marks.select("node").distinct().collect()], np.int64).view(U))
+        # by the count that is asked for, at most 10 / COMMON_SHARE times the shingles of a document
+        least = COMMON_SHARE / 10 * rows.count()
+        often = marks.groupBy("node").agg(F.sum("n_shingles").alias("n")).where(F.col("n") >= least)
+        common = np.sort(np.array([r.node for r in often.select("node").collect()], np.int64).view(U))
         members = written(self.members(docs, common), "buckets")
         pairs = written(members.where("node <> hub").select("hub", "node").distinct(), "hub-pairs")
         wanted = (members.select("node").distinct().join(nodes, "node").select("_first._id", "_first.key"))
         keyed = docs.withColumn("_id", F.coalesce("doc_id", F.lit(2 ** 63 - 1)))
         sets = written(self.shingle_sets(keyed, wanted), "shingles")
 
-        links = written(joined(self._stars(pairs), sets, self.similarity), "star-links")
-        of = components(links)
-        links = links.unionByName(joined(self._mixed(members, of), sets, self.similarity))
+        sizes = sets.select("node", F.size("shingles").alias("n"))
+        links = written(joined(self._stars(pairs, sizes), sets, self.similarity), "star-links")
+        links = links.unionByName(joined(self._mixed(members, components(links), sizes), sets, self.similarity))
         of = written(components(links), "components")
         return (rows.join(of, "node", "left")
                 .select("doc_id", "key", "n_shingles", "node", F.coalesce("component", "node").alias("component")))
 
     @staticmethod
-    def _stars(pairs: DataFrame) -> DataFrame:
+    def _blocks() -> Column:
+        """Blocks for a group's sets: by their number, and by their shingles where they are long."""
+        return F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
+
+    def _stars(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
         """Meetings of each hub with the nodes of its buckets, in blocks."""
-        blocks = pairs.groupBy("hub").agg(F.ceil(F.count(F.lit(1)) / BLOCK).alias("_n"))
+        blocks = pairs.join(sizes, "node").groupBy("hub").agg(self._blocks().alias("_n"))
         stored = pairs.join(blocks, "hub").select(
             F.col("hub").alias("meeting"), F.pmod(F.xxhash64("node"), F.col("_n")).alias("block"), "node",
             F.lit(STORED).alias("role"))
-        hubs = blocks.select(F.col("hub").alias("meeting"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("_n") - 1))
-                             .alias("block"), F.col("hub").alias("node"), F.lit(PROBE).alias("role"))
+        hubs = blocks.select(F.col("hub").alias("meeting"), F.explode(
+            F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)).alias("block"), F.col("hub").alias("node"), F.lit(PROBE).alias("role"))
         return stored.unionByName(hubs).select("meeting", "block", "node", F.col("node").alias("component"), "role")
 
-    @staticmethod
-    def _mixed(members: DataFrame, of: DataFrame) -> DataFrame:
-        """Meetings of the buckets that hold several components, block against block."""
-        placed = members.select("bucket", "node").join(of, "node", "left").select(
-            "bucket", "node", F.coalesce("component", "node").alias("component"))
-        several = placed.groupBy("bucket").agg(
-            F.min("component").alias("_low"), F.max("component").alias("_high"), F.count(F.lit(1)).alias("_m"),
-            F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("_who")).where("_low <> _high")
+    def _mixed(self, members: DataFrame, of: DataFrame, sizes: DataFrame) -> DataFrame:
+        """Meetings in which sets of different components meet that share a
+        bucket: of all that buckets connect, where these are up to ``CLUSTER``,
+        else of single buckets.
+
+        The component with the most sets in a meeting is only stored, the other
+        sets probe as well. Block i meets block j: its probes for i <= j, and for
+        i > j what does not probe itself.
+        """
+        placed = members.join(of, "node", "left").select(
+            "bucket", "node", "hub", F.coalesce("component", "node").alias("component"))
+        several = placed.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+        held = written(placed.join(several.where("_low <> _high").select("bucket"), "bucket"), "mixed-buckets")
+        cluster = components(held.select(F.col("hub").alias("a"), F.col("node").alias("b"))).withColumnRenamed(
+            "component", "cluster")
+        held = written(held.join(cluster, "node"), "clusters")
+        nodes = held.select("cluster", "node", "component").distinct()
+        small = nodes.groupBy("cluster").agg((F.count(F.lit(1)) <= CLUSTER).alias("_small"))
+        meet = nodes.join(small.where("_small"), "cluster").select(F.col("cluster").alias("meeting"), "node", "component")
+        apart = held.join(small.where("NOT _small"), "cluster").select("bucket", "node", "component")
         # of buckets with the same nodes one is enough
-        several = several.groupBy("_m", "_who").agg(F.min("bucket").alias("bucket"))
-        held = placed.join(several.select("bucket", F.ceil(F.col("_m") / BLOCK).cast("int").alias("_n")), "bucket")
-        held = held.withColumn("_at", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
-        # block i is stored in meetings (i, j) and probes in (h, i) for h <= i <= j
-        return held.withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))).select(
-            F.col("bucket").alias("meeting"),
-            (F.least("_at", "_k").cast("long") * F.col("_n") + F.greatest("_at", "_k")).alias("block"),
-            "node", "component",
-            F.when(F.col("_at") == F.col("_k"), STORED + PROBE).when(F.col("_at") < F.col("_k"), STORED)
-            .otherwise(PROBE).alias("role"))
+        once = (apart.groupBy("bucket").agg(F.count(F.lit(1)).alias("_m"), F.sum(
+            F.xxhash64("node").cast("decimal(38,0)")).alias("_who"))
+            .groupBy("_m", "_who").agg(F.min("bucket").alias("bucket")).select("bucket"))
+        meet = written(meet.unionByName(apart.join(once, "bucket").withColumnRenamed("bucket", "meeting")).join(
+            sizes, "node"), "meetings")
+        main = (meet.groupBy("meeting", "component").agg(F.count(F.lit(1)).alias("_c"))
+                .groupBy("meeting").agg(F.max(F.struct("_c", "component")).alias("_main")))
+        blocks = meet.groupBy("meeting").agg(self._blocks().alias("_n")).join(main, "meeting")
+        cut = (meet.join(blocks, "meeting").withColumn("_at", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
+               .withColumn("_probes", F.col("component") != F.col("_main.component"))
+               .withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))))
+        here, there, n = F.col("_at"), F.col("_k"), F.col("_n").cast("long")
+        cell = ["meeting", "node", "component"]
+        same = cut.where(here == there).select(
+            *cell, (here * n + here).alias("block"), F.when(F.col("_probes"), STORED + PROBE).otherwise(STORED).alias("role"))
+        stored = cut.where((here < there) | (here > there) & ~F.col("_probes")).select(
+            *cell, (here * n + there).alias("block"), F.lit(STORED).alias("role"))
+        probes = cut.where((here != there) & F.col("_probes")).select(
+            *cell, (there * n + here).alias("block"), F.lit(PROBE).alias("role"))
+        return same.unionByName(stored).unionByName(probes).select("meeting", "block", "node", "component", "role")
 
 
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
