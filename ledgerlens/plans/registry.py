@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions import keys, money, scalars
 from ..operators import aggs, joins, reshape
@@ -303,23 +303,17 @@ def cost_dump_union(spark, sf_dir):
 # ------------------------------------------------------------ FX
 @query
 def fx_unpivot(spark, sf_dir):
-    lr = fx.long_rates(_src(spark, sf_dir).fx_wide)
-    return lr.select("date", "currency", F.col("exchange_rate").cast("double").alias("exchange_rate"))
+    return fx.long_rates(_src(spark, sf_dir).fx_wide)
 
 
 def _weekly_on_rows(src) -> DataFrame:
-    long = src.fx_long.select("date", "currency",
-                              money.to_units(F.col("rate_cents")).cast(fx.DAILY_RATE).alias("exchange_rate"))
-    long = long.withColumn("week_nr", keys.week_key(F.col("date")))
-    w = Window.partitionBy("currency", "week_nr")
-    return long.withColumn("weekly_avg", F.avg("exchange_rate").over(w).cast(fx.WEEKLY_RATE))
+    return fx.with_weekly_mean(src.fx_long.select(
+        "date", "currency", money.to_units(F.col("rate_cents")).cast("double").alias("exchange_rate")))
 
 
 @query
 def fx_weekly_avg(spark, sf_dir):
-    rows = _weekly_on_rows(_src(spark, sf_dir))
-    return rows.select("date", "currency", F.col("exchange_rate").cast("double").alias("exchange_rate"),
-                       "week_nr", F.col("weekly_avg").cast("double").alias("weekly_avg"))
+    return _weekly_on_rows(_src(spark, sf_dir)).select("date", "currency", "exchange_rate", "week_nr", "weekly_avg")
 
 
 @query
@@ -332,9 +326,7 @@ def fx_currency_name(spark, sf_dir):
 
 @query
 def fx_weekly_rates_since(spark, sf_dir):
-    rows = _weekly_on_rows(_src(spark, sf_dir)).select(
-        "date", "currency", "week_nr", F.col("weekly_avg").cast("double").alias("weekly_avg"))
-    return fx.rates_since(rows, FX_CUTOFF)
+    return fx.rates_since(_weekly_on_rows(_src(spark, sf_dir)), FX_CUTOFF)
 
 
 @query
@@ -365,7 +357,7 @@ def fx_passthrough(spark, sf_dir):
 
 
 def _fx_x2(src) -> DataFrame:
-    return fx.weekly_average_table(src.fx_wide, src.currency)
+    return fx.weekly_average_table(src.fx_daily, src.currency)
 
 
 @query

@@ -28,7 +28,6 @@ BILLING_ATTRIBUTES = [(1, "omnibus_order_item_id"), (2, "other")]
 DEMO_COMPANY_ID = 10  # the customer that plays "Demo Company"
 FX_START = "2024-01-01"
 FX_DAYS = 40
-FX_CODES = ["click", "error", "purchase", "signup", "view"]
 
 
 def cents(c: Column) -> Column:
@@ -41,6 +40,11 @@ def fx_date(k: Column) -> Column:
     return F.date_add(F.lit(FX_START).cast("date"), (k % FX_DAYS).cast("int")).cast("timestamp_ntz")
 
 
+def _div(c: Column, n: int) -> Column:
+    """Whole division: key ranges that grow with the table, ``n`` rows a key."""
+    return F.floor(c / n).cast("bigint")
+
+
 def _null_unless(cond: Column, value: Column) -> Column:
     return F.when(cond, value)
 
@@ -93,7 +97,7 @@ class Adapters:
         o = self.t["orders"]
         second = (o.where(F.col("o_orderkey") % 3 == 0)
                   .select(F.col("o_orderkey").alias("project_id"),
-                          ((F.col("o_custkey") * 7 + 1) % 150).alias("company_id")))
+                          F.col("o_custkey").bitwiseXOR(F.lit(1)).alias("company_id")))
         return self.project_account_view.unionByName(second)
 
     @cached_property
@@ -105,9 +109,9 @@ class Adapters:
             F.when(cid == DEMO_COMPANY_ID, F.lit("Demo Company"))
              .otherwise(F.concat(F.col("c_name"), F.lit(" "), F.col("c_mktsegment"))).alias("name"),
             F.col("c_mktsegment").alias("segment"),
-            F.nullif(cid % 50, F.lit(0)).alias("account_of"),
-            F.nullif(cid % 7, F.lit(0)).alias("invoiced_by"),
-            (cid % 137).alias("responsible_account_manager_id"),
+            F.nullif(_div(cid, 50), F.lit(0)).alias("account_of"),
+            F.nullif(_div(cid, 7), F.lit(0)).alias("invoiced_by"),
+            _div(cid, 15).alias("responsible_account_manager_id"),
             F.col("c_nationkey").cast("bigint").alias("country_id"),
             _null_unless(cid % 41 == 0, F.lit("2024-01-01").cast("timestamp_ntz")).alias("deleted_at"),
         )
@@ -204,7 +208,7 @@ class Adapters:
             (F.col("user_id") * 10 + F.col("event_id") % 7 + 1).alias("project_product_group_id"),
             F.nullif(F.hour("ts") % 5, F.lit(0)).cast("bigint").alias("hours"),
             (F.minute("ts") - F.minute("ts") % 15).cast("bigint").alias("minutes"),
-            (F.col("user_id") % 10).alias("user_id"),
+            _div(F.col("user_id"), 10).alias("user_id"),
             F.col("ts").alias("created_at"),
             _null_unless(F.col("event_id") % 19 == 0, F.col("ts")).alias("deleted_at"),
         )
@@ -238,7 +242,7 @@ class Adapters:
         return li.select(
             F.col("l_orderkey").alias("invoice_id"),
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("project_sales_product_id"),
-            F.col("l_linenumber").cast("bigint").alias("invoice_product_code_id"),
+            _div(F.col("l_partkey"), 2).alias("invoice_product_code_id"),
             F.col("l_partkey").alias("sales_product_id"),
             cents(F.col("l_extendedprice")).alias("total"),
             F.col("l_quantity").cast("bigint").alias("quantity"),
@@ -251,9 +255,9 @@ class Adapters:
 
     @cached_property
     def invoice_product_code(self) -> DataFrame:
-        return self.spark.range(1, 8).select(
-            "id", F.concat(F.lit("C"), F.col("id").cast("string")).alias("code"),
-            F.concat(F.lit("Code "), F.col("id").cast("string")).alias("description"))
+        ids = self.t["part"].select(_div(F.col("p_partkey"), 2).alias("id")).distinct()
+        return ids.select("id", F.concat(F.lit("C"), F.col("id").cast("string")).alias("code"),
+                          F.concat(F.lit("Code "), F.col("id").cast("string")).alias("description"))
 
     @cached_property
     def invoice_status_translation(self) -> DataFrame:
@@ -261,9 +265,8 @@ class Adapters:
 
     @cached_property
     def sales_product_invoice_product_code(self) -> DataFrame:
-        p = self.t["part"].where(F.col("p_partkey") < 14)
-        return p.select((F.col("p_partkey") % 7 + 1).alias("invoice_product_code_id"),
-                        F.col("p_partkey").alias("sales_product_id"))
+        return self.t["part"].select(_div(F.col("p_partkey"), 2).alias("invoice_product_code_id"),
+                                     F.col("p_partkey").alias("sales_product_id"))
 
     # ---- omnibus orders -----------------------------------------------
     @cached_property
@@ -273,7 +276,7 @@ class Adapters:
             "id",
             F.concat(F.lit("O"), F.col("id").cast("string")).alias("name"),
             F.col("id").alias("company_id"),
-            (F.col("id") % 10).alias("managing_company_id"),
+            _div(F.col("id"), 10).alias("managing_company_id"),
             _null_unless(F.col("id") % 17 == 0, F.lit("2024-01-01").cast("timestamp_ntz")).alias("archived_at"),
         )
 
@@ -297,13 +300,12 @@ class Adapters:
 
     @cached_property
     def omnibus_order_item(self) -> DataFrame:
-        c = self.t["customer"].where(F.col("c_custkey") < 100)
-        return c.select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("omnibus_order_id"))
+        return self.t["customer"].select(F.col("c_custkey").alias("id"), F.col("c_custkey").alias("omnibus_order_id"))
 
     @cached_property
     def billing_item(self) -> DataFrame:
         e = self.t["events"].where(F.col("event_type") == "signup")
-        return e.select(F.col("event_id").alias("id"), (F.col("event_id") % 1500).alias("invoice_id"))
+        return e.select(F.col("event_id").alias("id"), (F.col("event_id") * 2).alias("invoice_id"))
 
     @cached_property
     def billing_item_attribute(self) -> DataFrame:
@@ -329,18 +331,25 @@ class Adapters:
                         cents(F.col("value")).alias("rate_cents"))
 
     @cached_property
-    def fx_wide(self) -> DataFrame:
-        """The wide daily rate file: Date, then one rate column per code.
+    def fx_daily(self) -> DataFrame:
+        """One rate per date and currency: (date, currency, exchange_rate).
 
-        A cell is the day's mean rate (exact mean of cents rounded half-up to
-        4 decimals of a cent); it is missing when day-of-month % 7 == 0 for
-        the 'error' and 'signup' columns.
+        A rate is the day's mean (exact mean of cents rounded half-up to 4
+        decimals of a cent); it is missing when day-of-month % 7 == 0 for the
+        'error' and 'signup' columns.
         """
         daily = (self.fx_long.groupBy("date", "currency")
-                 .agg((F.avg(F.col("rate_cents").cast("decimal(18,0)")) / 100).alias("rate")))
-        daily = daily.withColumn(
-            "rate", F.when((F.dayofmonth("date") % 7 == 0) & F.col("currency").isin("error", "signup"),
-                           None).otherwise(F.col("rate")))
-        wide = daily.groupBy("date").pivot("currency", FX_CODES).agg(F.first("rate"))
-        return wide.select(F.date_format("date", "yyyy-MM-dd").alias("Date"),
-                           *[F.col(c).cast("double").alias(c) for c in FX_CODES])
+                 .agg((F.avg(F.col("rate_cents").cast("decimal(18,0)")) / 100).cast("double").alias("rate")))
+        missing = (F.dayofmonth("date") % 7 == 0) & F.col("currency").isin("error", "signup")
+        return daily.select("date", "currency", _null_unless(~missing, F.col("rate")).alias("exchange_rate"))
+
+    @cached_property
+    def fx_codes(self) -> list[str]:
+        """The currency codes in the data: the columns of the rate file."""
+        return [r.currency for r in self.fx_long.select("currency").distinct().orderBy("currency").collect()]
+
+    @cached_property
+    def fx_wide(self) -> DataFrame:
+        """The wide daily rate file: Date, then one rate column per code."""
+        wide = self.fx_daily.groupBy("date").pivot("currency", self.fx_codes).agg(F.first("exchange_rate"))
+        return wide.select(F.date_format("date", "yyyy-MM-dd").alias("Date"), *self.fx_codes)

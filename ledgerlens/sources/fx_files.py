@@ -1,10 +1,11 @@
 """Landed FX rate files.
 
 The daily rate history arrives as a zip archive whose first member is a CSV
-(Date, then one column per currency; 'N/A' for a missing rate). Many such
-archives can land in one folder; each is a file-level task: Spark lists the
-files, every task unzips its own file and emits long rows, so nothing passes
-through the driver.
+(Date, then one column per currency; 'N/A' for a missing rate). Every archive
+holds the full history, so landed archives overlap: a date is taken whole from
+the newest archive that has it, newest by path name. Each archive is a
+file-level task that emits one row per cell, missing cells included, so no date
+and no column is lost and nothing passes through the driver.
 """
 
 from __future__ import annotations
@@ -15,37 +16,52 @@ import zipfile
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-LONG_SCHEMA = "source string, Date string, currency string, exchange_rate double"
+CELLS = "source string, Date string, place int, currency string, exchange_rate double"
 
 
-def _unzip_to_long(batches):
+def _cells(batches):
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
-            with zipfile.ZipFile(io.BytesIO(content)) as zf:
-                first = zf.namelist()[0]
-                with zf.open(first) as fh:
-                    wide = pd.read_csv(fh, na_values=["N/A"], dtype={"Date": str})
-            wide = wide.loc[:, [c for c in wide.columns if not str(c).startswith("Unnamed")]]
-            long = wide.melt(id_vars=["Date"], var_name="currency", value_name="exchange_rate")
-            long = long[long["exchange_rate"].notna()]
-            long.insert(0, "source", path)
-            out.append(long.astype({"exchange_rate": "float64", "currency": str}))
-        if out:
-            yield pd.concat(out, ignore_index=True)
-        else:
-            yield pd.DataFrame({"source": [], "Date": [], "currency": [], "exchange_rate": []})
-
-
-def read_zipped_rates_long(spark: SparkSession, path_glob: str) -> DataFrame:
-    """Long rates (source, Date, currency, exchange_rate) from zip archives."""
+            with zipfile.ZipFile(io.BytesIO(content)) as zf, zf.open(zf.namelist()[0]) as fh:
+                wide = pd.read_csv(fh, na_values=["N/A"], dtype={"Date": str})
+            names = [c for c in wide.columns if c != "Date" and not str(c).startswith("Unnamed")]
+            for place, name in enumerate(names):
+                yield pd.DataFrame({"source": path, "Date": wide["Date"], "place": place, "currency": str(name),
+                                    "exchange_rate": wide[name].astype("float64")})
+
+
+def read_zipped_cells(spark: SparkSession, path_glob: str) -> DataFrame:
+    """Cells (source, Date, place, currency, exchange_rate) of the landed
+    archives; a missing rate is null."""
     files = spark.read.format("binaryFile").load(path_glob).select("path", "content")
-    return files.mapInPandas(_unzip_to_long, LONG_SCHEMA)
+    return files.mapInPandas(_cells, CELLS)
+
+
+def newest_cells(cells: DataFrame) -> DataFrame:
+    """For each date all cells of the newest archive that has it."""
+    newest = cells.groupBy(F.col("Date").alias("_date")).agg(F.max("source").alias("_newest"))
+    return cells.join(newest, (F.col("Date") == F.col("_date")) & (F.col("source") == F.col("_newest")),
+                      "inner").drop("_date", "_newest")
+
+
+def cells_to_long(cells: DataFrame) -> DataFrame:
+    """(date, currency, exchange_rate) of the cells that hold a rate."""
+    return cells.where(F.col("exchange_rate").isNotNull() & ~F.isnan("exchange_rate")).select(
+        F.to_date("Date").alias("date"), "currency", "exchange_rate")
+
 
+def cells_to_wide(cells: DataFrame) -> DataFrame:
+    """The file's layout: one row per date, columns in the newest file's order,
+    columns that only older files have after them.
 
-def long_to_wide(long: DataFrame) -> DataFrame:
-    """Back to the file's wide layout (one row per Date); used to rebuild X1."""
-    return long.groupBy("Date").pivot("currency").agg(F.first("exchange_rate"))
+    The list of columns, one per currency, is all that reaches the driver.
+    """
+    order = (cells.groupBy("currency").agg(F.max(F.struct("source", (-F.col("place")).alias("place"))).alias("_at"))
+             .orderBy(F.desc("_at"), "currency").collect())
+    names = [r.currency for r in order]
+    rate = F.when(~F.isnan("exchange_rate"), F.col("exchange_rate"))
+    # newest_cells leaves one cell for each date and currency
+    return cells.groupBy("Date").pivot("currency", names).agg(F.max(rate)) if names else cells.select("Date").distinct()
 
 
 def read_rates_csv(spark: SparkSession, path: str) -> DataFrame:
