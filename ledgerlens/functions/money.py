@@ -36,6 +36,21 @@ def to_units(cents: Column) -> Column:
     return cents.cast("decimal(20,0)") * F.lit(HUNDREDTH)
 
 
+def product(amount: Column, counts: list[Column]) -> Column:
+    """An integer amount times row counts, exact beyond the range of a long."""
+    out = amount.cast("decimal(38,0)")
+    for n in counts:
+        out = (out * n.cast("decimal(19,0)")).cast("decimal(38,0)")
+    return out
+
+
+def product_eur(cents: Column, counts: list[Column], key: Column, rates: dict) -> Column:
+    """``cents`` added up over ``counts`` copies, then converted to EUR units
+    (HALF_UP to whole cents); NULL for an unknown key. Whole cents times a rate
+    of six decimals are exact in a decimal(38,6)."""
+    return F.round(product(cents, counts) * rate_of(key, rates), 0).cast("decimal(36,0)") * F.lit(HUNDREDTH)
+
+
 def rate_map(rates: dict) -> Column:
     """A literal map expression; lookups stay inside whole-stage codegen."""
     pairs = []
@@ -50,19 +65,16 @@ def rate_of(key: Column, rates: dict) -> Column:
 
 
 def to_eur(amount: Column, key: Column, rates: dict, *, on_unknown: str = "null",
-           digits: int | None = 2, exact_for: object = None) -> Column:
+           digits: int | None = 2) -> Column:
     """Convert a decimal amount to EUR with a fixed rate table.
 
     ``digits``      round the converted amount (HALF_UP) or leave it exact (None).
-    ``exact_for``   key whose amount is taken unrounded (the base currency).
     ``on_unknown``  "null": unknown currency gives NULL; "passthrough": the
                     amount is kept unconverted.
     """
     converted = amount * rate_of(key, rates)
     if digits is not None:
         converted = F.round(converted, digits)
-    if exact_for is not None:
-        converted = F.when(key == F.lit(exact_for), amount).otherwise(converted)
     if on_unknown == "passthrough":
         known = F.array(*[F.lit(k) for k in rates])
         converted = F.when(F.array_contains(known, key), converted).otherwise(amount)

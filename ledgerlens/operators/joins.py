@@ -7,17 +7,30 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 
-def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left",
-             bounded: bool = False) -> DataFrame:
+def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFrame:
     """Join a fact to a dimension.
 
-    ``bounded=True`` is for dimensions whose size is fixed by construction
-    (literal translation or rate tables); they are broadcast outright. Any
-    other dimension is left to Catalyst and adaptive execution, which
-    broadcast it only while its measured size stays under
-    ``spark.sql.autoBroadcastJoinThreshold`` and shuffle-join it beyond that.
+    No hint: adaptive execution broadcasts the dimension while its measured
+    size stays under ``spark.sql.autoBroadcastJoinThreshold`` and joins by
+    shuffle beyond that.
     """
-    return fact.join(F.broadcast(dim) if bounded else dim, on, how)
+    return fact.join(dim, on, how)
+
+
+def left_join_many(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
+                   right_keys: Sequence[str]) -> DataFrame:
+    """Left join to a side that may hold very many rows of one key.
+
+    Adaptive execution splits a hot right side under an inner join, not under a
+    left one. So matches are an inner join, and the left rows without a match
+    come from an anti join with the right side's distinct keys, which are
+    reduced per task before they are shuffled.
+    """
+    on = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
+    matched = left.join(right, on, "inner")
+    alone = left.join(right.select(*right_keys).distinct(), on, "left_anti")
+    return matched.unionByName(alone.select(
+        "*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns]))
 
 
 def role(dim: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:

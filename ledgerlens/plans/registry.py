@@ -185,7 +185,7 @@ def join_many_to_many(spark, sf_dir):
     s = src.sales_line.select(F.col("project_id").alias("_s_pid"), F.col("id").alias("sales_line_id"),
                               "sales_product_id")
     w = src.wave.select(F.col("project_id"), F.col("id").alias("wave_id"))
-    return w.join(s, F.col("project_id") == F.col("_s_pid"), "left").drop("_s_pid")
+    return joins.left_join_many(w, s, ["project_id"], ["_s_pid"]).drop("_s_pid")
 
 
 @query

@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import keys, money, scalars
 from ..operators import aggs
-from ..operators.joins import company_hierarchy, join_dim
+from ..operators.joins import company_hierarchy, join_dim, left_join_many
 from . import parts
 from .parts import ACTIVE_STATUSES
 
@@ -65,9 +65,8 @@ def project_master(src, statuses=ACTIVE_STATUSES, demo_name: str = DEMO) -> Data
                 .join(h, F.col("company_id") == F.col("_hid"), "left")
                 .join(u, F.col("_ram") == F.col("_uid"), "left")
                 .join(cou, F.col("_ccountry") == F.col("_couid"), "left"))
-    rows = (parts.with_waves(p, src)
-            .join(accounts, F.col("project_id") == F.col("_pa_pid"), "left")
-            .where(F.col("_c_deleted").isNull()))
+    rows = (parts.with_waves(left_join_many(p, accounts, ["project_id"], ["_pa_pid"])
+                             .where(F.col("_c_deleted").isNull()), src))
     return rows.select(
         "project_id",
         keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_wave_id"),
@@ -186,7 +185,7 @@ def invoice_lines(src, sort: bool = False) -> DataFrame:
             .join(i, F.col("_pi_iid") == F.col("invoice_id"), "inner")
             .join(ip, F.col("invoice_id") == F.col("_ip_iid"), "inner")
             .join(ipc, F.col("_code_id") == F.col("_ipc_id"), "left"))
-    rows = join_dim(rows, ist, F.col("invoice_status_id") == F.col("_ist_id"), "left", bounded=True)
+    rows = join_dim(rows, ist, F.col("invoice_status_id") == F.col("_ist_id"), "left")
     rows = (rows.join(bridge, F.col("_code_id") == F.col("_br_code"), "left")
             .join(spt, F.col("_br_sp") == F.col("_spt_tid"), "left"))
     rows = rows.select(
@@ -227,7 +226,7 @@ def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
                                                 F.col("name").alias("invoice_status"))
     invs = (src.project_invoice.select(F.col("project_id").alias("_pi_pid"), "invoice_id")
             .join(i, F.col("invoice_id") == F.col("_i_id"), "left"))
-    invs = join_dim(invs, ist, F.col("invoice_status_id") == F.col("_ist_id"), "left", bounded=True)
+    invs = join_dim(invs, ist, F.col("invoice_status_id") == F.col("_ist_id"), "left")
     invs = invs.select("_pi_pid", "invoice_id", "invoice_number", "invoice_status", "submit_date").distinct()
     # invoice lines per (invoice, project code, product); currency 12 converted
     ipl = src.invoice_product.select(
@@ -259,15 +258,16 @@ def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
 
     # invoice x product lines of the project, then the per-line lookups
     lines = (p.join(prods, F.col("project_id") == F.col("_pp_pid"), "inner")
-             .join(invs, F.col("project_id") == F.col("_pi_pid"), "left")
+             )
+    lines = (left_join_many(lines, invs, ["project_id"], ["_pi_pid"])
              .join(ipa, (F.col("invoice_id") == F.col("_ip_iid")) & (F.col("sales_product_id") == F.col("_ip_sp")),
                    "left")
              .where(F.col("_ip_deleted").isNull())
              .join(ta, (F.col("project_id") == F.col("_ta_pid")) & (F.col("sales_product_id") == F.col("_ta_sp")),
                    "left")
              .join(spt, F.col("sales_product_id") == F.col("_spt_tid"), "left"))
-    rows = (lines.join(clients, F.col("project_id") == F.col("_cl_pid"), "inner")
-            .join(wv, F.col("project_id") == F.col("_w_pid"), "left"))
+    rows = left_join_many(lines.join(clients, F.col("project_id") == F.col("_cl_pid"), "inner"), wv,
+                          ["project_id"], ["_w_pid"])
     rows = rows.select("project_id", keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_wave_id"),
                        "project_name", "client_name", "invoice_id", "invoice_number", "invoice_status",
                        "submit_date", "project_code", "sales_product_id", "product", "invoice_currency",
@@ -305,7 +305,7 @@ def _live_projects(src) -> DataFrame:
     p = (src.project.where(F.col("archived_at").isNull() & F.col("deleted_at").isNull())
          .select(F.col("id").alias("project_id"), F.col("name").alias("project_name"), "project_code",
                  "company_id", "project_status_id", "created_at", F.col("closed_at").alias("project_close_date")))
-    p = join_dim(p, st, F.col("project_status_id") == F.col("_st_id"), "left", bounded=True)
+    p = join_dim(p, st, F.col("project_status_id") == F.col("_st_id"), "left")
     return (p.join(c1, F.col("company_id") == F.col("_c1_id"), "left")
             .join(u, F.col("_ram") == F.col("_uid"), "left")
             .withColumn("account_manager", scalars.account_manager(F.col("first_name"), F.col("last_name"))))
@@ -372,7 +372,7 @@ DUMP_COLUMNS = [
 def _invoice_groups(src, extra_keys=()) -> DataFrame:
     """Invoice headers per wave (distinct on number, date, buyer, amount,
     project code), one status each, plus the buyer company's name."""
-    rows = parts.invoice_header_rows(src).where(F.col("project_id").isNotNull() & F.col("wave_id").isNotNull())
+    rows = parts.invoice_header_rows(src)
     rows = rows.select("project_id", "wave_id", "invoice_number", "submit_date", "buyer_company_id",
                        money.to_units(F.col("total")).alias("invoice_amount"), "project_code",
                        "invoice_status")
@@ -409,10 +409,8 @@ def project_cost_dump(src) -> DataFrame:
     spine = parts.with_waves(p.join(cl, F.col("project_id") == F.col("_cl_pid"), "left"), src)
     rows = parts.join_on_wave(spine, [(pcg, "_pc_pid", "_pc_wid"), (adg, "_a_pid", "_a_wid"),
                                       (ptl, "_t_pid", "_t_wid")])
-    mult = (F.coalesce(F.col("n_accounts"), F.lit(1)) * F.coalesce(F.col("n_pc"), F.lit(1))
-            * F.coalesce(F.col("n_ad"), F.lit(1)))
-    fanout_sum = money.to_units(F.col("amount") * mult)
-    eur = money.to_eur(fanout_sum, F.col("_rate_cur"), money.RATES_BY_ID_COST)
+    mult = [F.coalesce(F.col(n), F.lit(1)) for n in ("n_accounts", "n_pc", "n_ad")]
+    eur = money.product_eur(F.col("amount"), mult, F.col("_rate_cur"), money.RATES_BY_ID_COST)
     out = rows.select(
         "project_id", keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_cost_id"),
         F.lit("Project").alias("cost_center"), "managing_company", "project_name", "project_code", "client",
@@ -466,26 +464,24 @@ def omnibus_cost_dump(src) -> DataFrame:
     c4 = parts.company_names(src, "invoiced_company")
     inv = (link.select(F.col("order_id").alias("_l_oid"), "invoice_id")
            .join(i, F.col("invoice_id") == F.col("_i_id"), "left"))
-    inv = join_dim(inv, ist, F.col("invoice_status_id") == F.col("_ist_id"), "left", bounded=True)
+    inv = join_dim(inv, ist, F.col("invoice_status_id") == F.col("_ist_id"), "left")
     inv = inv.join(c4, F.col("buyer_company_id") == F.col("_invoiced_company_id"), "left")
     invg = (inv.groupBy("_l_oid", "invoiced_company", "submit_date", "invoice_number", "invoice_status",
                         "grand_total").agg(F.count(F.lit(1)).alias("n_link")))
     tl = (src.omnibus_order_time_log.groupBy(F.col("omnibus_order_id").alias("_tl_oid"))
           .agg(F.count(F.lit(1)).alias("n_tl"), F.sum("hours").alias("_h"), F.sum("minutes").alias("_m")))
 
-    rows = (oo.join(oocg, F.col("project_id") == F.col("_oc_oid"), "left")
-            .join(invg, F.col("project_id") == F.col("_l_oid"), "left")
+    rows = (left_join_many(left_join_many(oo, oocg, ["project_id"], ["_oc_oid"]), invg, ["project_id"], ["_l_oid"])
             .join(tl, F.col("project_id") == F.col("_tl_oid"), "left"))
     n_oc = F.coalesce(F.col("n_oc"), F.lit(1))
     n_link = F.coalesce(F.col("n_link"), F.lit(1))
     n_tl = F.coalesce(F.col("n_tl"), F.lit(1))
     amount = money.to_units(F.col("amount"))
     rates = {k: v for k, v in money.RATES_BY_ID_COST.items() if k != money.EUR_ID}
-    fanout_amount = money.to_units(F.col("amount") * n_oc * n_link * n_tl)
-    eur = money.to_eur(fanout_amount, F.col("currency_id"), rates)
+    eur = money.product_eur(F.col("amount"), [n_oc, n_link, n_tl], F.col("currency_id"), rates)
     eur = F.when(F.array_contains(F.array(*[F.lit(k) for k in rates]), F.col("currency_id")), eur).otherwise(amount)
-    k = n_oc * n_link
-    hours = aggs.hours_from_sums(F.col("_h") * k, F.col("_m") * k, strict=True)
+    hours = aggs.hours_from_sums(money.product(F.col("_h"), [n_oc, n_link]), money.product(F.col("_m"), [n_oc, n_link]),
+                                 strict=True)
     return rows.select(
         "project_id", F.lit(None).cast("string").alias("project_cost_id"), F.lit("Answers").alias("cost_center"),
         "managing_company", "project_name",
@@ -587,7 +583,7 @@ def extended_export_base(src, demo_name: str = DEMO) -> DataFrame:
               ["revenue", "sales_amount_eur", "last_sales_date"])
 
     # invoice amounts per wave and product (sum of line totals), one row picked
-    rows = parts.invoice_header_rows(src).where(F.col("project_id").isNotNull() & F.col("wave_id").isNotNull())
+    rows = parts.invoice_header_rows(src)
     spt2 = src.product.select(F.col("translatable_id").alias("_spt2_tid"), F.col("name").alias("_a_product"))
     c4 = src.currency.select(F.col("id").alias("_c4_id"), F.col("name").alias("invoice_currency"),
                              F.col("iso_code").alias("invoice_currency_code"))
@@ -651,12 +647,10 @@ def extended_export(src, weekly_rates: DataFrame, cutoff: str = "2018-01-01",
 def convert_two_roles(df: DataFrame, rates: DataFrame) -> DataFrame:
     """Join the weekly rate twice (sales week/code, invoice week/code); EUR
     rows get rate 1; amounts are divided by the rate (NULL when unknown)."""
-    # one row per (code, week): bounded by #codes x #weeks of history, not by
-    # the report's size, so it is broadcast and the report is not shuffled
-    r1 = F.broadcast(rates.select(F.col("currency_code").alias("_r1_code"), F.col("week_nr").alias("_r1_week"),
-                                  F.col("rate_avg").alias("_r1_rate")))
-    r2 = F.broadcast(rates.select(F.col("currency_code").alias("_r2_code"), F.col("week_nr").alias("_r2_week"),
-                                  F.col("rate_avg").alias("_r2_rate")))
+    r1 = rates.select(F.col("currency_code").alias("_r1_code"), F.col("week_nr").alias("_r1_week"),
+                      F.col("rate_avg").alias("_r1_rate"))
+    r2 = rates.select(F.col("currency_code").alias("_r2_code"), F.col("week_nr").alias("_r2_week"),
+                      F.col("rate_avg").alias("_r2_rate"))
     out = df.join(r1, (F.col("sales_week_nr") == F.col("_r1_week")) & (F.col("currency_code") == F.col("_r1_code")),
                   "left")
     out = out.withColumn("rate_avg", F.when(F.col("sales_currency") == "Euro", F.lit(1.0))
