@@ -2,14 +2,16 @@
 
 Order and data flow:
 
-1. snapshot the source views the reports share into the shared checkpoint
-   folder (``spark.checkpoint.dir``) and read them back: all reports see one
-   consistent snapshot, and their lineage starts at files, so a lost executor
-   recomputes from the snapshot instead of the sources;
+1. for a database source, copy the views that several reports read into the
+   shared checkpoint folder (``spark.checkpoint.dir``) and read them back. Each
+   is read from the database once, so reports agree on it and a lost executor
+   recomputes from the copy; the copies are separate reads, no transaction
+   holds them together, and other views are read by each report;
 2. X1 (wide rates) and X2 (long rates with weekly averages) are written;
 3. R1-R11 are built and written as concurrent jobs (R11 reads X2 back from
    its written table, the one cross-job dependency); R8 ∪ R9 and R10 also
-   get a dated CSV copy, sorted by project.
+   get a dated CSV copy, sorted by project and wave. With a reporting
+   database, every table is then replaced there from its written copy.
 
 Usage (test tables):  python -m ledgerlens.plans.job --sf-dir DIR --out DIR
 Usage (source DB):    python -m ledgerlens.plans.job --jdbc-url URL --jdbc-properties FILE
@@ -20,17 +22,20 @@ from __future__ import annotations
 
 import argparse
 import datetime as _dt
+import json
 import os
 import threading
 import time
 import uuid
 from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from ..session import build_session, checkpoint_dir
+from ..sources import fx_files
 from ..sources.adapters import Adapters
-from ..sources.sinks import replace_table, write_snapshot
+from ..sources.jdbc import JdbcSource
+from ..sources.sinks import delete_path, replace_jdbc_table, replace_table, write_snapshot
 from ..sources.tables import load_tables
 from . import fx, reports
 
@@ -68,6 +73,7 @@ class SnapshotSource:
         self._parts: dict[str, DataFrame] = {}
         self._locks: dict[str, threading.Lock] = {}
         self._guard = threading.Lock()
+        self._wait = threading.local()
 
         def write(name):
             path = os.path.join(folder, name)
@@ -77,13 +83,19 @@ class SnapshotSource:
         for name, path in _in_parallel(write, names, workers):
             self._views[name] = spark.read.parquet(path)
 
+    def waited(self) -> float:
+        """Seconds that the calling thread has waited for other threads' sub-plans."""
+        return getattr(self._wait, "seconds", 0.0)
+
     def shared_part(self, name: str, build) -> DataFrame:
         """A sub-plan several reports use, computed once per job: the first
         report that needs it writes it to the shared folder, the others wait
         for it and read it back."""
         with self._guard:
             lock = self._locks.setdefault(name, threading.Lock())
+        t = time.perf_counter()
         with lock:
+            self._wait.seconds = self.waited() + time.perf_counter() - t
             if name not in self._parts:
                 path = os.path.join(self._folder, "parts", name)
                 build().write.mode("overwrite").parquet(path)
@@ -111,41 +123,57 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
         run_date: _dt.date | None = None, fx_cutoff: str = "2018-01-01",
         client_not_like: str = reports.TESTING, table_prefix: str = "",
         timings: dict | None = None, workers: int = 4, keep_snapshot: bool = False,
-        snapshot_views=SHARED_VIEWS) -> dict[str, str]:
+        snapshot_views=SHARED_VIEWS, case_insensitive: bool = False,
+        push=None) -> dict[str, str]:
     """Run the whole job; returns table name -> written path.
 
     ``table_prefix`` is prepended to every report table name (the FX tables
     keep their own names), for deployments whose readers expect a prefix.
     ``timings``, when given, receives seconds per step (steps overlap when
-    ``workers`` > 1: independent tables are written as concurrent jobs).
-    The run's source snapshot is removed from the shared folder once every
-    result is written, unless ``keep_snapshot``. ``snapshot_views`` chooses
-    what is snapshotted: all shared views for a database source (one
-    consistent read of the database); ``()`` when the sources are already
-    well-split files and a second copy of the facts is not worth its write.
+    ``workers`` > 1: independent tables are written as concurrent jobs; the
+    time a step waits for a sub-plan that another one computes is not its own).
+    The run's source copies are removed from the shared folder at its end,
+    also a failed one, unless ``keep_snapshot``. ``snapshot_views`` chooses
+    what is copied: all shared views for a database source; ``()`` when the
+    sources are already well-split files and a second copy of the facts is not
+    worth its write. ``case_insensitive`` compares client names as a database
+    with such a collation does. ``push(df, name)``, when given, receives each
+    written table, to replace it in a reporting database.
     """
     run_date = run_date or _dt.date.today()
     timings = {} if timings is None else timings
     shared = os.path.join(checkpoint_dir(spark), f"ledgerlens-snapshot-{uuid.uuid4().hex}")
+    try:
+        return _run(spark, src, shared, out_dir, snapshot_dirs, run_date, fx_cutoff, client_not_like, table_prefix,
+                    timings, workers, snapshot_views, case_insensitive, push)
+    finally:
+        if not keep_snapshot:
+            delete_path(spark, shared)
+
+
+def _run(spark, src, shared, out_dir, snapshot_dirs, run_date, fx_cutoff, client_not_like, table_prefix, timings,
+         workers, snapshot_views, case_insensitive, push) -> dict[str, str]:
     t0 = time.perf_counter()
     snap = SnapshotSource(src, spark, shared, names=snapshot_views, workers=workers)
     timings["snapshot_sources"] = round(time.perf_counter() - t0, 3)
     written: dict[str, str] = {}
 
     def put(name: str, build) -> None:
-        t = time.perf_counter()
-        path = os.path.join(out_dir, name)
-        replace_table(build(), name, path=path)
-        written[name] = path
-        timings[name] = round(time.perf_counter() - t, 3)
+        t, waited = time.perf_counter(), snap.waited()
+        written[name] = replace_table(build(), name, os.path.join(out_dir, name))
+        if push is not None:
+            push(spark.read.parquet(written[name]), name)
+        timings[name] = round(time.perf_counter() - t - (snap.waited() - waited), 3)
 
     builders = {
         "project_master": lambda: reports.project_master(snap),
-        "sold_products": lambda: reports.sold_products(snap, not_like=client_not_like),
+        "sold_products": lambda: reports.sold_products(snap, not_like=client_not_like,
+                                                        case_insensitive=case_insensitive),
         "project_cost": lambda: reports.project_cost(snap),
         "project_time": lambda: reports.project_time(snap),
         "invoice_lines": lambda: reports.invoice_lines(snap),
-        "data_export": lambda: reports.data_export(snap, not_like=client_not_like),
+        "data_export": lambda: reports.data_export(snap, not_like=client_not_like,
+                                                    case_insensitive=case_insensitive),
         "project_summary": lambda: reports.project_summary(snap),
         "cost_dump": lambda: reports.cost_dump(snap),
         "accounting_dump": lambda: reports.accounting_dump(snap),
@@ -154,7 +182,7 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
     # their written table (the one cross-job dependency) ...
     _in_parallel(lambda step: put(*step), [
         ("full_table", lambda: fx.wide_table(src.fx_wide)),
-        ("weekly_avg", lambda: fx.weekly_average_table(src.fx_wide, snap.currency))], workers)
+        ("weekly_avg", lambda: fx.weekly_average_table(src.fx_daily, snap.currency))], workers)
     weekly = spark.read.parquet(written["weekly_avg"])
     builders["extended_export"] = lambda: reports.extended_export(snap, weekly, cutoff=fx_cutoff)
     # ... then every report as concurrent jobs
@@ -164,27 +192,25 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
 
     if snapshot_dirs:
         for base, name in (("cost_data_export", "cost_dump"), ("accounting_data_export", "accounting_cost_dump")):
-            ordered = spark.read.parquet(written[table_prefix + base]).orderBy(F.col("project_id").asc_nulls_first())
-            write_snapshot(ordered, snapshot_dirs, name, run_date)
-    if not keep_snapshot:
-        _delete_path(spark, shared)
+            write_snapshot(spark.read.parquet(written[table_prefix + base]), snapshot_dirs, name, run_date,
+                           sort=["project_id", "project_cost_id", "invoice_number", "cost_amount"])
     return written
 
 
-def _delete_path(spark: SparkSession, path: str) -> None:
-    """Recursive delete on whatever file system ``path`` lives on."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf-dir", help="test tables (parquet); or use --jdbc-url")
     ap.add_argument("--jdbc-url", help="source database; reads the reporting schema's base tables")
     ap.add_argument("--jdbc-properties", help="JSON file with user/password/driver (never printed)")
     ap.add_argument("--jdbc-schema", default=None)
-    ap.add_argument("--fx-archives", help="glob of landed rate archives (zip with one wide CSV)")
+    rates = ap.add_mutually_exclusive_group()
+    rates.add_argument("--fx-archives", help="glob of landed rate archives (zip with one wide CSV)")
+    rates.add_argument("--fx-csv", help="one plain wide rate CSV")
+    ap.add_argument("--jdbc-target-url", help="reporting database whose tables are replaced too")
+    ap.add_argument("--jdbc-target-properties", help="JSON file with user/password/driver (never printed)")
+    ap.add_argument("--snapshot", choices=("auto", "all", "none"), default="auto",
+                    help="copy shared source views first; auto: for a database source only")
+    ap.add_argument("--case-insensitive", action="store_true", help="client name filters ignore case")
     ap.add_argument("--out", required=True)
     ap.add_argument("--snapshot-dir", action="append", default=[])
     ap.add_argument("--master", default=None)
@@ -196,21 +222,40 @@ def main(argv=None) -> None:
     if not spark.conf.get("spark.checkpoint.dir", None):
         checkpoint_dir(spark, os.path.join(a.out, "_checkpoints"))
     if a.jdbc_url:
-        import json
-
-        from ..sources.fx_files import long_to_wide, read_zipped_rates_long
-        from ..sources.jdbc import JdbcSource
-
-        with open(a.jdbc_properties) as fh:
-            props = json.load(fh)
-        wide = long_to_wide(read_zipped_rates_long(spark, a.fx_archives).drop("source"))
-        src = JdbcSource(spark, a.jdbc_url, props, schema=a.jdbc_schema, fx_wide=wide)
+        src = JdbcSource(spark, a.jdbc_url, _properties(a.jdbc_properties), schema=a.jdbc_schema,
+                         **_rates(spark, a.fx_archives, a.fx_csv))
     else:
         src = Adapters(load_tables(spark, a.sf_dir))
+    push = None
+    if a.jdbc_target_url:
+        target = _properties(a.jdbc_target_properties)
+
+        def push(df, name):
+            replace_jdbc_table(df, a.jdbc_target_url, name, target)
+
+    copy = a.snapshot == "all" or a.snapshot == "auto" and bool(a.jdbc_url)
     for name, path in run(spark, src, a.out, a.snapshot_dir, fx_cutoff=a.fx_cutoff,
-                          client_not_like=a.client_not_like, table_prefix=a.table_prefix).items():
+                          client_not_like=a.client_not_like, table_prefix=a.table_prefix,
+                          snapshot_views=SHARED_VIEWS if copy else (), case_insensitive=a.case_insensitive,
+                          push=push).items():
         print(name, path)
 
 
+def _properties(path: str) -> dict:
+    with open(path) as fh:
+        return json.load(fh)
+
+
+def _rates(spark: SparkSession, archives: str | None, csv: str | None) -> dict[str, DataFrame]:
+    """The wide rate table and its long rows, from landed archives or one CSV."""
+    if archives:
+        cells = fx_files.newest_cells(fx_files.read_zipped_cells(spark, archives))
+        return {"fx_wide": fx_files.cells_to_wide(cells), "fx_daily": fx_files.cells_to_long(cells)}
+    if csv:
+        wide = fx_files.read_rates_csv(spark, csv)
+        return {"fx_wide": wide, "fx_daily": fx.long_rates(wide)}
+    return {}
+
+
 if __name__ == "__main__":
     main()

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions import keys, money, scalars
 from ..operators import aggs, joins, reshape
@@ -38,12 +38,28 @@ def _t(spark, sf_dir):
 
 
 # ------------------------------------------------------------ sources, projection, filters
+def _checksum(field) -> Column:
+    """A whole number from a value: numbers as hundredths, instants as
+    microseconds, texts and arrays by their length."""
+    c = F.col(field.name)
+    kind = field.dataType.simpleString()
+    if kind in ("int", "bigint"):
+        return c.cast("bigint")
+    if kind == "double":
+        return F.round(c * 100).cast("bigint")
+    if kind == "timestamp_ntz":
+        return F.unix_micros(c.cast("timestamp")) % 1_000_003
+    return (F.length(c) if kind == "string" else F.size(c)).cast("bigint")
+
+
 @query
 def scan_tables(spark, sf_dir):
+    """Rows of every table and a checksum over all its columns."""
     t = _t(spark, sf_dir)
     return reshape.union_all_by_name(*[
-        t[name].agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
-        for name in DRIVER_TABLES])
+        t[name].agg(F.count(F.lit(1)).alias("n_rows"),
+                    sum((F.coalesce(F.sum(_checksum(f)), F.lit(0)) for f in t[name].schema), F.lit(0)).alias("checksum"))
+        .select(F.lit(name).alias("table_name"), "n_rows", "checksum") for name in DRIVER_TABLES])
 
 
 @query

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import SparkSession
 
 # Settings a report job wants on any cluster: adaptive execution (runtime
@@ -59,7 +57,8 @@ def checkpoint_dir(spark: SparkSession, fallback: str | None = None) -> str:
         return cur
     if fallback is None:
         raise RuntimeError("spark.checkpoint.dir is not set; pass a shared fallback folder")
-    os.makedirs(fallback, exist_ok=True)
+    p = spark._jvm.org.apache.hadoop.fs.Path(fallback)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(p)
     spark.conf.set("spark.checkpoint.dir", fallback)
     spark.sparkContext.setCheckpointDir(fallback)
     return fallback

@@ -65,6 +65,8 @@ def cells_to_wide(cells: DataFrame) -> DataFrame:
 
 
 def read_rates_csv(spark: SparkSession, path: str) -> DataFrame:
-    """A plain (unzipped) wide rate CSV; 'N/A' cells read as NULL."""
-    return (spark.read.option("header", True).option("inferSchema", True)
-            .option("nullValue", "N/A").csv(path))
+    """A plain (unzipped) wide rate CSV; 'N/A' cells read as NULL, rates as
+    doubles also where a column holds none."""
+    wide = spark.read.option("header", True).option("nullValue", "N/A").csv(path)
+    return wide.select(*[F.col(f"`{c}`") if c == "Date" else F.col(f"`{c}`").cast("double").alias(c)
+                         for c in wide.columns])

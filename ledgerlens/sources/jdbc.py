@@ -1,7 +1,7 @@
 """The reporting schema read straight from the relational source database.
 
-Each base table is read once, in parallel: Spark splits it into
-``num_partitions`` ranges of its integer key (bounds from a one-row
+Each base table is read in parallel: Spark splits it into ranges of its
+integer key, as many as the key's range asks for (bounds from a one-row
 ``min``/``max`` query), and pushes each report's column list and filters into
 the range queries. The joins, aggregations and picks then run in Spark, not
 in the database. Attribute names are the ones the reports use (``wave`` for
@@ -48,39 +48,61 @@ SOURCE_TABLES = {
     "billing_item_attribute_value": "billing_item_attribute_value",
 }
 
-# tables large enough to split, with the integer column to split on
-DEFAULT_SPLITS = {
-    "project_sales_product": ("id", 64),
-    "project_cost": ("id", 16),
-    "project_time_log": ("id", 32),
-    "invoice_product": ("invoice_id", 32),
-    "billing_item_attribute_value": ("billing_item_id", 32),
-    "billing_item": ("id", 16),
-    "project": ("id", 8),
-    "invoice": ("id", 8),
+# Every table that can be large, with the integer column to split it on. What is
+# left out are code tables: statuses, countries, currencies, types, attributes.
+SPLIT_COLUMNS = {
+    "project": "id",
+    "project_product_group": "id",
+    "project_account_view": "project_id",
+    "project_account": "project_id",
+    "company": "id",
+    "user": "id",
+    "project_sales_product": "id",
+    "sales_product_translation": "translatable_id",
+    "project_cost": "id",
+    "project_time_log": "id",
+    "invoice": "id",
+    "project_invoice": "invoice_id",
+    "invoice_product": "invoice_id",
+    "invoice_product_code": "id",
+    "sales_product_invoice_product_code": "sales_product_id",
+    "omnibus_order": "id",
+    "omnibus_order_cost": "omnibus_order_id",
+    "omnibus_order_time_log": "omnibus_order_id",
+    "omnibus_order_item": "id",
+    "billing_item": "id",
+    "billing_item_attribute_value": "billing_item_id",
 }
+# ids in one range read, and ranges of a table at most
+IDS_PER_SPLIT, MAX_SPLITS = 500_000, 1_000
 
 Reader = Callable[[str, "str | None", "int | None", "int | None", "int | None"], DataFrame]
+Bounds = Callable[[str, str], "tuple[int | None, int | None]"]
 
 
 class JdbcSource:
-    """Lazily read source views; ``fx_wide`` is the landed wide rate table."""
+    """Lazily read source views; ``fx_wide`` and ``fx_daily`` are the landed
+    rates, wide as in the file and long."""
 
     def __init__(self, spark: SparkSession, url: str, properties: dict, *, schema: str | None = None,
-                 splits: dict | None = None, fx_wide: DataFrame | None = None, reader: Reader | None = None):
+                 split_columns: dict | None = None, ids_per_split: int = IDS_PER_SPLIT, max_splits: int = MAX_SPLITS,
+                 fx_wide: DataFrame | None = None, fx_daily: DataFrame | None = None,
+                 reader: Reader | None = None, bounds: Bounds | None = None):
         self._spark = spark
         self._url = url
         self._props = dict(properties)
         self._schema = schema
-        self._splits = DEFAULT_SPLITS if splits is None else splits
-        self._fx_wide = fx_wide
+        self._splits = SPLIT_COLUMNS if split_columns is None else split_columns
+        self._ids, self._most = ids_per_split, max_splits
+        self._rates = {"fx_wide": fx_wide, "fx_daily": fx_daily}
         self._reader = reader or self._jdbc_reader
+        self._bounds = bounds or self._jdbc_bounds
         self._cache: dict[str, DataFrame] = {}
 
     def _qualified(self, table: str) -> str:
         return f"{self._schema}.{table}" if self._schema else table
 
-    def _bounds(self, table: str, column: str) -> tuple[int | None, int | None]:
+    def _jdbc_bounds(self, table: str, column: str) -> tuple[int | None, int | None]:
         q = f"(SELECT min({column}) AS lo, max({column}) AS hi FROM {self._qualified(table)}) b"
         row = read_jdbc_table(self._spark, self._url, q, self._props).first()  # one row
         return row["lo"], row["hi"]
@@ -92,20 +114,21 @@ class JdbcSource:
                                partition_column=column, lower=lo, upper=hi + 1, num_partitions=n)
 
     def read(self, table: str) -> DataFrame:
-        split = self._splits.get(table)
-        if split is None:
+        """A table in as many range reads as its ids ask for."""
+        column = self._splits.get(table)
+        lo, hi = self._bounds(table, column) if column else (None, None)
+        if lo is None:
             return self._reader(table, None, None, None, None)
-        column, n = split
-        lo, hi = self._bounds(table, column) if self._reader == self._jdbc_reader else (0, 0)
+        n = min(self._most, max(1, -(-(hi - lo + 1) // self._ids)))
         return self._reader(table, column, lo, hi, n)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        if name == "fx_wide":
-            if self._fx_wide is None:
-                raise AttributeError("fx_wide: pass the landed wide rate table")
-            return self._fx_wide
+        if name in self._rates:
+            if self._rates[name] is None:
+                raise AttributeError(f"{name}: pass the landed rates")
+            return self._rates[name]
         if name not in SOURCE_TABLES:
             raise AttributeError(name)
         if name not in self._cache:

@@ -3,18 +3,50 @@
 from __future__ import annotations
 
 import datetime as _dt
-import os
+import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
-def replace_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "parquet") -> None:
-    """Replace a result table (``if_exists='replace'``): the new data fully
-    overwrites the old one; readers see either the old or the new version."""
-    writer = df.write.mode("overwrite").format(fmt)
-    if path is not None:
-        writer.option("path", path)
-    writer.saveAsTable(name)
+def _fs(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Recursive delete on whatever file system ``path`` lives on."""
+    fs, p = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def _children(spark: SparkSession, path: str) -> list[str]:
+    fs, p = _fs(spark, path)
+    return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
+
+
+def replace_table(df: DataFrame, name: str, path: str) -> str:
+    """Replace a result table (``if_exists='replace'``); returns where its data lies.
+
+    The new version is written to a folder of its own below ``path`` and the
+    table's location is switched to it afterwards, one change in the catalog:
+    readers see the old or the new version, and a failed write leaves the old
+    one. The version before stays for readers that are still at it; older ones
+    are deleted.
+    """
+    spark, path = df.sparkSession, path.rstrip("/")
+    old = [c for c in _children(spark, path) if c.startswith("version-")]
+    stamp = _dt.datetime.now(_dt.timezone.utc).strftime("%Y%m%d%H%M%S%f")
+    target = f"{path}/version-{stamp}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(target)
+    if spark.catalog.tableExists(name) and spark.table(name).schema == spark.read.parquet(target).schema:
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        spark.catalog.createTable(name, path=target, source="parquet")
+    for c in old[:-1]:
+        delete_path(spark, f"{path}/{c}")
+    return target
 
 
 def replace_jdbc_table(df: DataFrame, url: str, table: str, properties: dict,
@@ -31,21 +63,31 @@ def replace_jdbc_table(df: DataFrame, url: str, table: str, properties: dict,
 
 
 def write_snapshot(df: DataFrame, base_dirs: list[str], name: str,
-                   run_date: _dt.date | None = None) -> list[str]:
-    """Dated CSV snapshot of a report, written once per target folder.
+                   run_date: _dt.date | None = None, sort: list[str] | None = None) -> list[str]:
+    """Dated CSV snapshot of a report in each target folder.
 
-    The report folder ``<base>/<name>`` is overwritten as a whole with one
-    ``run_date=YYYY_MM_DD`` partition, so older snapshots disappear and only
-    the newest dated one remains. (The spreadsheet format of the original
-    report files has no distributed writer; CSV with a header replaces it.)
+    The rows are sorted once, by ``sort``, and cut off from their plan by a
+    checkpoint; each folder is written from that. The new files stand complete
+    before they get their name ``<base>/<name>/run_date=YYYY_MM_DD``, and only
+    then do the snapshots of other dates disappear. (The spreadsheet format of
+    the original report files has no distributed writer; CSV with a header
+    replaces it.)
     """
-    from pyspark.sql import functions as F
-
-    run_date = run_date or _dt.date.today()
-    dated = df.withColumn("run_date", F.lit(run_date.strftime("%Y_%m_%d")))
-    paths = []
+    spark = df.sparkSession
+    dated = f"run_date={(run_date or _dt.date.today()).strftime('%Y_%m_%d')}"
+    if sort:
+        df = df.orderBy(*[F.col(c).asc_nulls_first() for c in sort])
+    rows, paths = df.checkpoint(), []
     for base in base_dirs:
-        p = os.path.join(base, name)
-        dated.write.mode("overwrite").partitionBy("run_date").option("header", True).csv(p)
-        paths.append(p)
+        folder = f"{base.rstrip('/')}/{name}"
+        fresh = f"{folder}/.new-{uuid.uuid4().hex}"
+        rows.write.option("header", True).csv(fresh)
+        fs, target = _fs(spark, f"{folder}/{dated}")
+        fs.delete(target, True)
+        if not fs.rename(_fs(spark, fresh)[1], target):
+            raise OSError(f"could not move {fresh} to {folder}/{dated}")
+        for c in _children(spark, folder):
+            if c.startswith("run_date=") and c != dated:
+                delete_path(spark, f"{folder}/{c}")
+        paths.append(folder)
     return paths

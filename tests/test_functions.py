@@ -98,3 +98,32 @@ def test_parse_timestamp_bad_text_is_null(spark):
     df = spark.createDataFrame([("2021-01-02 03:04:05",), ("nope",)], "t string")
     out = [r[0] for r in df.select(scalars.parse_timestamp(F.col("t"))).collect()]
     assert out[0] is not None and out[1] is None
+
+
+def test_fan_out_sums_are_exact_beyond_a_long(spark):
+    df = spark.createDataFrame([(2_000_000, 100_000, 100_000, 100_000, 12)], "c long, a long, b long, d long, k long")
+    counts = [F.col("a"), F.col("b"), F.col("d")]
+    r = df.select(money.product(F.col("c"), counts).alias("p"),
+                  money.product_eur(F.col("c"), counts, F.col("k"), money.RATES_BY_ID).alias("e")).first()
+    assert int(r.p) == 2_000_000 * 10 ** 15 and r.e == Decimal("0.85") * 2_000_000 * 10 ** 13
+
+
+# Hand-written amounts: 1,000,000 units of each currency in EUR.
+MILLION = {
+    "RATES_BY_CODE_SALES": {"TRY": 120000, "CLP": 230, "USD": 850000, "GBP": 1100000, "PLN": 230000, "KRW": 710,
+                            "SEK": 97000, "NZD": 570000, "ARS": 12000, "EUR": 1000000},
+    "RATES_BY_CODE_COST": {"ARS": 12000, "DOP": 15000, "TRY": 120000, "USD": 850000, "EUR": 1000000},
+    "RATES_BY_ID": {12: 850000, 34: 700, 21: 1120000, 20: 110000, 8: 230000, 4: 7900, 28: 560000, 24: 11000,
+                    9: 95000, 23: 1100, 3: 1000000},
+    "RATES_BY_ID_COST": {12: 850000, 34: 700, 21: 1120000, 20: 110000, 8: 230000, 4: 7900, 28: 560000, 24: 11000,
+                         9: 95000, 23: 1100, 3: 1000000, 26: 15000},
+}
+
+
+def test_every_rate_by_hand(spark):
+    for name, amounts in MILLION.items():
+        rates = getattr(money, name)
+        assert set(rates) == set(amounts)
+        df = spark.createDataFrame([(k, v) for k, v in amounts.items()], ["k", "expected"])
+        got = df.select("expected", money.to_eur(F.lit(Decimal("1000000.00")), F.col("k"), rates).alias("eur"))
+        assert all(r.eur == r.expected for r in got.collect())

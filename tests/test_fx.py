@@ -20,15 +20,15 @@ def _currency(spark):
 
 
 def test_weekly_average_table(spark):
-    x2 = fx.weekly_average_table(_wide(spark), _currency(spark))
+    x2 = fx.weekly_average_table(fx.long_rates(_wide(spark)), _currency(spark))
     assert x2.columns == ["date", "currency", "exchange_rate", "week_nr", "weekly_avg", "currency_name"]
     got = rows(x2.select("date", "currency", "week_nr", "weekly_avg"))
     # 2017-12-31 is a Sunday: week 201753; 2018-01-01..03 are week 201800
     assert got == [
         (dt.date(2017, 12, 31), "GBP", "201753", 10.0), (dt.date(2017, 12, 31), "USD", "201753", 1.0),
-        (dt.date(2018, 1, 1), "USD", "201800", 3.0416666667), (dt.date(2018, 1, 2), "GBP", "201800", 25.0),
-        (dt.date(2018, 1, 2), "USD", "201800", 3.0416666667), (dt.date(2018, 1, 3), "GBP", "201800", 25.0),
-        (dt.date(2018, 1, 3), "USD", "201800", 3.0416666667)]
+        (dt.date(2018, 1, 1), "USD", "201800", 9.125 / 3), (dt.date(2018, 1, 2), "GBP", "201800", 25.0),
+        (dt.date(2018, 1, 2), "USD", "201800", 9.125 / 3), (dt.date(2018, 1, 3), "GBP", "201800", 25.0),
+        (dt.date(2018, 1, 3), "USD", "201800", 9.125 / 3)]
 
 
 def test_rates_since_is_strict_and_half_even(spark):
@@ -53,19 +53,41 @@ def test_convert_two_roles(spark):
     assert rows(out) == [(0.8, 125.0, 1.0, 50.0), (1.0, 100.0, None, None)]
 
 
-def test_zipped_rate_files(spark, tmp_path):
-    for i, body in enumerate(["Date,USD,GBP,\n2024-01-01,1.1,N/A,\n2024-01-02,1.2,0.9,\n",
-                              "Date,USD,\n2024-01-03,1.3,\n"]):
+def test_a_tiny_rate_keeps_its_digits(spark):
+    wide = spark.createDataFrame([("2024-01-01", 1.23e-7), ("2024-01-02", 1.25e-7)], "Date string, USD double")
+    x2 = fx.weekly_average_table(fx.long_rates(wide), _currency(spark))
+    assert rows(x2.select("exchange_rate", "weekly_avg")) == [(1.23e-7, 1.24e-7), (1.25e-7, 1.24e-7)]
+
+
+def test_weekly_mean_has_no_window(spark):
+    plan = fx.with_weekly_mean(fx.long_rates(_wide(spark)))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan
+
+
+def _landed(spark, tmp_path, *bodies):
+    for i, body in enumerate(bodies):
         buf = io.BytesIO()
         with zipfile.ZipFile(buf, "w") as zf:
             zf.writestr("rates.csv", body)
         (tmp_path / f"hist{i}.zip").write_bytes(buf.getvalue())
-    long = fx_files.read_zipped_rates_long(spark, str(tmp_path / "*.zip"))
-    got = sorted((r.Date, r.currency, r.exchange_rate) for r in long.collect())
-    assert got == [("2024-01-01", "USD", 1.1), ("2024-01-02", "GBP", 0.9), ("2024-01-02", "USD", 1.2),
-                   ("2024-01-03", "USD", 1.3)]
-    wide = fx_files.long_to_wide(long.drop("source"))
-    assert wide.count() == 3
+    return fx_files.newest_cells(fx_files.read_zipped_cells(spark, str(tmp_path / "*.zip")))
+
+
+def test_archive_keeps_every_date_and_the_column_order(spark, tmp_path):
+    cells = _landed(spark, tmp_path, "Date,USD,AUD,IDX,\n2024-01-01,1.1,N/A,2,\n2024-01-02,N/A,N/A,N/A,\n")
+    wide = fx_files.cells_to_wide(cells)
+    assert wide.columns == ["Date", "USD", "AUD", "IDX"]
+    assert rows(wide) == [("2024-01-01", 1.1, None, 2.0), ("2024-01-02", None, None, None)]
+    assert rows(fx_files.cells_to_long(cells)) == [
+        (dt.date(2024, 1, 1), "IDX", 2.0), (dt.date(2024, 1, 1), "USD", 1.1)]
+
+
+def test_overlapping_archives_give_each_date_from_the_newest(spark, tmp_path):
+    cells = _landed(spark, tmp_path, "Date,USD,GBP,\n2024-01-01,1.1,5,\n2024-01-02,1.2,0.9,\n",
+                    "Date,USD,\n2024-01-02,7,\n2024-01-03,1.3,\n")
+    assert rows(fx_files.cells_to_wide(cells)) == [
+        ("2024-01-01", 1.1, 5.0), ("2024-01-02", 7.0, None), ("2024-01-03", 1.3, None)]
+    assert fx_files.cells_to_long(cells).count() == 4
 
 
 def test_plain_rate_csv(spark, tmp_path):

@@ -1,33 +1,43 @@
 """The database-backed source maps report views to source tables and splits
-large tables; the reader is injected (no database in the test)."""
+large tables; reader and bounds are injected (no database in the test)."""
 
 from fixtures import SCHEMAS
-from ledgerlens.sources.jdbc import DEFAULT_SPLITS, SOURCE_TABLES, JdbcSource
+from ledgerlens.sources.jdbc import SOURCE_TABLES, SPLIT_COLUMNS, JdbcSource
 
+CODE_TABLES = {"project_status", "country", "currency", "cost_type_translation", "invoice_status_translation",
+               "billing_item_attribute"}
 
-def test_views_map_to_source_tables_and_splits(spark):
-    calls = []
+
+def _source(spark, calls=None, hi=2_400_000, **options):
+    views = {v: k for k, v in SOURCE_TABLES.items()}
 
     def reader(table, column, lo, hi, n):
-        calls.append((table, column, n))
-        view = {v: k for k, v in SOURCE_TABLES.items()}[table]
-        return spark.createDataFrame([], SCHEMAS[view])
+        if calls is not None:
+            calls[table] = (column, n)
+        return spark.createDataFrame([], SCHEMAS[views[table]])
+
+    return JdbcSource(spark, "jdbc:unused", {}, reader=reader, bounds=lambda table, column: (1, hi), **options)
+
+
+def test_every_large_table_is_read_in_splits(spark):
+    calls = {}
+    src = _source(spark, calls)
+    for view in SOURCE_TABLES:
+        getattr(src, view)
+    assert {t for t, (column, _) in calls.items() if column is None} == CODE_TABLES
+    assert all(calls[t] == (column, 5) for t, column in SPLIT_COLUMNS.items())
 
-    src = JdbcSource(spark, "jdbc:unused", {}, reader=reader)
-    assert src.sales_line.columns[:3] == ["id", "project_id", "project_product_group_id"]
-    assert src.wave.columns == ["id", "project_id"]
-    src.sales_line  # cached: read once
-    assert calls == [("project_sales_product", "id", DEFAULT_SPLITS["project_sales_product"][1]),
-                     ("project_product_group", None, None)]
+
+def test_splits_follow_the_id_range(spark):
+    calls = {}
+    for hi, splits in ((10, 1), (3_000, 3), (10_000_000, 8)):
+        _source(spark, calls, hi=hi, ids_per_split=1_000, max_splits=8).wave  # reads on access
+        assert calls["project_product_group"] == ("id", splits)
 
 
 def test_reports_run_on_the_database_source(spark):
     from ledgerlens.plans import reports
 
-    def reader(table, column, lo, hi, n):
-        view = {v: k for k, v in SOURCE_TABLES.items()}[table]
-        return spark.createDataFrame([], SCHEMAS[view])
-
-    src = JdbcSource(spark, "jdbc:unused", {}, reader=reader)
+    src = _source(spark)
     assert reports.project_summary(src).count() == 0
     assert reports.cost_dump(src).count() == 0

@@ -54,3 +54,27 @@ def test_shared_part_built_once_under_concurrency(spark, tmp_path):
     with ThreadPoolExecutor(4) as pool:
         counts = list(pool.map(lambda _: snap.shared_part("ids", build).count(), range(8)))
     assert counts == [10] * 8 and len(calls) == 1
+
+
+def test_job_pushes_every_table_and_leaves_no_copy_when_it_fails(spark, tmp_path):
+    import pytest
+
+    src = Adapters(load_tables(spark, SF))
+    ckpt = spark.conf.get("spark.checkpoint.dir").replace("file:", "")
+    before, pushed = set(os.listdir(ckpt)), {}
+
+    def push(df, name):
+        pushed[name] = df.count()
+        if name == "weekly_avg":
+            raise RuntimeError("target is away")
+
+    with pytest.raises(RuntimeError, match="target is away"):
+        job.run(spark, src, str(tmp_path / "out"), fx_cutoff=FX_CUTOFF, snapshot_views=("project",), push=push, workers=1)
+    assert pushed["weekly_avg"] > 0 and not [
+        p for p in set(os.listdir(ckpt)) - before if p.startswith("ledgerlens-snapshot-")]
+
+
+def test_rates_from_a_plain_csv(spark, tmp_path):
+    (tmp_path / "r.csv").write_text("Date,USD,GBP\n2024-01-01,1.5,N/A\n")
+    rates = job._rates(spark, None, str(tmp_path / "r.csv"))
+    assert rates["fx_wide"].columns == ["Date", "USD", "GBP"] and rates["fx_daily"].count() == 1

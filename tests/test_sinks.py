@@ -1,24 +1,47 @@
 import datetime as dt
 import os
 
+import pytest
+from pyspark.sql import functions as F
+
 from ledgerlens.sources import sinks
 
 
 def test_snapshot_keeps_only_newest(spark, tmp_path):
-    df = spark.createDataFrame([(1, "a")], "id long, v string")
+    df = spark.createDataFrame([(2, "b"), (1, "a")], "id long, v string")
     base = str(tmp_path)
-    sinks.write_snapshot(df, [base], "cost_dump", dt.date(2024, 1, 1))
-    sinks.write_snapshot(df, [base, base + "_copy"], "cost_dump", dt.date(2024, 1, 2))
-    parts = sorted(p for p in os.listdir(os.path.join(base, "cost_dump")) if p.startswith("run_date="))
-    assert parts == ["run_date=2024_01_02"]
-    assert os.path.isdir(os.path.join(base + "_copy", "cost_dump", "run_date=2024_01_02"))
+    sinks.write_snapshot(df, [base], "cost_dump", dt.date(2024, 1, 1), sort=["id", "v"])
+    sinks.write_snapshot(df, [base, base + "_copy"], "cost_dump", dt.date(2024, 1, 2), sort=["id", "v"])
+    for b in (base, base + "_copy"):
+        assert [p for p in os.listdir(os.path.join(b, "cost_dump")) if not p.endswith(".crc")] == ["run_date=2024_01_02"]
     back = spark.read.option("header", True).csv(os.path.join(base, "cost_dump"))
-    assert back.count() == 1
+    assert back.count() == 2
+
+
+def test_failing_snapshot_leaves_the_old_one(spark, tmp_path):
+    good = spark.createDataFrame([(1, "a")], "id long, v string")
+    sinks.write_snapshot(good, [str(tmp_path)], "dump", dt.date(2024, 1, 1))
+    with pytest.raises(Exception):
+        sinks.write_snapshot(good.select(F.raise_error(F.lit("no")).alias("x")), [str(tmp_path)], "dump",
+                             dt.date(2024, 1, 2))
+    assert os.listdir(tmp_path / "dump") == ["run_date=2024_01_01"]
+
+
+def test_replace_table_switches_versions(spark, tmp_path):
+    path, name = str(tmp_path / "t"), "ledgerlens_test_t"
+    for n in (3, 2, 5):
+        sinks.replace_table(spark.range(n).toDF("id"), name, path)
+        assert spark.table(name).count() == n
+    assert len(os.listdir(path)) == 2  # the newest and the one before
+    sinks.replace_table(spark.range(4).selectExpr("id", "1 AS more"), name, path)  # another schema
+    assert spark.table(name).columns == ["id", "more"]
+    spark.sql(f"DROP TABLE {name}")
 
 
-def test_replace_table(spark, tmp_path):
-    path = str(tmp_path / "t")
-    sinks.replace_table(spark.range(3).toDF("id"), "ledgerlens_test_t", path=path)
-    sinks.replace_table(spark.range(2).toDF("id"), "ledgerlens_test_t", path=path)
-    assert spark.table("ledgerlens_test_t").count() == 2
-    spark.sql("DROP TABLE ledgerlens_test_t")
+def test_failing_build_leaves_the_old_table(spark, tmp_path):
+    path, name = str(tmp_path / "t"), "ledgerlens_test_f"
+    sinks.replace_table(spark.range(3).toDF("id"), name, path)
+    with pytest.raises(Exception):
+        sinks.replace_table(spark.range(3).select(F.raise_error(F.lit("no")).cast("long").alias("id")), name, path)
+    assert spark.table(name).count() == 3
+    spark.sql(f"DROP TABLE {name}")

@@ -1,10 +1,14 @@
 """One project holds most rows: results are identical whether or not adaptive
 execution splits the hot partitions."""
 
+import contextlib
+
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from fixtures import CURRENCIES, STATUSES, T, Source
-from ledgerlens.plans import reports
+from ledgerlens.plans import parts, reports
 
 D = T(2021, 1, 1)
 
@@ -28,33 +32,60 @@ def _rows(df):
     return sorted((tuple(r) for r in df.collect()), key=lambda r: tuple((x is None, str(x)) for x in r))
 
 
-@pytest.mark.parametrize("build", [reports.project_summary, reports.cost_dump, reports.sold_products,
-                                   reports.accounting_dump])
-def test_hot_project_split_keeps_results(spark, build):
-    keys = ["spark.sql.adaptive.skewJoin.enabled", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes",
-            "spark.sql.adaptive.skewJoin.skewedPartitionFactor", "spark.sql.adaptive.advisoryPartitionSizeInBytes",
-            "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold",
-            "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"]
-    saved = {k: spark.conf.get(k, None) for k in keys}
+@contextlib.contextmanager
+def _splitting(spark, on=True):
+    """Shuffle joins only; with ``on``, partitions split at a few hundred bytes."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "0",
+            "spark.sql.adaptive.skewJoin.enabled": str(on).lower()}
+    if on:
+        conf |= {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1",
+                 "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1",
+                 "spark.sql.adaptive.advisoryPartitionSizeInBytes": "512"}
+    saved = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
     try:
-        for k in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold"):
-            spark.conf.set(k, "-1")  # force shuffle joins so the hot key meets a shuffle
-        spark.conf.set("spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold", "0")
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "false")
-        plain = _rows(build(_skewed(spark)))
-        spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
-        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "1")
-        spark.conf.set("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1")
-        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "512")
-        df = build(_skewed(spark))
-        split = _rows(df)
-        plan = df._jdf.queryExecution().executedPlan().toString()
+        yield
     finally:
         for k, v in saved.items():
             if v is None:
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
-    assert split == plain and len(plain) > 0
-    # the hot partitions were really split by adaptive execution
-    assert "isFinalPlan=true" in plan and "skew=true" in plan
+
+
+@pytest.mark.parametrize("build", [reports.project_summary, reports.cost_dump, reports.sold_products,
+                                   reports.accounting_dump, reports.project_master, reports.data_export,
+                                   reports.extended_export_base])
+def test_hot_project_split_keeps_results(spark, build):
+    with _splitting(spark, on=False):
+        plain = _rows(build(_skewed(spark)))
+    with _splitting(spark):
+        split = _rows(build(_skewed(spark)))
+    assert split == plain and (plain or build is reports.data_export)
+
+
+def _rows_in_task(batches):
+    yield pa.RecordBatch.from_pydict({"n": [sum(b.num_rows for b in batches)]})
+
+
+def test_the_wave_join_itself_is_split(spark):
+    """399,000 of 400,000 waves belong to one project."""
+
+    class Waves:
+        wave = spark.range(400_000, numPartitions=8).select(
+            F.when(F.col("id") < 399_000, F.lit(1)).otherwise(F.col("id") % 50).cast("long").alias("project_id"), "id")
+
+    projects = spark.range(60, numPartitions=8).select(F.col("id").alias("project_id"))
+    with _splitting(spark):
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+        df = parts.with_waves(projects, Waves)
+        counts = [r.n for r in df.mapInArrow(_rows_in_task, "n long").collect()]
+        execution = df._jdf.queryExecution()
+        execution.toRdd().count()
+        plan = execution.executedPlan().toString()
+    assert sum(counts) == 400_000 + 10  # ten projects have no wave
+    assert max(counts) < 0.25 * sum(counts)
+    final = plan.split("== Initial Plan ==")[0]
+    assert "isFinalPlan=true" in final and "SortMergeJoin(skew=true)" in final
