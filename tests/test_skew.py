@@ -66,13 +66,12 @@ def test_hot_project_split_keeps_results(spark, build):
     assert split == plain and (plain or build is reports.data_export)
 
 
-def _rows_in_task(batches):
-    yield pa.RecordBatch.from_pydict({"n": [sum(b.num_rows for b in batches)]})
-
-
 def test_the_wave_join_itself_is_split(spark):
     """399,000 of 400,000 waves belong to one project."""
 
+    def rows_in_task(batches):
+        yield pa.RecordBatch.from_pydict({"n": [sum(b.num_rows for b in batches)]})
+
     class Waves:
         wave = spark.range(400_000, numPartitions=8).select(
             F.when(F.col("id") < 399_000, F.lit(1)).otherwise(F.col("id") % 50).cast("long").alias("project_id"), "id")
@@ -81,7 +80,7 @@ def test_the_wave_join_itself_is_split(spark):
     with _splitting(spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
         df = parts.with_waves(projects, Waves)
-        counts = [r.n for r in df.mapInArrow(_rows_in_task, "n long").collect()]
+        counts = [r.n for r in df.mapInArrow(rows_in_task, "n long").collect()]
         execution = df._jdf.queryExecution()
         execution.toRdd().count()
         plan = execution.executedPlan().toString()
