@@ -2,9 +2,10 @@
 
 A page is a sequence of words and tags. Words score above zero, tags below, and
 the contiguous run of tokens with the greatest sum is the content: one linear
-scan finds it. Words inside menus, adverts, forms, comments and the like (by
-element, or by class, id and role) score below zero, so they end the run when
-they are many; where the run goes on across one, its words are left out.
+scan finds it. What stands inside menus, adverts, forms, comments and the like
+(by element, or by class, id and role) scores a little below zero, words too:
+the run neither begins nor ends with it, and where it goes on across, that text
+is left out. Should a page have no other text, its classes are not believed.
 
 Weights are log odds learned from labelled pages. Labels come from pages that
 mark their content with one article or main element: tokens inside are content.
@@ -54,7 +55,7 @@ BESIDE = re.compile(
     r"search|pagination|pager|toolbar|widget|contentinfo|complementary)(?=$|[\s_-])", re.I)
 MARKS = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
-WORD, BESIDE_WORD = "word", "beside word"
+WORD, BESIDE_WORD, BESIDE_TAG = "word", "beside word", "beside tag"
 
 
 @dataclass
@@ -72,19 +73,23 @@ class Token:
 
 @dataclass
 class Weights:
-    """Scores of tokens: priors where nothing was learned."""
+    """Scores of tokens: priors where nothing was learned. What stands beside
+    the content keeps its prior, since it is left out whatever it scores."""
 
     tags: dict[str, float] = field(default_factory=dict)
     word: float = 0.8
-    beside: float = -1.5
+    beside: float = -0.05
+    beside_tag: float = -0.05
     #: tags without a weight: block tags end a run sooner than inline ones
-    block: float = -1.0
-    inline: float = -0.1
+    block: float = -0.3
+    inline: float = -0.02
     boundary: float = -6.0
 
     def of(self, t: Token) -> float:
         if t.text is not None:
             return t.n * (self.beside if t.beside else self.word)
+        if t.key == BESIDE_TAG:
+            return self.beside_tag
         if t.key in self.tags:
             return self.tags[t.key]
         name = t.key.lstrip("/")
@@ -93,8 +98,9 @@ class Weights:
         return self.block if t.block else self.inline
 
 
-def tokens(page: str) -> list[Token]:
-    """The tokens of a page. Elements left open end with their parent."""
+def tokens(page: str, believe: bool = True) -> list[Token]:
+    """The tokens of a page. Elements left open end with their parent. Without
+    ``believe``, classes, ids and roles say nothing."""
     out: list[Token] = []
     stack: list[tuple[str, bool, bool]] = []  # container, beside the content, a content element
     beside = content = 0
@@ -113,20 +119,23 @@ def tokens(page: str) -> list[Token]:
         if key == bare and bare in CONTAINERS or bare == "title" and key == bare:
             marks = " ".join(x.strip("\"'") for x in MARKS.findall(m.group(3) or ""))
             aside = (bare in BOILERPLATE or bare == "header" and not content
-                     or bool(marks) and bare not in ("html", "body") and bool(BESIDE.search(marks)))
-            out.append(Token(key, 1, block=True, inside=content > 0))
+                     or believe and bool(marks) and bare not in ("html", "body") and bool(BESIDE.search(marks)))
+            out.append(Token(BESIDE_TAG if beside or aside else key, 1, block=True, inside=content > 0))
             stack.append((bare, aside, bare in CONTENT))
             beside, content = beside + aside, content + (bare in CONTENT)
         elif bare in CONTAINERS or bare == "title":
             if any(s[0] == bare for s in stack):
+                was = beside
                 while True:
                     top, aside, is_content = stack.pop()
                     beside, content = beside - aside, content - is_content
                     if top == bare:
                         break
-            out.append(Token(key, 1, block=True, inside=content > 0))
+            else:
+                was = beside
+            out.append(Token(BESIDE_TAG if was else key, 1, block=True, inside=content > 0))
         else:
-            out.append(Token(key, 1, block=bare not in INLINE, inside=content > 0))
+            out.append(Token(BESIDE_TAG if beside else key, 1, block=bare not in INLINE, inside=content > 0))
     return out
 
 
@@ -149,6 +158,9 @@ def main_text(page: str | None, weights: Weights) -> str:
         return ""
     parts = tokens(page)
     begin, end = best_run([weights.of(t) for t in parts])
+    if begin == end and any(t.n and t.text is not None for t in parts):
+        parts = tokens(page, believe=False)
+        begin, end = best_run([weights.of(t) for t in parts])
     blocks, block = [], []
     for t in parts[begin:end]:
         if t.text is not None:
@@ -157,7 +169,7 @@ def main_text(page: str | None, weights: Weights) -> str:
         elif t.block:
             blocks.append("".join(block))
             block = []
-        elif t.key == "br":
+        elif t.key == "br" and not t.beside:
             block.append(" ")
     blocks.append("".join(block))
     return "\n".join(b for b in (" ".join(x.split()) for x in blocks) if b)
@@ -198,7 +210,8 @@ def learned(pages: DataFrame) -> Weights:
     odds = {r.key: math.log((r.inside + 0.5) / (total_in + 1)) - math.log((r.outside + 0.5) / (total_out + 1))
             for r in rows}
     w.word = min(3.0, max(0.3, odds.pop(WORD, w.word)))
-    w.beside = max(-3.0, min(-0.5, odds.pop(BESIDE_WORD, w.beside)))
+    odds.pop(BESIDE_WORD, None)
+    odds.pop(BESIDE_TAG, None)
     # a tag inside a block says less about where content ends than a container does
     w.tags = {k: max(-1.5 if k.lstrip("/") in INLINE or k.lstrip("/") == "li" else -8.0, min(-0.05, v))
               for k, v in odds.items()}
