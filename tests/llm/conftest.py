@@ -1,27 +1,10 @@
-import os
-import sys
-
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))))
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
-
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 PAGES = "page_id long, url string, html string"
 SF = "/root/testdata/sf0.001"
 
 
-@pytest.fixture(scope="session")
-def spark():
-    import tempfile
-
-    from ledgerlens.session import build_session, checkpoint_dir
-
-    s = build_session("local[4]", app="ledgerlens-llm-tests", shuffle_partitions=4)
-    checkpoint_dir(s, tempfile.mkdtemp(prefix="ledgerlens-llm-"))
-    return s
-
-
 @pytest.fixture(scope="session")
 def documents(spark):
     return spark.read.parquet(f"{SF}/documents.parquet").cache()

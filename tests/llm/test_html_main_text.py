@@ -1,4 +1,4 @@
-from conftest import PAGES, SF
+from .conftest import PAGES, SF
 
 from ledgerlens.llm import html_main_text as m
 

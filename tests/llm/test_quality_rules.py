@@ -2,7 +2,7 @@ import random
 import re
 from collections import Counter
 
-from conftest import DOCS, by_id
+from .conftest import DOCS, by_id
 from pyspark.sql import functions as F
 
 from ledgerlens.llm import quality_rules as q

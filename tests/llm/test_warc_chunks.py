@@ -3,7 +3,7 @@ import gzip
 import hashlib
 
 import pytest
-from conftest import PAGES
+from .conftest import PAGES
 from pyarrow import fs as pafs
 
 from ledgerlens.llm import common, warc_chunks as w
