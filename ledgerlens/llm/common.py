@@ -95,8 +95,21 @@ def recorded(paths: list[str]):
         paths += [p for p in _scratch if p not in before]
 
 
+#: Rows of a table that is sent to every executor at most.
+BROADCAST_ROWS = 100_000
+
+
+def broadcast_if_small(df: DataFrame) -> DataFrame:
+    """``df``, written, with a broadcast hint once it is counted and has at most
+    ``BROADCAST_ROWS`` rows; else it is joined by shuffle. For narrow tables of
+    groups, so that rows with texts are not dealt by a hot group's key."""
+    df = written(df, "groups")
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Equi-join on ``keys`` in which null equals null; the keys come out once."""
+    """Equi-join on ``keys`` in which null equals null; the keys come out once.
+    A hint on ``right`` stays in force."""
     renamed = right.select(*[F.col(c).alias(f"_r_{c}" if c in keys else c) for c in right.columns])
     cond = F.lit(True)
     for k in keys:
@@ -105,7 +118,7 @@ def null_safe(left: DataFrame, right: DataFrame, keys: list[str], how: str = "in
 
 
 def prefix_sums(rows: DataFrame, stats: DataFrame, group: str, key: str, size: str, ties: list[str],
-                out: str, rows_per_bucket: int = 20_000) -> DataFrame:
+                out: str, rows_per_bucket: int = 5_000) -> DataFrame:
     """Exclusive running sum of the long ``size`` per ``group`` (not null), in
     the order of the hexadecimal hash ``key`` (eight digits or more), then ``ties``.
 
@@ -115,7 +128,8 @@ def prefix_sums(rows: DataFrame, stats: DataFrame, group: str, key: str, size: s
     group, key and size of the same rows and is read twice; ``rows`` may carry
     more and is read once. Rows that tie in everything are interchangeable.
     """
-    counts = stats.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / rows_per_bucket).alias("_buckets"))
+    counts = broadcast_if_small(
+        stats.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / rows_per_bucket).alias("_buckets")))
 
     def cut(df: DataFrame) -> DataFrame:
         return df.join(counts, group).withColumn(

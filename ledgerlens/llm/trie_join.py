@@ -12,7 +12,9 @@ of shingles. Where d is up to ``SMALL``, sets meet in each of their first
 shingles, as many as a set can lose and stay similar, plus one. Else cut the global order into d + 1 + s ranges: the two agree on all
 shingles of at least 1 + s ranges. A set's subset in a range, hashed, is a
 bucket, and sets meet in buckets; ranges without shingles name a bucket only in
-combinations of 1 + s. d depends on sizes, so sizes are cut into bands, and a
+combinations of 1 + s. A set that shares fewer buckets with any others than
+1 + s less its empty ranges has no partner and leaves, and so do sets that have
+lost their company by that. d depends on sizes, so sizes are cut into bands, and a
 set takes part in the band below when a partner can lie there. Shingles that
 are common (found in ``COMMON_SHARE`` of the documents of some task or more)
 are left out of the buckets where enough others remain, so that a passage that
@@ -40,7 +42,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import rows_as, unpacked, written
+from .common import broadcast_if_small, rows_as, unpacked, written
 from .components import components
 
 #: Words in a shingle; similarity in percent.
@@ -50,11 +52,13 @@ BLOCK, BLOCK_SHINGLES = 256, 500_000
 #: Sets that meet as one cluster.
 CLUSTER = 16 * BLOCK
 #: A shingle in this share of a task's documents (of 1000 or more) is common.
-COMMON_SHARE = 0.01
+COMMON_SHARE = 0.002
 #: Bytes of text handled at a time, about.
 BYTES = 2_000_000
 #: Shingles a range at least, for buckets without common shingles.
 LEAST_RANGE = 2.5
+#: Rounds in which sets with too few shared buckets leave.
+ROUNDS = 2
 #: Up to this many differences sets meet in single shingles.
 SMALL = 4
 
@@ -160,27 +164,37 @@ class Similarity:
         return 100 * x // self.percent
 
     def bands(self, size: int) -> list[tuple[int, int]]:
-        """(begin of a band, shingles that may differ in it) in which a set takes part."""
-        begin = 1
-        while (end := self.most_partner(self.most_partner(begin)) + 1) <= size:
-            begin, before, below = end, begin, end
-        out = [begin]
-        if begin > 1 and self.least_partner(size) < begin:
-            out.append(before)
+        """(number of a band, shingles that may differ in it) in which a set takes part."""
+        begins = [1]
+        while (end := self.most_partner(self.most_partner(begins[-1])) + 1) <= size:
+            begins.append(end)
+        bands = [len(begins) - 1]
+        if len(begins) > 1 and self.least_partner(size) < begins[-1]:
+            bands.append(len(begins) - 2)
         found = []
-        for b in out:
-            s = self.most_partner(self.most_partner(b))  # the largest smaller set of the band
+        for b in bands:
+            s = self.most_partner(self.most_partner(begins[b]))  # the largest smaller set of the band
             found.append((b, (100 - self.percent) * (s + self.most_partner(s)) // (100 + self.percent)))
         return found
 
 
 def _slack(d: int) -> int:
-    """Ranges that may be empty without being named."""
-    return 1 + d // 10
+    """Ranges on which similar sets agree beyond the one that pigeonholes give;
+    as many may be empty without being named."""
+    return 2 + d // 6
 
 
-def _buckets(x: np.ndarray, d: int, tag: int) -> np.ndarray:
-    """Buckets of a set in a band: a hash of its subset in each range."""
+#: Low bits of a bucket, equal for the buckets of one band and way.
+TAG = 127
+
+
+def _tagged(x: np.ndarray, tag: int) -> np.ndarray:
+    return (_mix(x + _mix(np.array([tag + 1], U))) & ~U(TAG)) | U(tag % (TAG + 1))
+
+
+def _buckets(x: np.ndarray, d: int, tag: int) -> tuple[np.ndarray, int]:
+    """Buckets of a set in a band, a hash of its subset in each range, and how
+    many of them it shares with a similar set at least."""
     slack = _slack(d)
     ranges = d + 1 + slack
     r = ((x >> U(32)) * U(ranges)) >> U(32)
@@ -193,28 +207,30 @@ def _buckets(x: np.ndarray, d: int, tag: int) -> np.ndarray:
         else:
             more = [i + 1 for i in empty]
         named = np.concatenate([named, _mix(np.array([x % 2 ** 64 for x in more], U))])
-    return _mix(named + _mix(np.array([tag], U)))
+    return _tagged(named, tag), max(1, 1 + slack - len(empty))
 
 
-def buckets(shingles: np.ndarray, common: np.ndarray, similarity: Similarity) -> np.ndarray:
-    """All buckets of a set. Sets that can only be linked to equal ones have none."""
+def buckets(shingles: np.ndarray, common: np.ndarray, similarity: Similarity) -> list[tuple[np.ndarray, int]]:
+    """All buckets of a set, by band and way, each with the number that it
+    shares with a similar set. Sets that can only be linked to equal ones have
+    none."""
     n, out = len(shingles), []
     often = np.isin(shingles, common) if len(common) else np.zeros(n, bool)
     rare = shingles[~often]
-    for begin, d in similarity.bands(n):
+    for band, d in similarity.bands(n):
         if not d:
             continue
         if d <= SMALL:  # in the order of the hashes, common ones last
             first = np.concatenate([rare, shingles[often]])[:n - similarity.least_partner(n) + 1]
-            out.append(_mix(first + _mix(np.array([2 * begin], U))))
+            out.append((_tagged(first, 2 * band), 1))
             continue
         least = LEAST_RANGE * (d + 1 + _slack(d))
         if len(rare) >= least:
-            out.append(_buckets(rare, d, 2 * begin))
+            out.append(_buckets(rare, d, 2 * band))
         # a partner's rare part differs in d shingles at most, so one of the two ways has both
         if len(rare) < least + d:
-            out.append(_buckets(shingles, d, 2 * begin + 1))
-    return np.concatenate(out) if out else np.zeros(0, U)
+            out.append(_buckets(shingles, d, 2 * band + 1))
+    return out
 
 
 @dataclass
@@ -363,6 +379,22 @@ def joined(meetings: DataFrame, sets: DataFrame, similarity: Similarity) -> Data
     return rows.select("meeting", "block", "node", "component", "role", "shingles").mapInArrow(run, "a long, b long")
 
 
+def _shared(rows: DataFrame) -> DataFrame:
+    """Rows of the buckets with two nodes or more, with the least as hub."""
+    w = Window.partitionBy("bucket")
+    return (rows.withColumn("hub", F.min("node").over(w)).withColumn("_top", F.max("node").over(w))
+            .where("hub <> _top").select("bucket", "node", "need", "hub"))
+
+
+def _enough(rows: DataFrame) -> DataFrame:
+    """Rows of the nodes that have as many buckets of a band and way as they
+    share with a similar set."""
+    tag = F.col("bucket").bitwiseAND(F.lit(TAG))
+    nodes = (rows.groupBy("node", tag.alias("_tag")).agg(F.count(F.lit(1)).alias("_n"), F.max("need").alias("_need"))
+             .where("_n >= _need").select(F.col("node").alias("_node"), "_tag"))
+    return rows.join(nodes, (F.col("node") == F.col("_node")) & (tag == F.col("_tag")), "left_semi")
+
+
 @dataclass(frozen=True)
 class TrieJoin:
     """The join with its parameters. ``seed`` changes which 64 bits name a set."""
@@ -407,7 +439,7 @@ class TrieJoin:
             run, "doc_id long, key long, n_shingles long, node long, check long")
 
     def members(self, docs: DataFrame, common: np.ndarray) -> DataFrame:
-        """(bucket, node, hub) of the buckets with two nodes or more."""
+        """(bucket, node, need, hub) of the buckets with two nodes or more."""
         shingle, seed, similarity = self.shingle, self.seed, self.similarity
         shipped = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -415,24 +447,29 @@ class TrieJoin:
             done: set[int] = set()
             for batch in batches:
                 for begin in range(0, batch.num_rows, 1000):
-                    nodes, found = [], []
+                    nodes, found, need = [], [], []
                     for s in sets_of(batch.column(0).slice(begin, 1000).to_pylist(), shingle):
                         node = node_of(s, seed)[0]
                         if len(s) and node not in done:
                             done.add(node)
-                            nodes.append(node)
-                            found.append(buckets(s, shipped.value, similarity))
+                            for b, n in buckets(s, shipped.value, similarity):
+                                nodes.append(node)
+                                found.append(b)
+                                need.append(n)
                     if len(done) > 1_000_000:
                         done.clear()
                     if found:
+                        sizes = [len(f) for f in found]
                         yield pa.RecordBatch.from_arrays(
                             [pa.array(np.concatenate(found).view(np.int64)),
-                             pa.array(np.repeat(np.array(nodes, np.int64), [len(f) for f in found]))], ["bucket", "node"])
+                             pa.array(np.repeat(np.array(nodes, np.int64), sizes)),
+                             pa.array(np.repeat(np.array(need, np.int16), sizes))], ["bucket", "node", "need"])
 
-        w = Window.partitionBy("bucket")
-        return (docs.select("text").mapInArrow(run, "bucket long, node long")
-                .withColumn("hub", F.min("node").over(w)).withColumn("_top", F.max("node").over(w))
-                .where("hub <> _top").select("bucket", "node", "hub").distinct())
+        rows = written(_shared(docs.select("text").mapInArrow(run, "bucket long, node long, need short"))
+                       .distinct(), "buckets")
+        for _ in range(ROUNDS):
+            rows = written(_shared(_enough(rows).select("bucket", "node", "need")), "buckets")
+        return rows
 
     def shingle_sets(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
         """(node, shingles) of the nodes in ``wanted`` (doc_id, key, node)."""
@@ -448,7 +485,7 @@ class TrieJoin:
                         [pa.array([node_of(s, seed)[0] for s in sets], pa.int64()),
                          pa.ListArray.from_arrays(ends, np.concatenate(sets).view(np.int64))], ["node", "shingles"])
 
-        rows = docs.select("_id", "key", "text").join(wanted, ["_id", "key"]).select("text")
+        rows = docs.select("_id", "key", "text").join(broadcast_if_small(wanted), ["_id", "key"]).select("text")
         return rows.mapInArrow(run, "node long, shingles array<long>").dropDuplicates(["node"])
 
     def grouped(self, docs: DataFrame) -> DataFrame:
@@ -466,7 +503,7 @@ class TrieJoin:
         least = COMMON_SHARE / 10 * rows.count()
         often = marks.groupBy("node").agg(F.sum("n_shingles").alias("n")).where(F.col("n") >= least)
         common = np.sort(np.array([r.node for r in often.select("node").collect()], np.int64).view(U))
-        members = written(self.members(docs, common), "buckets")
+        members = self.members(docs, common)
         pairs = written(members.where("node <> hub").select("hub", "node").distinct(), "hub-pairs")
         wanted = (members.select("node").distinct().join(nodes, "node").select("_first._id", "_first.key"))
         keyed = docs.withColumn("_id", F.coalesce("doc_id", F.lit(2 ** 63 - 1)))
@@ -503,10 +540,12 @@ class TrieJoin:
         sets probe as well. Block i meets block j: its probes for i <= j, and for
         i > j what does not probe itself.
         """
-        placed = members.join(of, "node", "left").select(
-            "bucket", "node", "hub", F.coalesce("component", "node").alias("component"))
-        several = placed.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
-        held = written(placed.join(several.where("_low <> _high").select("bucket"), "bucket"), "mixed-buckets")
+        held = members.join(of, "node", "left").select(
+            "bucket", "node", "need", "hub", F.coalesce("component", "node").alias("component"))
+        for again in range(ROUNDS + 1):  # only buckets in which sets of two components meet count now
+            held = _enough(held) if again else held
+            several = held.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
+            held = written(held.join(several.where("_low <> _high").select("bucket"), "bucket"), "mixed-buckets")
         cluster = components(held.select(F.col("hub").alias("a"), F.col("node").alias("b"))).withColumnRenamed(
             "component", "cluster")
         held = written(held.join(cluster, "node"), "clusters")
@@ -568,8 +607,8 @@ def deduplicated(docs: DataFrame, join: TrieJoin = TrieJoin()) -> DataFrame:
     rows = written(join.grouped(keyed.select("doc_id", "key", "text")), "grouped")
     ident = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("_id"), "key")
     first = rows.where("n_shingles > 0").groupBy("component").agg(F.min(ident).alias("_first"))
-    stay = first.select("_first._id", "_first.key").unionByName(
-        rows.where("n_shingles = 0").select(ident.alias("_first")).select("_first._id", "_first.key")).distinct()
+    gone = (rows.join(first, "component").where((F.col("n_shingles") > 0) & (ident != F.col("_first")))
+            .select(ident.alias("_gone")).select("_gone._id", "_gone.key").distinct())
     once = (keyed.select("_row", F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("_id"), "key")
-            .join(stay, ["_id", "key"], "left_semi"))
+            .join(broadcast_if_small(gone), ["_id", "key"], "left_anti"))
     return unpacked(once, docs.columns)
