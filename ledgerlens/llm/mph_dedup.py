@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import rows_as, unpacked, written
+from .common import broadcast_if_small, rows_as, unpacked, written
 
 #: Distinct digests in one shard of the index, about.
 SHARD_DIGESTS = 50_000
@@ -173,7 +173,8 @@ def dedup(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", in_histor
     are not read.
     """
     rows = written(digests_of(docs, text, doc_id), "digests")
-    found = groups(rows, half(F.col("doc_id")) if in_history is None else in_history)
+    # written, so that both sides of the join below are dealt anew and a hot text can be split
+    found = written(groups(rows, half(F.col("doc_id")) if in_history is None else in_history), "digest-groups")
     return (rows.join(found, "sha256")
             .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), "n")))
             .select("doc_id", "keep_id", "group_size",
@@ -187,9 +188,10 @@ def deduplicated(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") ->
     body = F.coalesce(F.col(f"_row.`{text}`"), F.lit(""))
     keyed = packed.select("_row", F.coalesce(F.col(f"_row.`{doc_id}`").cast("long"), F.lit(NO_ID)).alias("_id"),
                           F.sha2(body, 256).alias("_sha"))
-    stay = (dedup(docs, text, doc_id).where("kept")
-            .select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_sha256").alias("_sha")))
-    # rows repeated with one id and text are few; they meet on the keys of the join
-    once = keyed.join(stay, ["_id", "_sha"], "left_semi").dropDuplicates(["_id", "_sha"])
-    return unpacked(once, docs.columns)
-
+    own = [F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_sha256").alias("_sha")]
+    counted = written(dedup(docs, text, doc_id).groupBy("doc_id", "text_sha256").agg(
+        F.count(F.lit(1)).alias("n"), F.max("kept").alias("stays")).where("n > 1 OR NOT stays"), "dropped-or-repeated")
+    once = keyed.join(broadcast_if_small(counted.select(*own)), ["_id", "_sha"], "left_anti")
+    # rows repeated with one id and text are few; of these one stays
+    repeated = keyed.join(broadcast_if_small(counted.where("stays").select(*own)), ["_id", "_sha"], "left_semi")
+    return unpacked(once.unionByName(repeated.dropDuplicates(["_id", "_sha"])), docs.columns)
