@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import let, null_safe, rows_as, unpacked, words, written
+from .common import broadcast_if_small, let, null_safe, rows_as, unpacked, words, written
 
 MIN_WORDS = 10
 MAX_REPEAT_PERCENT = 20
@@ -160,7 +160,7 @@ def judged(measured: DataFrame) -> DataFrame:
     for k in SHARES:
         # a group whose documents all fail the base rules has no sketch
         within = within & F.coalesce(s[k] <= F.col(f"_fence_{k}"), F.lit(True))
-    out = null_safe(measured, thresholds(measured), ["lang", "source"], "left")
+    out = null_safe(measured, broadcast_if_small(thresholds(measured)), ["lang", "source"], "left")
     return out.withColumn("_base_failed", base_failed(F.col("_m"))).withColumn("_kept", ~F.col("_base_failed") & within)
 
 
