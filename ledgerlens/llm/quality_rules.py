@@ -32,7 +32,7 @@ WINDOW = 5
 
 #: Share -> least margin between the third quartile and the fence;
 #: shares count in 1/10000, letters a word in 1/100.
-SHARES = {"symbol_share": 500, "dup_line_share": 3000, "repeat_share": 2000, "letters_a_word": 400}
+SHARES = {"symbol_share": 500, "dup_line_share": 5000, "repeat_share": 2000, "letters_a_word": 400}
 #: Spreads (third quartile less median) between the third quartile and the fence.
 SPREADS = 8
 #: Documents that a group must have to be judged by its own sketch.
