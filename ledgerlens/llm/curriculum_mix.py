@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import n_words, prefix_sums, rows_as, unpacked, written
+from .common import broadcast_if_small, n_words, prefix_sums, rows_as, unpacked, written
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (3, 1, 2)
@@ -112,7 +112,7 @@ def time_of(share: Column, rank: Column, mix: Mix) -> Column:
     return whole
 
 
-def placed(rows: DataFrame, sized: DataFrame, mix: Mix, rows_per_bucket: int = 20_000) -> DataFrame:
+def placed(rows: DataFrame, sized: DataFrame, mix: Mix, rows_per_bucket: int = 5_000) -> DataFrame:
     """``rows`` (a ``stream``) with source_size, target, rank, taken and _start,
     the tokens of the source before the document. ``sized`` is the same stream,
     written, without what else rows carry.
@@ -122,7 +122,7 @@ def placed(rows: DataFrame, sized: DataFrame, mix: Mix, rows_per_bucket: int = 2
     at which the target, rounded, is reached.
     """
     out = prefix_sums(rows, sized, "_source", "_key", "size", ["doc_id", "size"], "_start",
-                      rows_per_bucket).join(targets(sized, mix), "_source")
+                      rows_per_bucket).join(broadcast_if_small(targets(sized, mix)), "_source")
     goal = F.round("target").cast("long")
     taken = F.lit(0)
     for epoch in range(mix.max_epochs):
@@ -161,7 +161,7 @@ def mixture(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     rows = rows_as(docs).select("_row", *[F.col(f"_row.{c}").alias(c) for c in ("doc_id", "source", "text")])
     sized = written(stream(docs), "sized")
     # texts travel along, so a bucket holds fewer rows
-    out = placed(stream(rows, F.col("_row")), sized, mix, 4_000)
+    out = placed(stream(rows, F.col("_row")), sized, mix, 2_000)
     copies = F.floor((F.col("taken") + F.floor(F.col("size") / 2)) / F.greatest(F.col("size"), F.lit(1))).cast("int")
     each = out.where(copies > 0).withColumn("_copy", F.explode(F.sequence(F.lit(0), copies - 1)))
     ordered = each.select("_row", position(F.col("_copy"), mix).alias("_position"), "_key")
