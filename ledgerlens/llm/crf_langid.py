@@ -28,6 +28,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from .common import broadcast_if_small
+
 #: Bounds of the training sample.
 SAMPLE_DOCS, SAMPLE_CHARS = 300, 20_000
 #: Sizes of the hashed tables: n-grams and affixes, words.
@@ -237,7 +239,7 @@ def learned(docs: DataFrame) -> Model | None:
                       & (F.length("text") <= SAMPLE_CHARS)).select(
         F.col("lang").cast("string").alias("lang"), "text",
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("_key"))
-    counts = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n"))
+    counts = broadcast_if_small(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
     # about twice the sample by the hash, then the first of those in its order
     drawn = rows.join(counts, "lang").where(
         F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") * F.col("_n") <= 2 * SAMPLE_DOCS * float(2 ** 32))
