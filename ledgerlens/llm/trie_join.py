@@ -273,7 +273,8 @@ class Tree:
         step = max(16, -(-deepest // self.LEVELS))
         self.levels: list[Level] = []
         for depth in range(0, deepest, step):
-            first = np.flatnonzero(np.append(True, shared[1:] < depth + step))
+            # a set that ends here is a node of its own, also where the next ones go on from it
+            first = np.flatnonzero(np.append(True, (shared[1:] < depth + step) | (self.sizes[:-1] <= depth + step)))
             high = np.append(first[1:], len(held))
             live = self.sizes[first] > depth
             low, high = first[live], high[live]

@@ -100,6 +100,20 @@ def test_tree_finds_what_comparing_finds():
                                  >= percent * (len(x) + len(y) - o)}
 
 
+def test_tree_finds_sets_that_go_on_from_one_that_ends_with_a_level():
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 2 ** 63, 60).astype(np.uint64))
+    sets = [base[:n] for n in (15, 16, 17, 20, 31, 32, 33, 36, 48, 49)]
+    sets += [np.append(base[:n], base[n + 1]) for n in (16, 17, 32, 33, 48)]  # two that go on from one
+    tree = t.Tree(sets, list(range(len(sets))))
+    for percent in (50, 80, 95):
+        sim = t.Similarity(percent)
+        for x in sets:
+            found = sorted(tree.order[k] for k in tree.probe(x, np.ones(len(sets), bool), sim))
+            assert found == [i for i, y in enumerate(sets) if 100 * (o := len(np.intersect1d(x, y)))
+                             >= percent * (len(x) + len(y) - o)]
+
+
 def test_similar_sets_share_the_buckets_they_owe():
     rng = np.random.default_rng(6)
     for percent in (80, 85):
