@@ -31,7 +31,7 @@ def op3_warc_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_token_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_rollup.corpus_totals(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
+    return token_rollup.whole_totals(table(spark, sf_dir, "documents"), BPE_RANKS, public_tokenizers.PATTERN)
 
 
 def op5_sp_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import delete, n_words, scratch_path
+from .common import delete, n_words, null_safe, scratch_path
 
 CHANGES = "doc_id long, tokenizer string, op string, source string, lang string, n_tokens long, seq long"
 ENTRIES = "doc_id long, tokenizer string, source string, lang string, n_tokens long, alive boolean"
@@ -158,17 +158,18 @@ def changes(rows: DataFrame, tokenizer: str, op: str, seq: int = 0) -> DataFrame
 
 #: Tokenizer versions of the query.
 WORDS, BPE = "words-1", "byte_bpe_50k-1"
-#: Documents with fewer words are taken out again by the query's last batch.
+#: Documents with fewer words are taken out by the query's removal, and put back by its last batch.
 SHORT = 10
 
 
-def corpus_totals(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """Totals of a corpus after a load, a recount, a redelivery and a removal.
+def _removed(docs: DataFrame, ranks_path: str, pattern: str) -> tuple[Ledger, DataFrame]:
+    """The ledger of a corpus after a load, a recount, a redelivery and a
+    removal, and its state before the removal.
 
     The load inserts every document with its words and, for the BPE, a quarter
     of its bytes; the recount revises the latter to the real ids; the recount
     is delivered a second time and skipped; the removal deletes documents of
-    fewer than ``SHORT`` words. An empty table has no totals.
+    fewer than ``SHORT`` words.
     """
     spark = docs.sparkSession
     ledger = Ledger(spark, scratch_path(spark, "ledger"))
@@ -180,6 +181,24 @@ def corpus_totals(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
     ledger.apply("load", changes(words, WORDS, INSERT).unionByName(changes(guess, BPE, INSERT)))
     ledger.apply("recount", recount)
     ledger.apply("recount", recount)
+    before = ledger.state()
     short = words.where(F.col("n_tokens") < SHORT)
     ledger.apply("removal", changes(short, WORDS, DELETE).unionByName(changes(short, BPE, DELETE)))
+    return ledger, before
+
+
+def corpus_totals(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Totals of a corpus after the removal, without documents of fewer than
+    ``SHORT`` words. An empty table has no totals."""
+    return _removed(docs, ranks_path, pattern)[0].totals()
+
+
+def whole_totals(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
+    """Totals of a whole corpus: after the removal, a last batch inserts what it
+    deleted as it stood before. An empty table has no totals."""
+    ledger, before = _removed(docs, ranks_path, pattern)
+    gone = ledger.state().where("NOT alive").select("doc_id", "tokenizer")
+    back = null_safe(before, gone, ["doc_id", "tokenizer"], "left_semi").where("alive")
+    ledger.apply("return", back.select("doc_id", "tokenizer", F.lit(INSERT).alias("op"), "source", "lang", "n_tokens",
+                                       F.lit(0).cast("long").alias("seq")))
     return ledger.totals()

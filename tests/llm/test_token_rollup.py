@@ -3,9 +3,10 @@ import re
 
 import public_tokenizers as P
 import tiktoken
-from .conftest import DOCS
+from .conftest import DOCS, SF
 
 from ledgerlens.llm import common, token_rollup as t
+from ledgerlens.llm.queries import QUERIES
 
 RANKS = P.path("byte_bpe_50k.tiktoken")
 
@@ -59,6 +60,24 @@ def test_query_against_counting_anew(spark, documents):
     assert got == expected
 
 
+def test_the_query_counts_short_documents_too(spark, documents, odd, empty):
+    ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(RANKS, "rb"))}
+    coder = tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    expected, n_short = {}, 0
+    for r in documents.collect():
+        words = len(re.findall(r"[^\x20\x09-\x0D]+", r.text))
+        n_short += words < t.SHORT
+        for version, n in ((t.WORDS, words), (t.BPE, len(coder.encode_ordinary(r.text)))):
+            a, b = expected.get((r.source, r.lang, version), (0, 0))
+            expected[r.source, r.lang, version] = (a + 1, b + n)
+    got = QUERIES["op4_token_rollup"](spark, SF).collect()
+    assert {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in got} == expected and n_short
+    odd_totals = {(r.source, r.lang, r.tokenizer): (r.n_docs, r.n_tokens) for r in t.whole_totals(odd, RANKS, P.PATTERN).collect()}
+    assert odd_totals["a", "en", t.WORDS] == (2, 0) and odd_totals["a", None, t.WORDS] == (1, 0)  # 1 and 2; 3
+    assert odd_totals[None, None, t.WORDS] == (1, 1)  # 9
+    assert t.whole_totals(empty, RANKS, P.PATTERN).count() == 0
+
+
 def test_odd_rows(odd, empty):
     assert t.corpus_totals(empty, RANKS, P.PATTERN).count() == 0
     got = {(r.source, r.lang, r.tokenizer): r.n_docs for r in t.corpus_totals(odd, RANKS, P.PATTERN).collect()}
