@@ -5,7 +5,8 @@ the contiguous run of tokens with the greatest sum is the content: one linear
 scan finds it. What stands inside menus, adverts, forms, comments and the like
 (by element, or by class, id and role) scores a little below zero, words too:
 the run neither begins nor ends with it, and where it goes on across, that text
-is left out. Should a page have no other text, its classes are not believed.
+is left out. Should a page have no other text, its classes are not believed, and
+neither are those of a container that holds the page's content (``wrappers``).
 
 Weights are log odds learned from labelled pages. Labels come from pages that
 mark their content with one article or main element: tokens inside are content.
@@ -55,6 +56,9 @@ BESIDE = re.compile(
     r"search|pagination|pager|toolbar|widget|contentinfo|complementary)(?=$|[\s_-])", re.I)
 MARKS = re.compile(r"(?:class|id|role)\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+)", re.I)
 
+#: Times the words outside that a container without articles holds to be taken for a wrapper.
+OUTWEIGHS = 10
+
 WORD, BESIDE_WORD, BESIDE_TAG = "word", "beside word", "beside tag"
 
 
@@ -98,19 +102,47 @@ class Weights:
         return self.block if t.block else self.inline
 
 
-def tokens(page: str, believe: bool = True) -> list[Token]:
+@dataclass
+class Held:
+    """What a page, or a container that class, id or role set beside the
+    content, holds outside of boilerplate elements."""
+
+    start: int
+    #: content elements around it
+    around: int
+    words: int = 0
+    contents: int = 0
+    mains: int = 0
+
+
+def wrappers(page: Held, marked: list[Held]) -> frozenset[int]:
+    """Begins of the marked containers that hold the content, so that their
+    names do not say what they are: a main element, or, with no article or main
+    elsewhere, the only article, articles with most of the words, or far more
+    words than are outside."""
+    return frozenset(
+        h.start for h in marked
+        if h.mains or h.around + h.contents == page.contents and (
+            h.contents == 1 or h.words > (1 if h.contents else OUTWEIGHS) * (page.words - h.words)))
+
+
+def tokens(page: str, believe: bool = True, wrapping: frozenset[int] | None = None) -> list[Token]:
     """The tokens of a page. Elements left open end with their parent. Without
-    ``believe``, classes, ids and roles say nothing."""
+    ``believe``, classes, ids and roles say nothing, and neither do those of the
+    containers that begin at ``wrapping`` (found in the page if None)."""
     out: list[Token] = []
-    stack: list[tuple[str, bool, bool]] = []  # container, beside the content, a content element
-    beside = content = 0
+    # container, beside the content, a content element, boilerplate by its name
+    stack: list[tuple[str, bool, bool, bool]] = []
+    beside = content = boilerplate = 0
+    whole, marked, within = Held(-1, 0), [], []  # within: for each of the stack, its Held or None
     for m in TOKEN.finditer(page):
         name, start = m.group(2), page[m.start():m.start() + 2]
         if name is None:
             if start[0] != "<" or start == "<" or m.group() == "<":
                 text = html_lib.unescape(m.group())
-                out.append(Token(BESIDE_WORD if beside else WORD, len(text.split()), text,
-                                 beside=beside > 0, inside=content > 0))
+                n = len(text.split())
+                out.append(Token(BESIDE_WORD if beside else WORD, n, text, beside=beside > 0, inside=content > 0))
+                whole.words += 0 if boilerplate else n
             elif m.group(1):  # script and the like: a tag without text
                 out.append(Token(m.group(1).lower(), 1, inside=content > 0))
             continue
@@ -118,17 +150,26 @@ def tokens(page: str, believe: bool = True) -> list[Token]:
         bare = key.lstrip("/")
         if key == bare and bare in CONTAINERS or bare == "title" and key == bare:
             marks = " ".join(x.strip("\"'") for x in MARKS.findall(m.group(3) or ""))
-            aside = (bare in BOILERPLATE or bare == "header" and not content
-                     or believe and bool(marks) and bare not in ("html", "body") and bool(BESIDE.search(marks)))
+            named = bare in BOILERPLATE or bare == "header" and not content
+            told = (not named and believe and bool(marks) and bare not in ("html", "body")
+                    and m.start() not in (wrapping or ()) and bool(BESIDE.search(marks)))
+            aside = named or told
             out.append(Token(BESIDE_TAG if beside or aside else key, 1, block=True, inside=content > 0))
-            stack.append((bare, aside, bare in CONTENT))
-            beside, content = beside + aside, content + (bare in CONTENT)
+            stack.append((bare, aside, bare in CONTENT, named))
+            # until it ends, less what came before it
+            within.append(Held(m.start(), content, -whole.words, -whole.contents, -whole.mains)
+                          if told and wrapping is None and not boilerplate else None)
+            beside, content, boilerplate = beside + aside, content + (bare in CONTENT), boilerplate + named
+            if bare in CONTENT and not boilerplate:
+                whole.contents, whole.mains = whole.contents + 1, whole.mains + (bare == "main")
         elif bare in CONTAINERS or bare == "title":
             if any(s[0] == bare for s in stack):
                 was = beside
                 while True:
-                    top, aside, is_content = stack.pop()
-                    beside, content = beside - aside, content - is_content
+                    top, aside, is_content, named = stack.pop()
+                    beside, content, boilerplate = beside - aside, content - is_content, boilerplate - named
+                    if (held := within.pop()) is not None:
+                        marked.append(_ended(held, whole))
                     if top == bare:
                         break
             else:
@@ -136,7 +177,14 @@ def tokens(page: str, believe: bool = True) -> list[Token]:
             out.append(Token(BESIDE_TAG if was else key, 1, block=True, inside=content > 0))
         else:
             out.append(Token(BESIDE_TAG if beside else key, 1, block=bare not in INLINE, inside=content > 0))
-    return out
+    marked += [_ended(h, whole) for h in within if h is not None]
+    found = wrappers(whole, marked)
+    return tokens(page, believe, found) if found else out
+
+
+def _ended(held: Held, whole: Held) -> Held:
+    return Held(held.start, held.around, held.words + whole.words, held.contents + whole.contents,
+                held.mains + whole.mains)
 
 
 def best_run(scores: list[float]) -> tuple[int, int]:

@@ -29,6 +29,29 @@ def test_pages_without_an_article_element():
     assert m.main_text(page, m.Weights()) == TEXT
 
 
+WRAPPERS = ("layout has-sidebar", "no-sidebar", "with-nav", "search-results", "social-media-post")
+
+
+def test_wrappers_with_the_names_of_parts_keep_the_article():
+    skip = "<body class=\"home\"><a href='#x'>Skip to content</a> 3 May 2020 "
+    for name in WRAPPERS:
+        for tag in ("div", "section", "main"):
+            page = PAGE.replace('<body class="home">', f"{skip}<{tag} class='{name}'>").replace("</body>", f"</{tag}></body>")
+            assert m.main_text(page, m.Weights()).endswith(TEXT), (name, tag)
+        page = PAGE.replace('<body class="home">', skip).replace("<article>", f"<article class='{name}'>")
+        assert m.main_text(page, m.Weights()).endswith(TEXT), name
+        body = " ".join(f"w{i}" for i in range(400))  # no article element
+        page = f"{skip}<div class='{name}'><div class='sidebar'>Some links to read</div><p>{body}</p></div></body>"
+        assert m.main_text(page, m.Weights()).split("\n")[-1] == body, name
+        assert "Some links" not in m.main_text(page, m.Weights()), name
+
+
+def test_parts_beside_an_article_stay_out_whatever_they_hold():
+    thread = " ".join(f"c{i}" for i in range(400))
+    page = PAGE.replace("A reader says", f"<article class='comment'>{thread}</article><article>{thread}</article> says")
+    assert m.main_text(page, m.Weights()) == TEXT
+
+
 def test_best_run_is_the_maximum_scoring_subsequence():
     import itertools
     import random
