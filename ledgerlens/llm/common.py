@@ -62,12 +62,12 @@ def scratch_path(spark: SparkSession, tag: str) -> str:
     return path
 
 
-def written(df: DataFrame, tag: str) -> DataFrame:
+def written(df: DataFrame, tag: str, **options: str) -> DataFrame:
     """``df`` written to the shared folder and read again: a lineage cut that a
     lost executor does not undo and of which readers fetch single columns."""
     spark = df.sparkSession
     path = scratch_path(spark, tag)
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
     # the nullable schema that parquet would give, without a job to infer it
     return spark.read.schema(df.schema).parquet(path)
 

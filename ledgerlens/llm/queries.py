@@ -7,9 +7,13 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import crf_langid, curriculum_mix, hash_tree, html_main_text, mph_dedup, quality_rules, sp_chunks, token_rollup, trie_join, warc_chunks
+from . import (
+    crf_langid, curriculum_mix, hash_tree, html_main_text, merkle_manifest, mph_dedup, quality_rules, sp_chunks,
+    token_alignment, token_files, token_rollup, trie_join, warc_chunks,
+)
 
 PIECE_MODEL = public_tokenizers.path("piece_bpe_32k.model")
+BPE_JSON = public_tokenizers.path("byte_bpe_50k.json")
 BPE_RANKS = public_tokenizers.path("byte_bpe_50k.tiktoken")
 
 
@@ -60,6 +64,19 @@ def op10_mph_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mph_dedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_alignment.aligned(table(spark, sf_dir, "documents"), token_files.vocabulary(BPE_JSON),
+                                   sp_chunks.model_bytes(PIECE_MODEL))
+
+
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle_manifest.manifest(table(spark, sf_dir, "documents"))
+
+
+def op13_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(table(spark, sf_dir, "documents"), token_files.vocabulary(BPE_JSON), end=2)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_html_main_text": op1_html_main_text,
     "op2_quality_rules": op2_quality_rules,
@@ -71,4 +88,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hash_tree": op8_hash_tree,
     "op9_crf_langid": op9_crf_langid,
     "op10_mph_dedup": op10_mph_dedup,
+    "op11_token_alignment": op11_token_alignment,
+    "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_token_files": op13_token_files,
 }
