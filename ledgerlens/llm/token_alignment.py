@@ -7,9 +7,9 @@ both sides end a token, and these slice both id lists into groups. Inside a
 group, a token of one side is linked with each of the other whose range
 overlaps its own.
 
-Byte-level BPE and SentencePiece both end a token before a space that follows a
-word (``token_pieces``), so a text is a sequence of pieces, and each distinct
-piece of a task is encoded and aligned once. The links of a document go on as
+Byte-level BPE and SentencePiece both end a token at certain places
+(``token_pieces``, ``check_cuts``), so a text is a sequence of pieces, and each
+distinct piece of a task is encoded and aligned once, many in one pass. The links of a document go on as
 counted id pairs. How many links of the corpus hold a pair is a sum over all
 documents, combined per task; the counts come back to the documents by a join:
 pairs with at least a 100,000th of all rows by a broadcast, of which there can
@@ -19,8 +19,9 @@ be no more than 100,000, and all others, none of them frequent, by a shuffle.
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import chain, groupby
 
 import numpy as np
 import pyarrow as pa
@@ -48,21 +49,32 @@ def byte_level() -> dict[str, int]:
     return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(others)}
 
 
-def sliced(ends_a: list[int], ends_b: list[int]) -> Iterator[tuple[int, int, int, int]]:
-    """Groups as slices (begin and end in A, begin and end in B)."""
-    after_a, after_b = ({end: i for i, end in enumerate(ends, 1)} for ends in (ends_a, ends_b))
-    a = b = 0
-    for end in sorted(after_a.keys() & after_b.keys()):
-        yield a, after_a[end], b, after_b[end]
-        a, b = after_a[end], after_b[end]
+def sliced(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Groups: the index after the last token of each, in A and in B.
+
+    A hash set of each side's ends, with the index after each, and their
+    intersection in order.
+    """
+    after_a, after_b = (dict(zip(ends.tolist(), range(1, len(ends) + 1))) for ends in (ends_a, ends_b))
+    common = sorted(after_a.keys() & after_b.keys())
+    return tuple(np.fromiter(map(after.__getitem__, common), np.int64, len(common)) for after in (after_a, after_b))
+
+
+def linked(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Index pairs of the tokens whose ranges overlap: between two ends that
+    follow each other, of whichever side, lie one token of A and one of B."""
+    ends = np.union1d(ends_a, ends_b)
+    return np.searchsorted(ends_a, ends), np.searchsorted(ends_b, ends)
 
 
-def linked(ends_a: list[int], ends_b: list[int], a: int, a_end: int, b: int, b_end: int) -> Iterator[tuple[int, int]]:
-    """Index pairs of a group's tokens whose ranges overlap."""
-    while a < a_end and b < b_end:
-        yield a, b
-        here_a, here_b = ends_a[a], ends_b[b]
-        a, b = a + (here_a <= here_b), b + (here_b <= here_a)
+def check_cuts(model: bytes) -> None:
+    """Raise if a piece of the model reaches over a place where ``token_pieces`` cuts."""
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_proto=model)
+    for i in range(sp.get_piece_size()):
+        if not sp.is_byte(i) and re.search(r"\n|[A-Za-z][.,;:!?)]", sp.id_to_piece(i)):
+            raise ValueError(f"piece {sp.id_to_piece(i)!r} reaches over a cut")
 
 
 class Alignments(PieceTable):
@@ -73,12 +85,16 @@ class Alignments(PieceTable):
 
         self.bpe = byte_bpe(bpe_json, plain_specials=True)
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
-        self.alone = self.sp.piece_to_id(MARK)
+        self.alone, self.feed = self.sp.encode("\n")  # the marker that the library puts before a text, and the feed
         of = byte_level()
-        self.bytes_a = [bytes(of[c] for c in self.bpe.id_to_token(i)) if set(self.bpe.id_to_token(i)) <= of.keys()
-                        else self.bpe.id_to_token(i).encode() for i in range(self.bpe.get_vocab_size())]
+        self.bytes_a = [bytes(of[c] for c in p) if set(p) <= of.keys() else p.encode()
+                        for p in map(self.bpe.id_to_token, range(self.bpe.get_vocab_size()))]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.sp.is_byte(i) else p.replace(MARK, " ").encode()
                         for i, p in ((i, self.sp.id_to_piece(i)) for i in range(self.sp.get_piece_size()))]
+        self.sizes_a, self.sizes_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
+        # an id as it stands in a group: before another of its side, and at its side's end
+        self.said_a, self.said_b = (np.array([[f"{i},", f"{i}{end}"] for i in range(len(x))], object)
+                                    for x, end in ((self.bytes_a, "|"), (self.bytes_b, ";")))
         super().__init__()
 
     def clear(self) -> None:
@@ -86,34 +102,60 @@ class Alignments(PieceTable):
         self.groups: list[str | None] = []
         self.counts, self.codes = Flat(np.int64), Flat(np.int64)
 
+    def _ids_b(self, pieces: list[str]) -> list[list[int]]:
+        """The library puts a marker before what it encodes: a piece goes without
+        its space, and one without a space goes after a line feed."""
+        ids = self.sp.encode([p[1:] if p[0] == " " else "\n" + p for p in pieces], num_threads=1)
+        return [(x or [self.alone]) if p[0] == " " else x[2:] for p, x in zip(pieces, ids)]
+
     def add(self, pieces: list[str]) -> None:
-        ids_a = bpe_ids(self.bpe, pieces)
-        # the library puts a marker before what it encodes, so a piece goes without its space
-        ids_b = [ids or [self.alone] for ids in self.sp.encode([p[1:] for p in pieces], num_threads=1)]
-        counts, lengths, codes = [], [], []
-        for piece, a, b in zip(pieces, ids_a, ids_b):
-            tokens_a, tokens_b = [self.bytes_a[i] for i in a], [self.bytes_b[i] for i in b]
-            body = piece.encode()
-            if b"".join(tokens_a) != body or b"".join(tokens_b) != body:
-                self.groups.append(None)
-                counts += (0, 0, 0)
-                lengths.append(0)
-                continue
-            ends_a, ends_b = list(accumulate(map(len, tokens_a))), list(accumulate(map(len, tokens_b)))
-            said, before = [], len(codes)
-            for a0, a1, b0, b1 in sliced(ends_a, ends_b):
-                said.append(",".join(map(str, a[a0:a1])) + "|" + ",".join(map(str, b[b0:b1])))
-                codes += [a[i] << B_BITS | b[j] for i, j in linked(ends_a, ends_b, a0, a1, b0, b1)]
-            self.groups.append(";".join(said))
-            counts += (len(a), len(b), len(said))
-            lengths.append(len(codes) - before)
-        self.counts.extend(np.full(len(pieces), 3), np.array(counts, np.int64))
-        self.codes.extend(np.array(lengths, np.int64), np.array(codes, np.int64))
+        full = [p or " " for p in pieces]  # the empty piece, if any, is in no text
+        for begin in range(0, len(pieces), 20_000):
+            part = full[begin:begin + 20_000]
+            self._add(part, bpe_ids(self.bpe, part), self._ids_b(part))
+
+    def _add(self, pieces: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> None:
+        n, bodies = len(pieces), [p.encode() for p in pieces]
+        sizes = np.fromiter(map(len, bodies), np.int64, n)
+        n_a, n_b = (np.fromiter(map(len, x), np.int64, n) for x in (ids_a, ids_b))
+        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
+        ends_a, ends_b = np.cumsum(self.sizes_a[flat_a]), np.cumsum(self.sizes_b[flat_b])
+        ends, body = np.cumsum(sizes), b"".join(bodies)
+        if not (all(len(e) and np.array_equal(e[np.cumsum(k) - 1], ends) for e, k in ((ends_a, n_a), (ends_b, n_b)))
+                and body == b"".join(map(self.bytes_a.__getitem__, flat_a.tolist()))
+                and body == b"".join(map(self.bytes_b.__getitem__, flat_b.tolist()))):
+            # some piece does not come back byte for byte: those are set apart
+            sound = [b"".join(map(self.bytes_a.__getitem__, a)) == p == b"".join(map(self.bytes_b.__getitem__, b))
+                     for p, a, b in zip(bodies, ids_a, ids_b)]
+            for good, run in groupby(range(n), sound.__getitem__):
+                run = list(run)
+                if good:
+                    self._add(*([x[i] for i in run] for x in (pieces, ids_a, ids_b)))
+                else:
+                    self.groups += [None] * len(run)
+                    self.counts.extend(np.full(len(run), 3), np.zeros(3 * len(run), np.int64))
+                    self.codes.extend(np.zeros(len(run), np.int64), np.zeros(0, np.int64))
+            return
+        # all pieces of the block lie one after another, and each ends a token of both sides
+        stop_a, stop_b = sliced(ends_a, ends_b)
+        last_a, last_b = np.zeros(len(flat_a), np.int64), np.zeros(len(flat_b), np.int64)
+        last_a[stop_a - 1], last_b[stop_b - 1] = 1, 1
+        # group by group, first A's ids, then B's
+        order = np.argsort(np.concatenate([2 * (np.cumsum(last_a) - last_a), 2 * (np.cumsum(last_b) - last_b) + 1]), kind="stable")
+        said = np.concatenate([self.said_a[flat_a, last_a], self.said_b[flat_b, last_b]])[order].tolist()
+        upto = np.cumsum(n_a + n_b).tolist()
+        self.groups += ["".join(said[a:b]) for a, b in zip([0, *upto], upto)]
+        of_piece = np.searchsorted(ends, ends_a[stop_a - 1])
+        n_groups = np.bincount(of_piece, minlength=n)
+        self.counts.extend(np.full(n, 3), np.stack([n_a, n_b, n_groups], axis=1).ravel())
+        a, b = linked(ends_a, ends_b)
+        self.codes.extend(np.bincount(np.searchsorted(ends, ends_a[a] - self.sizes_a[flat_a[a]], "right"), minlength=n),
+                          flat_a[a] << B_BITS | flat_b[b])
 
     def documents(self, texts: list[str | None]) -> list["Document"]:
         docs = [Document() for _ in texts]
         for owners, parts in slabs([" " + t if t else "" for t in texts]):
-            distinct, numbers, sizes = cut(parts, fine=False)
+            distinct, numbers, sizes = cut(parts)
             at, end = self.find(distinct)[numbers], np.cumsum(sizes)
             for owner, stop, size in zip(owners, end, sizes):
                 docs[owner].put(self, at[stop - size:stop])
@@ -134,7 +176,7 @@ class Document:
         if not self.sound or None in said:
             self.sound = False
             return
-        self.sha.update(((";" if self.counts[2] else "") + ";".join(said)).encode())
+        self.sha.update(((";" if self.counts[2] else "") + "".join(said)[:-1]).encode())
         self.counts += table.counts.take(at).reshape(-1, 3).sum(axis=0)
         codes, times = np.unique(table.codes.take(at), return_counts=True)
         self.codes.append(codes)
@@ -151,6 +193,8 @@ def alignments(docs: DataFrame, bpe_json: str, model: bytes, text: str = "text",
     """A row per document: its number, doc_id, counts and digest of its groups,
     and its linked id pairs (A's id in the high bits) with how often they occur."""
 
+    check_cuts(model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = Alignments(bpe_json, model)
         for batch in batches:

@@ -75,7 +75,7 @@ class Ids(PieceTable):
         """The ids of each text and the end id."""
         found: list[list[np.ndarray]] = [[] for _ in texts]
         for owners, parts in slabs([t or "" for t in texts]):
-            distinct, numbers, sizes = cut(parts, fine=True)
+            distinct, numbers, sizes = cut(parts)
             at = self.find(distinct)[numbers]
             ids, lengths = self.ids.take(at), self.ids.lengths(at)
             # ends of the parts among the ids

@@ -4,10 +4,11 @@ so that each distinct piece is encoded once while a task reads its rows.
 A cut before a space is safe after a character that is no white space: the
 byte-level BPE begins a word there (the space goes with the word) and a
 SentencePiece model without markers inside its pieces does too. For the
-byte-level BPE alone, a single line feed stands for itself, and a letter and
-the sign after it (not an apostrophe) never share a word. Texts with white
-space in a row, or with characters on whose being white space libraries differ,
-are cut before spaces alone, by a pattern.
+byte-level BPE, a single line feed stands for itself, and a letter and the sign
+after it (not an apostrophe) never share a word; a SentencePiece model may be
+cut there if no piece of its holds such a pair. Texts with white space in a
+row, or with characters on whose being white space libraries differ, are cut
+before spaces alone, by a pattern.
 """
 
 from __future__ import annotations
@@ -47,15 +48,14 @@ def slabs(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
         yield owners, parts
 
 
-def cut(parts: list[str], fine: bool) -> tuple[list[str], np.ndarray, np.ndarray]:
+def cut(parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct pieces of some parts, the pieces' numbers part after part, and
-    how many each part has. ``fine`` cuts are those of the byte-level BPE."""
+    how many each part has."""
     uneven = [bool(UNEVEN.search(p)) for p in parts]
     even = pa.array([p for p, u in zip(parts, uneven) if not u], pa.large_string())
     marked = pc.replace_substring(even, " ", CUT + " ")
-    if fine:
-        marked = pc.replace_substring(marked, "\n", CUT + "\n" + CUT)
-        marked = pc.replace_substring_regex(marked, LETTER_SIGN, "\\1" + CUT + "\\2")
+    marked = pc.replace_substring(marked, "\n", CUT + "\n" + CUT)
+    marked = pc.replace_substring_regex(marked, LETTER_SIGN, "\\1" + CUT + "\\2")
     lists = pc.split_pattern(marked, CUT)
     odd = [BEFORE_SPACE.split(p) for p, u in zip(parts, uneven) if u]
     codes = pa.chunked_array([lists.flatten(), pa.array([x for p in odd for x in p], pa.large_string())]

@@ -3,6 +3,7 @@ import random
 from bisect import bisect_left
 from collections import Counter, defaultdict
 
+import numpy as np
 import public_tokenizers as P
 import pytest
 import sentencepiece
@@ -111,6 +112,18 @@ def test_long_texts_in_slabs_and_a_small_table(libraries, monkeypatch):
 
 
 def test_slices_and_links_by_hand():
-    assert list(t.sliced([1, 3, 6], [2, 3, 4, 6])) == [(0, 2, 0, 2), (2, 3, 2, 4)]
-    assert list(t.linked([1, 3, 6], [2, 3, 4, 6], 0, 2, 0, 2)) == [(0, 0), (1, 0), (1, 1)]
-    assert list(t.sliced([], [])) == []
+    a, b = np.array([1, 3, 6]), np.array([2, 3, 4, 6])
+    assert [x.tolist() for x in t.sliced(a, b)] == [[2, 3], [2, 4]]
+    assert list(zip(*map(np.ndarray.tolist, t.linked(a, b)))) == [(0, 0), (1, 0), (1, 1), (2, 2), (2, 3)]
+
+
+def test_a_model_whose_pieces_reach_over_cuts_is_refused():
+    class Model:
+        get_piece_size = staticmethod(lambda: 2)
+        is_byte = staticmethod(lambda i: False)
+        id_to_piece = staticmethod(["ab", "e.g"].__getitem__)
+
+    import unittest.mock
+
+    with unittest.mock.patch("sentencepiece.SentencePieceProcessor", lambda **_: Model), pytest.raises(ValueError, match="e.g"):
+        t.check_cuts(b"")
