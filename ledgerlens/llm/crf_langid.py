@@ -9,8 +9,8 @@ word's probabilities given the whole text, so a text that switches languages is
 labelled word by word; a document has the language with the greatest mean.
 
 Training takes a bounded sample of labelled documents (``SAMPLE_DOCS`` a
-language of at most ``SAMPLE_CHARS``, drawn by a hash of doc_id), cuts it into
-pieces and strings pieces of different languages together, so that transitions
+language and ``SAMPLE_ALL`` in all, their first ``SAMPLE_CHARS`` characters,
+drawn by a hash of doc_id), cuts it into pieces and strings pieces of different languages together, so that transitions
 learn what a switch looks like. Prediction reads whole texts. Its recursions
 run over blocks of words side by side: the transfer matrices of all blocks
 first, then the chain of blocks, then the words inside them, which is the same
@@ -28,14 +28,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import broadcast_if_small
+from .common import broadcast_if_small, written
 
-#: Bounds of the training sample.
-SAMPLE_DOCS, SAMPLE_CHARS = 300, 20_000
+#: Bounds of the training sample: documents of a language, of all languages (but
+#: ``SAMPLE_LEAST`` of each), characters of a document.
+SAMPLE_DOCS, SAMPLE_ALL, SAMPLE_LEAST, SAMPLE_CHARS = 300, 6_000, 5, 20_000
 #: Sizes of the hashed tables: n-grams and affixes, words.
 GRAMS, LEXICON = 1 << 16, 1 << 17
-#: Words in a training sequence, passes over the sample, step size, weight decay.
-LENGTH, EPOCHS, STEP, DECAY = 64, 4, 0.3, 1e-6
+#: Words in a training sequence, sequences in a step, passes over the sample and
+#: steps at least, step size, weight decay.
+LENGTH, CHAINS, EPOCHS, LEAST_STEPS, STEP, DECAY = 64, 128, 4, 40, 0.3, 1e-6
 #: Words in a block of the recursions; characters handled at a time, about.
 BLOCK, CHARS = 32, 1_000_000
 UNKNOWN = "und"
@@ -182,12 +184,15 @@ def train(texts: list[str], languages: list[str], features: Features) -> Model:
             j = min(e, i + int(rng.integers(8, 41)))
             pieces.append((i, j))
             i = j
-    for _ in range(EPOCHS if k > 1 else 0):
+    whole = len(text) // LENGTH  # a last, shorter sequence trains too
+    steps = -(-whole // CHAINS) + (len(text) % LENGTH > 0)
+    for _ in range(max(EPOCHS, -(-LEAST_STEPS // max(1, steps))) if k > 1 and steps else 0):
         mixed = np.concatenate([np.arange(*pieces[p]) for p in rng.permutation(len(pieces))])
-        n_chains = len(mixed) // LENGTH
-        for begin in range(0, n_chains, 128):
-            chains = mixed[begin * LENGTH:min(begin + 128, n_chains) * LENGTH].reshape(-1, LENGTH)
+        for begin in range(0, whole, CHAINS):
+            chains = mixed[begin * LENGTH:min(begin + CHAINS, whole) * LENGTH].reshape(-1, LENGTH)
             _step(model, seen, chains, begins, ends, grams, words, label)
+        if len(rest := mixed[whole * LENGTH:]):
+            _step(model, seen, rest.reshape(1, -1), begins, ends, grams, words, label)
     return model
 
 
@@ -235,16 +240,16 @@ def remainder(doc_id: Column) -> Column:
 
 def learned(docs: DataFrame) -> Model | None:
     """A model from the sample of labelled rows outside the held-out third; None without any."""
-    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id")) != 1)
-                      & (F.length("text") <= SAMPLE_CHARS)).select(
-        F.col("lang").cast("string").alias("lang"), "text",
+    rows = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & (remainder(F.col("doc_id")) != 1)).select(
+        F.col("lang").cast("string").alias("lang"), F.substring("text", 1, SAMPLE_CHARS).alias("text"),
         F.md5(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")).alias("_key"))
-    counts = broadcast_if_small(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")))
+    counts = written(rows.groupBy("lang").agg(F.count(F.lit(1)).alias("_n")), "languages")
+    share = max(SAMPLE_LEAST, min(SAMPLE_DOCS, SAMPLE_ALL // max(1, counts.count())))
     # about twice the sample by the hash, then the first of those in its order
-    drawn = rows.join(counts, "lang").where(
-        F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") * F.col("_n") <= 2 * SAMPLE_DOCS * float(2 ** 32))
+    drawn = rows.join(broadcast_if_small(counts), "lang").where(
+        F.conv(F.substring("_key", 1, 8), 16, 10).cast("double") * F.col("_n") <= 2 * share * float(2 ** 32))
     first = Window.partitionBy("lang").orderBy("_key", "text")
-    sample = (drawn.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= SAMPLE_DOCS)
+    sample = (drawn.withColumn("_rank", F.row_number().over(first)).where(F.col("_rank") <= share)
               .orderBy("lang", "_rank").select("text", "lang").collect())
     if not sample:
         return None
@@ -303,10 +308,12 @@ def identified(docs: DataFrame, model: Model | None) -> DataFrame:
     score 0, as is every text where nothing was there to learn from. Repeated
     rows are rows of their own; of equal means the first language in order wins.
     """
-    shipped = docs.sparkSession.sparkContext.broadcast(model)  # tables of fixed size
+    # a list and arrays of fixed size: an object of this module could not be read by workers without the package
+    shipped = docs.sparkSession.sparkContext.broadcast(
+        model and (model.labels, model.grams, model.lexicon, model.transitions))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labeller = Labeller(shipped.value) if shipped.value else None
+        labeller = Labeller(Model(*shipped.value)) if shipped.value else None
         for batch in batches:
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)

@@ -82,3 +82,31 @@ def test_odd_rows(odd, empty):
     assert {x[0] for x in got[6]} <= {"en", "fr", "de"} and len(got[6]) == 2 and len(got[None]) == 2
     assert c.identified(empty, c.learned(empty)).count() == 0
     assert {r.lang_pred for r in c.identified(odd, None).collect()} == {"und"}
+
+
+def test_few_words_train_too(spark):
+    """Twelve short documents in two languages, under 64 words in all."""
+    en, fr = ["the cat and the dog", "the house of the man", "and then the day"], ["le chat et le chien", "la maison de la femme", "et puis le jour"]
+    rows = [(i, text, lang, "s", 0) for i, (text, lang) in enumerate(2 * ([(x, "en") for x in en] + [(x, "fr") for x in fr]))]
+    df = spark.createDataFrame(rows, DOCS)
+    model = c.train([r[1] for r in rows], [r[2] for r in rows], c.Features())
+    got = {r.doc_id: (r.lang_pred, r.score) for r in c.identified(df, model).collect()}
+    assert all(got[r[0]][0] == r[2] and got[r[0]][1] > 0.6 for r in rows)
+
+
+def test_a_language_of_long_documents_alone_is_learned(spark):
+    rows = [(i, "der hund und die katze " * 3, "de", "s", 0) for i in range(12)]
+    rows += [(100 + i, "o gato e o cachorro " * 2_000, "pt", "s", 0) for i in range(12)]
+    df = spark.createDataFrame(rows, DOCS)
+    model = c.learned(df)
+    assert model.labels == ["de", "pt"]
+    assert {r.lang_pred for r in c.identified(df, model).where("doc_id >= 100").collect()} == {"pt"}
+
+
+def test_the_sample_is_bounded_in_all(spark, monkeypatch):
+    monkeypatch.setattr(c, "SAMPLE_ALL", 40)
+    taken = []
+    monkeypatch.setattr(c, "train", lambda texts, languages, features: taken.append(len(texts)))
+    rows = [(i, f"word{i}", f"l{i % 10}", "s", 0) for i in range(900)]
+    c.learned(spark.createDataFrame(rows, DOCS))
+    assert 0 < taken[0] <= 10 * max(c.SAMPLE_LEAST, 4)
