@@ -25,18 +25,15 @@ measured AS (
   FROM spread s LEFT JOIN covered c ON c.r = s.r),
 failing AS (
   SELECT *, n_words < {min_words} OR 100 * n_repeat_words > {max_repeat} * n_words AS base_failed,
-         CASE WHEN word_chars > 0 THEN 10000 * n_symbols // word_chars ELSE 0 END AS symbol_share,
-         CASE WHEN n_lines > 0 THEN 10000 * n_dup_lines // n_lines ELSE 0 END AS dup_line_share,
-         CASE WHEN n_words > 0 THEN 10000 * n_repeat_words // n_words ELSE 0 END AS repeat_share,
-         CASE WHEN n_words > 0 THEN 100 * word_chars // n_words ELSE 0 END AS letters_a_word
+         {shares}
   FROM measured)
 """
 
 
 def _shares() -> str:
     return "\nUNION ALL ".join(
-        f"SELECT lang, source, '{k}' AS share, {k} AS v, {m} AS least FROM failing WHERE NOT base_failed"
-        for k, m in SHARES.items())
+        f"SELECT lang, source, '{k}' AS share, {k} AS v, {x.margin} AS least FROM failing WHERE NOT base_failed"
+        for k, x in SHARES.items())
 
 
 def _fence(level: str, keys: str) -> str:
@@ -44,15 +41,17 @@ def _fence(level: str, keys: str) -> str:
     part = ", ".join(x for x in (keys, "share") if x)
     return f"""{level} AS (
   SELECT {part}, max(total) AS total,
-         min(CASE WHEN 4 * upto >= 3 * total THEN top END) + greatest(max(least),
-           {SPREADS} * (min(CASE WHEN 4 * upto >= 3 * total THEN top END) - min(CASE WHEN 2 * upto >= total THEN top END))) AS fence
+         min(CASE WHEN 2 * upto >= total THEN top END) + greatest(max(least),
+           {SPREADS} * (min(CASE WHEN 2 * upto >= total THEN top END) - min(CASE WHEN 10 * upto >= total THEN top END))) AS fence
   FROM (SELECT *, row_number() OVER (PARTITION BY {part} ORDER BY v) AS upto, count(*) OVER (PARTITION BY {part}) AS total FROM tops)
   GROUP BY {part})"""
 
 
 def quality_ctes(docs: str) -> str:
     """CTEs that end in ``judged``: each document's measures and verdict."""
-    return MEASURES.format(docs=docs, min_words=MIN_WORDS, max_repeat=MAX_REPEAT_PERCENT) + f""",
+    parts = ",\n         ".join(f"CASE WHEN {x.per} > 0 THEN {x.scale} * {x.of} // {x.per} ELSE 0 END AS {k}" for k, x in SHARES.items())
+    beyond = [f"coalesce({x.scale} * d.{x.of} - w.f_{k} * d.{x.per} >= {x.scale * x.units}, false)" for k, x in SHARES.items()]
+    return MEASURES.format(docs=docs, min_words=MIN_WORDS, max_repeat=MAX_REPEAT_PERCENT, shares=parts) + f""",
 shares AS ({_shares()}),
 bits AS (SELECT *, greatest(length(bin(v)) - 7, 0) AS s FROM shares),
 tops AS (SELECT lang, source, share, v, least, CASE WHEN s = 0 THEN v ELSE (v // (1 << s) + 1) * (1 << s) - 1 END AS top FROM bits),
@@ -67,7 +66,7 @@ chosen AS (
 wide AS (SELECT lang, source, {', '.join(f"max(CASE WHEN share = '{k}' THEN fence END) AS f_{k}" for k in SHARES)}
   FROM chosen GROUP BY lang, source),
 judged AS (
-  SELECT d.*, NOT base_failed AND {' AND '.join(f'd.{k} <= coalesce(w.f_{k}, d.{k})' for k in SHARES)} AS kept
+  SELECT d.*, NOT (base_failed OR {' OR '.join(beyond)}) AS kept
   FROM failing d LEFT JOIN wide w ON w.lang IS NOT DISTINCT FROM d.lang AND w.source IS NOT DISTINCT FROM d.source)"""
 
 
@@ -94,7 +93,7 @@ def mix_sql(mix: Mix = Mix()) -> str:
         for e in range(mix.max_epochs))
     return rf"""WITH sized AS (
   SELECT doc_id, CASE WHEN source IS NULL THEN '1' ELSE '0' || source END AS k, md5(coalesce(doc_id::VARCHAR, '')) AS h,
-         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[ 	-]+'), lambda x: x <> ''))::BIGINT AS size
+         len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> ''))::BIGINT AS size
   FROM documents),
 streams AS (SELECT *, coalesce(sum(size) OVER (PARTITION BY k ORDER BY h, doc_id, size
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start FROM sized),

@@ -4,8 +4,12 @@ A document has fixed base rules and, beyond them, shares (symbols, repeated
 lines, repeated words, letters a word). What is normal for a share differs by
 language and source, so the cutoffs are not constants: each (lang, source)
 keeps a quantile sketch of each share, and a document is rejected when it lies
-beyond the upper fence (third quartile plus a multiple of the spread) of its
-own group.
+beyond the fence of its own group: the median and a multiple of the spread below
+it (median less lower decile). Both come from the group's lower half, so bad
+documents, even if they are nearly half of a group, do not lift its fence. Where
+most documents have the same value the spread is nothing, and a margin of a few
+percent takes its place. A share of few words or lines says little, so what lies
+beyond the fence must also be a number of words, lines or characters.
 
 The sketch is a log-linear histogram of integers: exact below 128, above it 64
 buckets for each power of two (relative error under 1/64). It is a table of
@@ -19,6 +23,8 @@ sorted inside the row, so that long texts cost n log n and nothing is exploded.
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -30,10 +36,26 @@ MAX_REPEAT_PERCENT = 20
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
 
-#: Share -> least margin between the third quartile and the fence;
-#: shares count in 1/10000, letters a word in 1/100.
-SHARES = {"symbol_share": 500, "dup_line_share": 5000, "repeat_share": 2000, "letters_a_word": 400}
-#: Spreads (third quartile less median) between the third quartile and the fence.
+
+
+class Share(NamedTuple):
+    """A share: ``of`` parts in ``scale`` of ``per``; the least margin between
+    median and fence, in the same unit; how many of ``of`` must lie beyond."""
+
+    of: str
+    per: str
+    scale: int
+    margin: int
+    units: int
+
+
+SHARES = {
+    "symbol_share": Share("n_symbols", "word_chars", 10_000, 200, 10),
+    "dup_line_share": Share("n_dup_lines", "n_lines", 10_000, 1_000, 3),
+    "repeat_share": Share("n_repeat_words", "n_words", 10_000, 500, 30),
+    "letters_a_word": Share("word_chars", "n_words", 100, 50, 30),
+}
+#: Spreads (median less lower decile) between the median and the fence.
 SPREADS = 8
 #: Documents that a group must have to be judged by its own sketch.
 MIN_GROUP = 200
@@ -85,13 +107,14 @@ def base_failed(m: Column) -> Column:
 def shares(m: Column) -> Column:
     """The shares as whole numbers; 0 where there is nothing to divide by."""
 
-    def part(scale: int, a: str, b: str, name: str) -> Column:
-        return F.when(m[b] > 0, F.floor(scale * m[a] / m[b])).otherwise(F.lit(0)).cast("long").alias(name)
+    return F.struct(*[
+        F.when(m[x.per] > 0, F.floor(x.scale * m[x.of] / m[x.per])).otherwise(F.lit(0)).cast("long").alias(k)
+        for k, x in SHARES.items()])
 
-    return F.struct(part(10000, "n_symbols", "word_chars", "symbol_share"),
-                    part(10000, "n_dup_lines", "n_lines", "dup_line_share"),
-                    part(10000, "n_repeat_words", "n_words", "repeat_share"),
-                    part(100, "word_chars", "n_words", "letters_a_word"))
+
+def beyond(m: Column, fence: Column, share: Share) -> Column:
+    """Whether at least ``units`` lie beyond the fence."""
+    return share.scale * m[share.of] - fence * m[share.per] >= share.scale * share.units
 
 
 def _shift(v: Column) -> Column:
@@ -125,18 +148,18 @@ def merged(sketch: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def fences(sketch: DataFrame, keys: list[str]) -> DataFrame:
-    """(keys, share, total, fence): the fence from the quartiles of each sketch."""
+    """(keys, share, total, fence): the fence from the median and the lower decile of each sketch."""
     w = Window.partitionBy(*keys, "share")
     ranked = sketch.withColumn("_total", F.sum("n").over(w)).withColumn("_upto", F.sum("n").over(
         w.orderBy("bucket").rowsBetween(Window.unboundedPreceding, 0)))
     top = bucket_top(F.col("bucket"))
-    least = F.create_map(*[F.lit(x) for kv in SHARES.items() for x in kv])
+    least = F.create_map(*[F.lit(x) for k, share in SHARES.items() for x in (k, share.margin)])
     return (ranked.groupBy(*keys, "share").agg(
         F.first("_total").alias("total"),
         F.min(F.when(2 * F.col("_upto") >= F.col("_total"), top)).alias("_median"),
-        F.min(F.when(4 * F.col("_upto") >= 3 * F.col("_total"), top)).alias("_third"))
-        .select(*keys, "share", "total", (F.col("_third") + F.greatest(
-            least[F.col("share")], SPREADS * (F.col("_third") - F.col("_median")))).cast("long").alias("fence")))
+        F.min(F.when(10 * F.col("_upto") >= F.col("_total"), top)).alias("_tenth"))
+        .select(*keys, "share", "total", (F.col("_median") + F.greatest(
+            least[F.col("share")], SPREADS * (F.col("_median") - F.col("_tenth")))).cast("long").alias("fence")))
 
 
 def thresholds(measured: DataFrame) -> DataFrame:
@@ -155,11 +178,10 @@ def thresholds(measured: DataFrame) -> DataFrame:
 
 def judged(measured: DataFrame) -> DataFrame:
     """``measured`` with _base_failed and _kept."""
-    s = shares(F.col("_m"))
     within = F.lit(True)
-    for k in SHARES:
+    for k, share in SHARES.items():
         # a group whose documents all fail the base rules has no sketch
-        within = within & F.coalesce(s[k] <= F.col(f"_fence_{k}"), F.lit(True))
+        within = within & ~F.coalesce(beyond(F.col("_m"), F.col(f"_fence_{k}"), share), F.lit(False))
     out = null_safe(measured, broadcast_if_small(thresholds(measured)), ["lang", "source"], "left")
     return out.withColumn("_base_failed", base_failed(F.col("_m"))).withColumn("_kept", ~F.col("_base_failed") & within)
 

@@ -58,6 +58,54 @@ def test_thresholds_follow_the_group(spark):
     assert got[5000] == [False]
 
 
+def plain_texts(n, words, lang="en", source="s", first=0, rng=random.Random(1)):
+    """``n`` documents of ``words`` words in lines of ten, none of them odd."""
+    rows = []
+    for i in range(n):
+        ws = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 7))) for _ in range(words)]
+        rows.append((first + i, "\n".join(" ".join(ws[k:k + 10]) for k in range(0, words, 10)), lang, source, 0))
+    return rows
+
+
+def test_each_rule_rejects_its_outlier_and_no_plain_document(spark):
+    rng = random.Random(2)
+    rows = plain_texts(400, 200)
+    ws = ["".join(rng.choice("abcdefgh") for _ in range(6)) for _ in range(400)]
+    lines = [" ".join(ws[k:k + 4]) for k in range(0, 200, 4)]
+    outliers = {
+        9001: " ".join(w + "#" * (k % 3 == 0) for k, w in enumerate(ws[:200])),       # symbols
+        9002: "\n".join(lines[:40] + lines[9::-1]),                                   # lines of four words: no window repeats
+        9003: " ".join(ws[:360] + ws[:36]),                                           # words, less than the base rule's fifth
+        9004: " ".join(w * 4 for w in ws[:200])}                                      # long words
+    rows += [(k, text, "en", "s", 0) for k, text in outliers.items()]
+    got = by_id(q.quality(spark.createDataFrame(rows, DOCS)), "base_failed", "kept")
+    assert all(got[k] == [(False, False)] for k in outliers), {k: got[k] for k in outliers}
+    assert all(got[r[0]] == [(False, True)] for r in rows[:400])
+
+
+def test_a_bad_third_of_a_source_does_not_lift_its_fence(spark):
+    rows = plain_texts(700, 60)
+    rows += [(5000 + r[0], r[1].replace("a", "#").replace("b", "$").replace("c", "%"), "en", "s", 0) for r in plain_texts(300, 60)]
+    got = by_id(q.quality(spark.createDataFrame(rows, DOCS)), "kept")
+    assert all(got[i] == [True] for i in range(700)) and not any(got[5000 + i][0] for i in range(300))
+
+
+def test_fences_differ_between_sources_and_short_documents_are_not_judged_by_chance(spark):
+    rng = random.Random(4)
+    rows = plain_texts(300, 100, source="prose")
+    rows += [(1000 + i, " ".join("".join(rng.choice("abcd") for _ in range(rng.randint(6, 14))) + "#" * (rng.random() < 0.3)
+                                 for _ in range(100)), "en", "code", 0) for i in range(300)]
+    df = spark.createDataFrame(rows, DOCS).select("lang", "source", q.measures(F.col("text")).alias("_m"))
+    fence = {r.source: r.asDict() for r in q.thresholds(df).collect()}
+    assert fence["code"]["_fence_symbol_share"] > fence["prose"]["_fence_symbol_share"]
+    assert fence["code"]["_fence_letters_a_word"] > fence["prose"]["_fence_letters_a_word"]
+    # one line of three is there twice, and ten words are long: few lines, few letters
+    short = [(7001, "one two three four\nfive six seven eight nine\none two three four", "en", "prose", 0),
+             (7002, "extraordinary words alone cannot condemn so short a document here", "en", "prose", 0)]
+    got = by_id(q.quality(spark.createDataFrame(rows + short, DOCS)), "base_failed", "kept")
+    assert got[7001] == [(False, True)] and got[7002] == [(False, True)]
+
+
 def test_odd_rows(odd, empty):
     got = by_id(q.quality(odd), "n_words", "base_failed", "kept")
     assert got[1] == [(0, True, False)] and got[2] == [(0, True, False)] and got[3] == [(0, True, False)]
