@@ -17,20 +17,39 @@ def join_dim(fact: DataFrame, dim: DataFrame, on, how: str = "left") -> DataFram
     return fact.join(dim, on, how)
 
 
-def left_join_many(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                   right_keys: Sequence[str]) -> DataFrame:
+def with_missing_keys(right: DataFrame, right_keys: Sequence[str], every_key: DataFrame) -> DataFrame:
+    """``right``, and a row of NULLs for each of ``every_key`` that it lacks.
+
+    The join keys come first, as ``_key_0``, ``_key_1``, ...; in the added rows
+    they alone have a value. An inner join with the result is a left join.
+    """
+    names = [f"_key_{i}" for i in range(len(right_keys))]
+    found = right.select(*[F.col(k).alias(n) for k, n in zip(right_keys, names)], "*")
+    # distinct per task before the shuffle, so a key of very many rows is one row there
+    there = right.select(*[F.col(k).alias(f"{n}_there") for k, n in zip(right_keys, names)]).distinct()
+    wanted = every_key.toDF(*names).distinct()
+    lacking = wanted.join(there, [F.col(n) == F.col(f"{n}_there") for n in names], "left_anti")
+    return found.unionByName(lacking.select(
+        *names, *[F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema]))
+
+
+def left_join_many(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
+                   every_key: DataFrame | None = None) -> DataFrame:
     """Left join to a side that may hold very many rows of one key.
 
     Adaptive execution splits a hot right side under an inner join, not under a
-    left one. So matches are an inner join, and the left rows without a match
-    come from an anti join with the right side's distinct keys, which are
-    reduced per task before they are shuffled.
+    left one. So the right side gets a row of NULLs for each key that it lacks
+    (``with_missing_keys``), and the join is an inner one that reads ``left``
+    once. ``every_key`` are the keys to look for, at least those of ``left``,
+    and says that none of them is NULL; without it they are read off ``left``,
+    and left rows with a NULL key stay, without a match.
     """
-    on = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
-    matched = left.join(right, on, "inner")
-    alone = left.join(right.select(*right_keys).distinct(), on, "left_anti")
-    return matched.unionByName(alone.select(
-        "*", *[F.lit(None).cast(right.schema[c].dataType).alias(c) for c in right.columns]))
+    keys = left.select(*left_keys) if every_key is None else every_key
+    full = with_missing_keys(right.dropna(subset=list(right_keys)) if every_key is None else right, right_keys, keys)
+    names = [f"_key_{i}" for i in range(len(left_keys))]
+    on = [F.col(k).eqNullSafe(F.col(n)) if every_key is None else F.col(k) == F.col(n)
+          for k, n in zip(left_keys, names)]
+    return left.join(full, on, "inner").drop(*names)
 
 
 def role(dim: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:

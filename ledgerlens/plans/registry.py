@@ -39,17 +39,18 @@ def _t(spark, sf_dir):
 
 # ------------------------------------------------------------ sources, projection, filters
 def _checksum(field) -> Column:
-    """A whole number from a value: numbers as hundredths, instants as
-    microseconds, texts and arrays by their length."""
+    """A whole number from a value: numbers as hundredths, texts and instants
+    (their microseconds) by the first 32 bits of their MD5, arrays by their size."""
     c = F.col(field.name)
     kind = field.dataType.simpleString()
     if kind in ("int", "bigint"):
         return c.cast("bigint")
     if kind == "double":
         return F.round(c * 100).cast("bigint")
-    if kind == "timestamp_ntz":
-        return F.unix_micros(c.cast("timestamp")) % 1_000_003
-    return (F.length(c) if kind == "string" else F.size(c)).cast("bigint")
+    if kind in ("timestamp_ntz", "string"):
+        text = c if kind == "string" else F.unix_micros(c.cast("timestamp")).cast("string")
+        return F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("bigint")
+    return F.size(c).cast("bigint")
 
 
 @query

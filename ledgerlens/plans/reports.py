@@ -65,7 +65,7 @@ def project_master(src, statuses=ACTIVE_STATUSES, demo_name: str = DEMO) -> Data
                 .join(h, F.col("company_id") == F.col("_hid"), "left")
                 .join(u, F.col("_ram") == F.col("_uid"), "left")
                 .join(cou, F.col("_ccountry") == F.col("_couid"), "left"))
-    rows = (parts.with_waves(left_join_many(p, accounts, ["project_id"], ["_pa_pid"])
+    rows = (parts.with_waves(left_join_many(p, accounts, ["project_id"], ["_pa_pid"], parts.project_ids(src))
                              .where(F.col("_c_deleted").isNull()), src))
     return rows.select(
         "project_id",
@@ -211,9 +211,6 @@ def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
     """Sales against invoices per project, wave, client, invoice and product."""
     p = parts.projects_with_status(src, statuses).select(F.col("id").alias("project_id"),
                                                          F.col("name").alias("project_name"))
-    # products sold per project (multiplicity of sales lines does not matter here)
-    prods = (src.sales_line.where(F.col("sales_product_id").isNotNull())
-             .select(F.col("project_id").alias("_pp_pid"), "sales_product_id").distinct())
     # client companies that pass the name filters
     c2 = src.company.select(F.col("id").alias("_c2_id"), F.col("name").alias("client_name"))
     clients = (src.project_account.join(c2, F.col("company_id") == F.col("_c2_id"), "inner")
@@ -240,34 +237,33 @@ def data_export(src, statuses=ACTIVE_STATUSES, not_like: str = TESTING,
                      F.when(F.col("invoice_currency") == 12,
                             F.round(ip_units * money.rate_of(F.lit(12), money.RATES_BY_ID), 2))
                      .otherwise(ip_units).alias("invoice_amount"))
-    # sales per (project, product), converted after summing
-    ta = (src.sales_line.groupBy(F.col("project_id").alias("_ta_pid"), F.col("sales_product_id").alias("_ta_sp"))
+    # sales per (project, sold product), converted after summing: the products
+    # of a project and their amounts come from one read of the sales lines
+    ta = (src.sales_line.where(F.col("sales_product_id").isNotNull())
+          .groupBy(F.col("project_id").alias("_ta_pid"), "sales_product_id")
           .agg(aggs.first_null_first(F.col("currency_id")).alias("currency_id"),
                F.sum(F.col("quantity") * F.col("unit_price")).alias("_ta_sum")))
-    ta = ta.select("_ta_pid", "_ta_sp", F.col("currency_id").alias("sales_currency"),
+    ta = ta.select("_ta_pid", "sales_product_id", F.col("currency_id").alias("sales_currency"),
                    money.to_eur(money.to_units(F.col("_ta_sum")), F.col("currency_id"),
                                 money.RATES_BY_ID).alias("sales_amount"))
     spt = src.product.select(F.col("translatable_id").alias("_spt_tid"), F.col("name").alias("product")).distinct()
-    # waves with the first time-log text of each wave
+    # the first time-log text of each wave
     tl = src.time_log.select(F.col("project_id").alias("_tl_pid"),
                              F.col("project_product_group_id").alias("_tl_wid"),
                              scalars.time_text(F.col("hours"), F.col("minutes")).alias("time_log"))
     tl = _pick(tl, ["_tl_pid", "_tl_wid"], ["time_log"])
-    wv = (parts.waves(src).join(tl, (F.col("_w_pid") == F.col("_tl_pid")) & (F.col("wave_id") == F.col("_tl_wid")),
-                                "left").select("_w_pid", "wave_id", "time_log"))
+    wv = parts.waves_or_none(src).join(tl, (F.col("_w_pid") == F.col("_tl_pid")) & (F.col("wave_id") == F.col("_tl_wid")),
+                                       "left").select("_w_pid", "wave_id", "time_log")
 
     # invoice x product lines of the project, then the per-line lookups
-    lines = (p.join(prods, F.col("project_id") == F.col("_pp_pid"), "inner")
-             )
-    lines = (left_join_many(lines, invs, ["project_id"], ["_pi_pid"])
+    lines = p.join(ta, F.col("project_id") == F.col("_ta_pid"), "inner")
+    lines = (left_join_many(lines, invs, ["project_id"], ["_pi_pid"], parts.project_ids(src))
              .join(ipa, (F.col("invoice_id") == F.col("_ip_iid")) & (F.col("sales_product_id") == F.col("_ip_sp")),
                    "left")
              .where(F.col("_ip_deleted").isNull())
-             .join(ta, (F.col("project_id") == F.col("_ta_pid")) & (F.col("sales_product_id") == F.col("_ta_sp")),
-                   "left")
              .join(spt, F.col("sales_product_id") == F.col("_spt_tid"), "left"))
-    rows = left_join_many(lines.join(clients, F.col("project_id") == F.col("_cl_pid"), "inner"), wv,
-                          ["project_id"], ["_w_pid"])
+    rows = (lines.join(clients, F.col("project_id") == F.col("_cl_pid"), "inner")
+            .join(wv, F.col("project_id") == F.col("_w_pid"), "inner"))
     rows = rows.select("project_id", keys.wave_key(F.col("project_id"), F.col("wave_id")).alias("project_wave_id"),
                        "project_name", "client_name", "invoice_id", "invoice_number", "invoice_status",
                        "submit_date", "project_code", "sales_product_id", "product", "invoice_currency",
@@ -471,7 +467,9 @@ def omnibus_cost_dump(src) -> DataFrame:
     tl = (src.omnibus_order_time_log.groupBy(F.col("omnibus_order_id").alias("_tl_oid"))
           .agg(F.count(F.lit(1)).alias("n_tl"), F.sum("hours").alias("_h"), F.sum("minutes").alias("_m")))
 
-    rows = (left_join_many(left_join_many(oo, oocg, ["project_id"], ["_oc_oid"]), invg, ["project_id"], ["_l_oid"])
+    orders = src.omnibus_order.select("id")
+    rows = left_join_many(oo, oocg, ["project_id"], ["_oc_oid"], orders)
+    rows = (left_join_many(rows, invg, ["project_id"], ["_l_oid"], orders)
             .join(tl, F.col("project_id") == F.col("_tl_oid"), "left"))
     n_oc = F.coalesce(F.col("n_oc"), F.lit(1))
     n_link = F.coalesce(F.col("n_link"), F.lit(1))

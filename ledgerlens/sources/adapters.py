@@ -26,6 +26,8 @@ PROJECT_STATUSES = [(1, "New"), (2, "On hold"), (3, "In progress"), (4, "Complet
 INVOICE_STATUSES = [(1, 3, "Draft"), (2, 1, "Sent"), (3, 2, "Paid")]
 BILLING_ATTRIBUTES = [(1, "omnibus_order_item_id"), (2, "other")]
 DEMO_COMPANY_ID = 10  # the customer that plays "Demo Company"
+# The currency codes of the test rates, in the file's column order.
+RATE_CODES = ["click", "error", "purchase", "signup", "view"]
 FX_START = "2024-01-01"
 FX_DAYS = 40
 

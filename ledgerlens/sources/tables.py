@@ -66,24 +66,14 @@ def load_tables(spark: SparkSession, base_dir: str) -> Tables:
 
 
 def read_jdbc_table(spark: SparkSession, url: str, table: str, properties: dict,
-                    partition_column: str | None = None, lower: int | None = None,
-                    upper: int | None = None, num_partitions: int | None = None,
-                    fetch_size: int = 10_000) -> DataFrame:
+                    conditions: list[str] | None = None, fetch_size: int = 10_000) -> DataFrame:
     """Read one *base* table from a relational source in parallel.
 
     The report joins run in Spark, not in the source database, so each table
-    is read once, split into ``num_partitions`` id ranges. Filters and the
-    column list of the report are pushed into each range query by Spark.
+    is read once, with one read for each of ``conditions`` (one of all without
+    any). Filters and the column list of the report are pushed into each.
     """
-    reader = (spark.read.format("jdbc")
-              .option("url", url)
-              .option("dbtable", table)
-              .option("fetchsize", str(fetch_size)))
-    for k, v in properties.items():
-        reader = reader.option(k, v)
-    if partition_column is not None:
-        reader = (reader.option("partitionColumn", partition_column)
-                  .option("lowerBound", str(lower))
-                  .option("upperBound", str(upper))
-                  .option("numPartitions", str(num_partitions)))
-    return reader.load()
+    options = {k: str(v) for k, v in properties.items()} | {"fetchsize": str(fetch_size)}
+    if conditions:
+        return spark.read.jdbc(url, table, predicates=conditions, properties=options)
+    return spark.read.jdbc(url, table, properties=options)

@@ -76,7 +76,9 @@ def test_the_wave_join_itself_is_split(spark):
         wave = spark.range(400_000, numPartitions=8).select(
             F.when(F.col("id") < 399_000, F.lit(1)).otherwise(F.col("id") % 50).cast("long").alias("project_id"), "id")
 
-    projects = spark.range(60, numPartitions=8).select(F.col("id").alias("project_id"))
+        project = spark.range(60, numPartitions=8)
+
+    projects = Waves.project.select(F.col("id").alias("project_id"))
     with _splitting(spark):
         spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
         df = parts.with_waves(projects, Waves)
