@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from .common import written
 from .sp_chunks import MARK
-from .token_pieces import Flat, PieceTable, bpe_ids, byte_bpe, cut, slabs
+from .token_pieces import Flat, PieceTable, bpe_ids, byte_bpe, cut, entries, slabs
 
 #: Pairs whose counts are broadcast at most.
 FREQUENT = 100_000
@@ -41,14 +41,6 @@ ALIGNED = ("_row long, doc_id long, n_a long, n_b long, n_groups long, n_links l
            "codes array<long>, times array<int>")
 
 
-def byte_level() -> dict[str, int]:
-    """Byte of each character in the entries of a byte-level vocabulary: bytes
-    that print stand for themselves, the others for characters from 256 on."""
-    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
-    others = [b for b in range(256) if b not in prints]
-    return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(others)}
-
-
 def sliced(ends_a: np.ndarray, ends_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Groups: the index after the last token of each, in A and in B.
 
@@ -86,9 +78,7 @@ class Alignments(PieceTable):
         self.bpe = byte_bpe(bpe_json, plain_specials=True)
         self.sp = sentencepiece.SentencePieceProcessor(model_proto=model)
         self.alone, self.feed = self.sp.encode("\n")  # the marker that the library puts before a text, and the feed
-        of = byte_level()
-        self.bytes_a = [bytes(of[c] for c in p) if set(p) <= of.keys() else p.encode()
-                        for p in map(self.bpe.id_to_token, range(self.bpe.get_vocab_size()))]
+        self.bytes_a = entries(self.bpe)
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.sp.is_byte(i) else p.replace(MARK, " ").encode()
                         for i, p in ((i, self.sp.id_to_piece(i)) for i in range(self.sp.get_piece_size()))]
         self.sizes_a, self.sizes_b = (np.fromiter(map(len, x), np.int64, len(x)) for x in (self.bytes_a, self.bytes_b))
@@ -110,27 +100,29 @@ class Alignments(PieceTable):
 
     def add(self, pieces: list[str]) -> None:
         full = [p or " " for p in pieces]  # the empty piece, if any, is in no text
-        for begin in range(0, len(pieces), 20_000):
-            part = full[begin:begin + 20_000]
-            self._add(part, bpe_ids(self.bpe, part), self._ids_b(part))
+        for begin in range(0, len(pieces), self.AT_ONCE):
+            part = full[begin:begin + self.AT_ONCE]
+            ids_b = self._ids_b(part)
+            self._add(part, *bpe_ids(self.bpe, self.sizes_a, part), np.fromiter(map(len, ids_b), np.int64, len(ids_b)),
+                      np.fromiter(chain.from_iterable(ids_b), np.int64))
 
-    def _add(self, pieces: list[str], ids_a: list[list[int]], ids_b: list[list[int]]) -> None:
+    def _add(self, pieces: list[str], n_a: np.ndarray, flat_a: np.ndarray, n_b: np.ndarray, flat_b: np.ndarray) -> None:
         n, bodies = len(pieces), [p.encode() for p in pieces]
         sizes = np.fromiter(map(len, bodies), np.int64, n)
-        n_a, n_b = (np.fromiter(map(len, x), np.int64, n) for x in (ids_a, ids_b))
-        flat_a, flat_b = (np.fromiter(chain.from_iterable(x), np.int64) for x in (ids_a, ids_b))
         ends_a, ends_b = np.cumsum(self.sizes_a[flat_a]), np.cumsum(self.sizes_b[flat_b])
         ends, body = np.cumsum(sizes), b"".join(bodies)
         if not (all(len(e) and np.array_equal(e[np.cumsum(k) - 1], ends) for e, k in ((ends_a, n_a), (ends_b, n_b)))
                 and body == b"".join(map(self.bytes_a.__getitem__, flat_a.tolist()))
                 and body == b"".join(map(self.bytes_b.__getitem__, flat_b.tolist()))):
             # some piece does not come back byte for byte: those are set apart
+            ids_a, ids_b = ([x.tolist() for x in np.split(flat, np.cumsum(k)[:-1])] for k, flat in ((n_a, flat_a), (n_b, flat_b)))
             sound = [b"".join(map(self.bytes_a.__getitem__, a)) == p == b"".join(map(self.bytes_b.__getitem__, b))
                      for p, a, b in zip(bodies, ids_a, ids_b)]
             for good, run in groupby(range(n), sound.__getitem__):
                 run = list(run)
                 if good:
-                    self._add(*([x[i] for i in run] for x in (pieces, ids_a, ids_b)))
+                    self._add([pieces[i] for i in run], *(y for ids in (ids_a, ids_b) for y in (
+                        np.array([len(ids[i]) for i in run]), np.array([k for i in run for k in ids[i]]))))
                 else:
                     self.groups += [None] * len(run)
                     self.counts.extend(np.full(len(run), 3), np.zeros(3 * len(run), np.int64))

@@ -22,7 +22,6 @@ import hashlib
 import struct
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +32,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import scratch_path, written
-from .token_pieces import Flat, PieceTable, bpe_ids, byte_bpe, cut, slabs
+from .token_pieces import Flat, PieceTable, bpe_ids, byte_bpe, cut, entries, slabs
 
 #: Bounds of the dictionary's training sample: documents, characters of each.
 SAMPLE_DOCS, SAMPLE_CHARS = 2_000, 20_000
@@ -61,6 +60,7 @@ class Ids(PieceTable):
         self.bpe, self.end = byte_bpe(bpe_json, plain_specials=False), end
         top = max(self.bpe.get_vocab_size(), end + 1)
         self.dtype = np.dtype("<u2") if top <= 1 << 16 else np.dtype("<u4")
+        self.sizes = np.fromiter(map(len, entries(self.bpe)), np.int64)
         super().__init__()
 
     def clear(self) -> None:
@@ -68,8 +68,9 @@ class Ids(PieceTable):
         self.ids = Flat(self.dtype)
 
     def add(self, pieces: list[str]) -> None:
-        ids = bpe_ids(self.bpe, pieces)
-        self.ids.extend(np.fromiter(map(len, ids), np.int64, len(ids)), np.fromiter(chain.from_iterable(ids), self.dtype))
+        for begin in range(0, len(pieces), self.AT_ONCE):
+            counts, ids = bpe_ids(self.bpe, self.sizes, pieces[begin:begin + self.AT_ONCE])
+            self.ids.extend(counts, ids.astype(self.dtype))
 
     def documents(self, texts: list[str | None]) -> list[np.ndarray]:
         """The ids of each text and the end id."""

@@ -15,15 +15,18 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
 CUT = "\x01"
-#: White space in a row, the sign of a cut, and characters that are white space to some.
-UNEVEN = re.compile("\\s\\s|[\x01᠎​﻿]")
-BEFORE_SPACE = re.compile("(?<=[^\\s᠎​﻿])(?= )")
+# fixed values: white space, and characters that are white space to some
+WHITE, DOUBTFUL = " \t\n\x0b\x0c\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000", "\u180e\u200b\ufeff"
+#: White space in a row, or a sign that is doubtful or means a cut.
+UNEVEN = f"[{WHITE}][{WHITE}]|[{CUT}{DOUBTFUL}]"
+BEFORE_SPACE = re.compile(f"(?<=[^{WHITE}{DOUBTFUL}])(?= )")
 LETTER_SIGN = r"([A-Za-z])([.,;:!?)])"
 #: Characters of a text that are cut at a time, and of the texts that are looked up at once, about.
 SLAB = 4_000_000
@@ -51,8 +54,9 @@ def slabs(texts: list[str]) -> Iterator[tuple[list[int], list[str]]]:
 def cut(parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Distinct pieces of some parts, the pieces' numbers part after part, and
     how many each part has."""
-    uneven = [bool(UNEVEN.search(p)) for p in parts]
-    even = pa.array([p for p, u in zip(parts, uneven) if not u], pa.large_string())
+    whole = pa.array(parts, pa.large_string())
+    found = pc.match_substring_regex(whole, UNEVEN)
+    uneven, even = found.to_numpy(zero_copy_only=False), whole.filter(pc.invert(found))
     marked = pc.replace_substring(even, " ", CUT + " ")
     marked = pc.replace_substring(marked, "\n", CUT + "\n" + CUT)
     marked = pc.replace_substring_regex(marked, LETTER_SIGN, "\\1" + CUT + "\\2")
@@ -61,9 +65,8 @@ def cut(parts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     codes = pa.chunked_array([lists.flatten(), pa.array([x for p in odd for x in p], pa.large_string())]
                              ).combine_chunks().dictionary_encode()
     counts = np.zeros(len(parts), np.int64)
-    uneven = np.array(uneven, bool)
     counts[~uneven], counts[uneven] = pc.list_value_length(lists).to_numpy(zero_copy_only=False), [len(p) for p in odd]
-    numbers, distinct = codes.indices.to_numpy(zero_copy_only=False), codes.dictionary.to_pylist()
+    numbers, distinct = codes.indices.to_numpy(zero_copy_only=False), codes.dictionary.to_numpy(zero_copy_only=False).tolist()
     if odd and len(even):  # back into the order of the parts
         starts = np.empty(len(parts), np.int64)
         order = np.concatenate([np.flatnonzero(~uneven), np.flatnonzero(uneven)])
@@ -110,7 +113,9 @@ class PieceTable:
     stores what belongs to new ones. Emptied when it is full."""
 
     #: Bounds of the table.
-    PIECES, CHARS = 400_000, 16_000_000
+    PIECES, CHARS = 250_000, 10_000_000
+    #: New pieces that are encoded together.
+    AT_ONCE = 20_000
 
     def __init__(self):
         self.clear()
@@ -148,6 +153,50 @@ def byte_bpe(json_text: str, plain_specials: bool):
     return tokenizer
 
 
-def bpe_ids(tokenizer, pieces: list[str], at_once: int = 20_000) -> list[list[int]]:
-    return [e.ids for i in range(0, len(pieces), at_once)
-            for e in tokenizer.encode_batch_fast(pieces[i:i + at_once], add_special_tokens=False)]
+def byte_level() -> dict[str, int]:
+    """Byte of each character in the entries of a byte-level vocabulary: bytes
+    that print stand for themselves, the others for characters from 256 on."""
+    prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in prints]
+    return {chr(b): b for b in prints} | {chr(256 + i): b for i, b in enumerate(others)}
+
+
+def entries(tokenizer) -> list[bytes]:
+    """The bytes of each id of a byte-level vocabulary."""
+    of = byte_level()
+    latin, known = {ord(c): b for c, b in of.items()}, frozenset(of)
+    return [p.translate(latin).encode("latin-1") if known.issuperset(p) else p.encode()
+            for p in map(tokenizer.id_to_token, range(tokenizer.get_vocab_size()))]
+
+
+def bpe_ids(tokenizer, sizes: np.ndarray, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """How many ids each piece has, and the ids piece after piece. ``sizes`` has
+    the bytes of each id.
+
+    Pieces that begin with a space and end with no white space may stand one
+    after another: they are encoded as one string, and told apart by where ids
+    end among the bytes. The others are encoded one by one.
+    """
+    white = {c for c in map(chr, range(0x3001)) if c.isspace()} | set(DOUBTFUL)
+    joinable = np.fromiter((len(p) > 1 and p[0] == " " and p[-1] not in white for p in pieces), bool, len(pieces))
+    counts, parts = np.zeros(len(pieces), np.int64), []
+    joined = [p for p, j in zip(pieces, joinable) if j]
+    if joined:
+        ids = np.array(tokenizer.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, np.int64)
+        ends, stops = np.cumsum(sizes[ids]), np.cumsum(pc.binary_length(pa.array(joined, pa.large_string())).to_numpy())
+        upto = np.searchsorted(ends, stops) + 1
+        if upto[-1] == len(ids) and np.array_equal(ends[upto - 1], stops):
+            counts[joinable] = np.diff(upto, prepend=0)
+            parts.append(ids)
+        else:  # an id reaches over a piece's end, or bytes are missing
+            joinable[:] = False
+    alone = [e.ids for e in tokenizer.encode_batch_fast([p for p, j in zip(pieces, joinable) if not j], add_special_tokens=False)]
+    counts[~joinable] = np.fromiter(map(len, alone), np.int64, len(alone))
+    parts.append(np.fromiter(chain.from_iterable(alone), np.int64))
+    flat = np.concatenate(parts)
+    if joinable.any() and not joinable.all():
+        starts = np.empty(len(pieces), np.int64)
+        order = np.concatenate([np.flatnonzero(joinable), np.flatnonzero(~joinable)])
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        flat = flat[spread(starts, counts)]
+    return counts, flat

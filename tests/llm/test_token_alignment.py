@@ -25,7 +25,7 @@ def libraries():
 def plain(libraries, texts):
     """The contract word for word: whole texts, ranges compared pairwise."""
     bpe, sp = libraries
-    byte = {c: bytes([b]) for c, b in t.byte_level().items()}
+    byte = {c: bytes([b]) for c, b in pieces.byte_level().items()}
     docs, counts = [], Counter()
     for text in texts:
         docs.append(None)
