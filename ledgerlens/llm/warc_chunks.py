@@ -30,7 +30,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import let, scratch_path, written
+from .common import broadcast_if_small, scratch_path, written
 
 #: Bytes in a chunk row at most.
 CHUNK = 64 * 1024
@@ -48,30 +48,33 @@ def base32(sha1: bytes) -> str:
 
 
 def typed(pages: DataFrame) -> DataFrame:
-    """page_id, url, payload, record_type, refers_to.
+    """page_id, url, payload, record_type, refers_to, sha1.
 
     The largest page_id of equal payloads is the response; null ids rank below
     all others. Rows repeated with the response's page_id are that capture
-    written again and responses too.
+    written again and responses too. Digests and sizes alone meet; the groups of
+    several, counted, go back to the payloads, which are not dealt anew while
+    the groups fit a broadcast.
     """
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
-    keyed = rows.withColumn("_sha1", F.sha1("payload")).withColumn("_bytes", F.length("payload"))
-    copied = (keyed.groupBy("_sha1", "_bytes").agg(F.max("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
+    keyed = rows.withColumn("sha1", F.sha1("payload")).withColumn("_bytes", F.length("payload"))
+    copied = (keyed.groupBy("sha1", "_bytes").agg(F.max("page_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
               .where("_n > 1").drop("_n"))
     revisit = F.col("_first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("_first"))
-    return keyed.join(copied, ["_sha1", "_bytes"], "left").select(
+    return keyed.join(broadcast_if_small(copied), ["sha1", "_bytes"], "left").select(
         "page_id", "url", "payload", F.when(revisit, "revisit").otherwise("response").alias("record_type"),
-        F.when(revisit, F.col("_first")).alias("refers_to"), F.col("_sha1").alias("sha1"))
+        F.when(revisit, F.col("_first")).alias("refers_to"), "sha1")
 
 
 def chunked(records: DataFrame) -> DataFrame:
     """A row for each chunk, the chunks of a record in order and together; a
-    record without bytes has one empty chunk."""
-    pieces = let(F.col("payload"), lambda p: F.transform(
-        F.sequence(F.lit(0), F.floor(F.greatest(F.length(p) - 1, F.lit(0)) / CHUNK).cast("int")),
-        lambda i: F.substring(p, i * CHUNK + 1, F.lit(CHUNK))))
-    return records.select("page_id", "url", "record_type", "refers_to", "sha1", F.length("payload").alias("n_bytes"),
-                          F.posexplode(pieces).alias("chunk_no", "data"))
+    record without bytes has one empty chunk. A row is made for each number and
+    takes its bytes then, so that the chunks of a record are never held beside it."""
+    n_bytes = F.length("payload")
+    numbers = F.sequence(F.lit(0), F.floor(F.greatest(n_bytes - 1, F.lit(0)) / CHUNK).cast("int"))
+    return records.select("*", n_bytes.alias("n_bytes"), F.explode(numbers).alias("chunk_no")).select(
+        "page_id", "url", "record_type", "refers_to", "sha1", "n_bytes", "chunk_no",
+        F.substring("payload", F.col("chunk_no") * CHUNK + 1, F.lit(CHUNK)).alias("data"))
 
 
 def _http(n_bytes: int) -> bytes:

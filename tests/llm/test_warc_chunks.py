@@ -1,9 +1,12 @@
 import base64
 import gzip
 import hashlib
+import os
+import subprocess
+import sys
 
 import pytest
-from .conftest import PAGES
+from .conftest import PAGES, SF
 from pyarrow import fs as pafs
 
 from ledgerlens.llm import common, warc_chunks as w
@@ -68,3 +71,45 @@ def test_damage_is_found(spark, pages):
 
 def test_empty_table(spark):
     assert w.round_trip(spark.createDataFrame([], PAGES)).count() == 0
+
+
+def test_pages_against_a_plain_reading(spark):
+    rows = spark.read.parquet(f"{SF}/pages.parquet")
+    rows = rows.unionByName(rows.where("page_id % 7 = 0").withColumn("page_id", rows["page_id"] + 100_000)).collect()
+    last = {}
+    for r in rows:
+        last[r.html or ""] = max(last.get(r.html or "", r.page_id), r.page_id)
+    want = [(r.page_id, len((r.html or "").encode()), digest(r.html), *(
+        ("response", None) if last[r.html or ""] == r.page_id else ("revisit", last[r.html or ""]))) for r in rows]
+    got = w.round_trip(spark.createDataFrame(rows, PAGES).repartition(3)).collect()
+    assert sorted((r.page_id, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to) for r in got) == sorted(want)
+    assert {x[3] for x in want} == {"response", "revisit"}
+
+
+def test_payloads_are_not_shuffled(spark, pages):
+    plan = w.typed(pages)._jdf.queryExecution().executedPlan().toString()
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan and "Exchange hashpartitioning" not in plan
+
+
+SCRIPT = """
+import sys
+sys.path.insert(0, {repo!r})
+from ledgerlens.session import build_session, checkpoint_dir
+spark = build_session("local[1]", shuffle_partitions=1, extra={{"spark.driver.memory": "1536m"}})
+checkpoint_dir(spark, {folder!r})
+from pyspark.sql import functions as F
+from ledgerlens.llm import warc_chunks as w
+pages = spark.range(1).select(F.col("id").alias("page_id"), F.lit("u").alias("url"), F.repeat(
+    F.concat(F.lit("123456789abcdef"), F.col("id").cast("string")), 12_500_000).alias("html"))  # no literal, which would be folded
+row, = w.round_trip(pages).collect()
+print(row.payload_bytes, row.payload_digest)
+"""
+
+
+def test_a_page_of_200_mb_in_a_small_heap(tmp_path):
+    """The payload is a cell of 200 MB in a heap of 1.5 GB; what Python holds are chunks."""
+    repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    ran = subprocess.run([sys.executable, "-c", SCRIPT.format(repo=repo, folder=str(tmp_path / "shared"))], cwd=tmp_path,
+                         capture_output=True, text=True, timeout=300, env=os.environ | {"PYTHONDONTWRITEBYTECODE": "1"})
+    assert ran.returncode == 0, ran.stderr[-2000:]
+    assert ran.stdout.split() == ["200000000", digest("123456789abcdef0" * 12_500_000)]
