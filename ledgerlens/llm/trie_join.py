@@ -523,14 +523,17 @@ class TrieJoin:
         return F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n") / BLOCK_SHINGLES)).cast("int")
 
     def _stars(self, pairs: DataFrame, sizes: DataFrame) -> DataFrame:
-        """Meetings of each hub with the nodes of its buckets, in blocks."""
-        blocks = pairs.join(sizes, "node").groupBy("hub").agg(self._blocks().alias("_n"))
-        stored = pairs.join(blocks, "hub").select(
-            F.col("hub").alias("meeting"), F.pmod(F.xxhash64("node"), F.col("_n")).alias("block"), "node",
+        """Meetings of each hub with the nodes of its buckets, in blocks. Only
+        the hubs of several blocks, each of many nodes, are sent to all tasks;
+        nodes are not dealt by their hub."""
+        hubs = written(pairs.join(sizes, "node").groupBy("hub").agg(self._blocks().alias("_n")), "hubs")
+        large = broadcast_if_small(hubs.where("_n > 1"))
+        stored = pairs.join(large, "hub", "left").select(
+            F.col("hub").alias("meeting"), F.pmod(F.xxhash64("node"), F.coalesce("_n", F.lit(1))).alias("block"), "node",
             F.lit(STORED).alias("role"))
-        hubs = blocks.select(F.col("hub").alias("meeting"), F.explode(
+        probes = hubs.select(F.col("hub").alias("meeting"), F.explode(
             F.sequence(F.lit(0).cast("long"), F.col("_n").cast("long") - 1)).alias("block"), F.col("hub").alias("node"), F.lit(PROBE).alias("role"))
-        return stored.unionByName(hubs).select("meeting", "block", "node", F.col("node").alias("component"), "role")
+        return stored.unionByName(probes).select("meeting", "block", "node", F.col("node").alias("component"), "role")
 
     def _mixed(self, members: DataFrame, of: DataFrame, sizes: DataFrame) -> DataFrame:
         """Meetings in which sets of different components meet that share a
@@ -562,8 +565,11 @@ class TrieJoin:
             sizes, "node"), "meetings")
         main = (meet.groupBy("meeting", "component").agg(F.count(F.lit(1)).alias("_c"))
                 .groupBy("meeting").agg(F.max(F.struct("_c", "component")).alias("_main")))
-        blocks = meet.groupBy("meeting").agg(self._blocks().alias("_n")).join(main, "meeting")
-        cut = (meet.join(blocks, "meeting").withColumn("_at", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
+        blocks = written(meet.groupBy("meeting").agg(self._blocks().alias("_n")).join(main, "meeting"), "blocks")
+        # meetings of several blocks are sent to the tasks; the others have a block's sets at most
+        cut = (meet.join(broadcast_if_small(blocks.where("_n > 1")), "meeting")
+               .unionByName(meet.join(blocks.where("_n = 1"), "meeting")))
+        cut = (cut.withColumn("_at", F.pmod(F.xxhash64("node"), F.col("_n")).cast("int"))
                .withColumn("_probes", F.col("component") != F.col("_main.component"))
                .withColumn("_k", F.explode(F.sequence(F.lit(0), F.col("_n") - 1))))
         here, there, n = F.col("_at"), F.col("_k"), F.col("_n").cast("long")
