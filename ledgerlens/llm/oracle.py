@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from .curriculum_mix import Mix, _segments
+from .hash_tree import TREE, Tree, grown
+from .merkle_manifest import FANOUT, FIELDS, LOWER, UPPER
 from .quality_rules import MAX_REPEAT_PERCENT, MIN_GROUP, MIN_WORDS, SHARES, SPREADS
 
 #: Measures of each document, straight from the definitions: windows are rows.
@@ -110,13 +112,117 @@ placed AS (SELECT *, ({taken})::BIGINT AS taken FROM
 SELECT doc_id, size, source_size, target, taken, {positions} FROM placed"""
 
 
+def _crc_table() -> list[int]:
+    """Of the reversed polynomial 0xEDB88320, as the definition of CRC-32 builds it."""
+    table = []
+    for byte in range(256):
+        for _ in range(8):
+            byte = byte >> 1 ^ (0xEDB88320 if byte & 1 else 0)
+        table.append(byte)
+    return table
+
+
+def crc32(text: str) -> str:
+    """Unsigned CRC-32 of the UTF-8 bytes of a SQL string that is not null, byte by byte."""
+    bytes_ = f"list_transform(regexp_extract_all(hex(encode({text})), '..'), lambda h: ('0x' || h)::BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295::BIGINT, {bytes_}), lambda c, b: "
+            f"xor(c >> 8, ({_crc_table()}::BIGINT[])[(xor(c, b) & 255) + 1])), 4294967295::BIGINT)")
+
+
+def _descent(tree: Tree, column: str) -> str:
+    """CTEs down a tree level by level; the last, named ``column``, has (r, column)."""
+    level, ctes, before, k = [tree.root], [], None, 0
+    while children := [(n.name, c) for n in level for c in n.children if c.weight > 0]:
+        rows = ", ".join(f"({i}, '{up}', '{c.name}', {c.weight!r}::DOUBLE, {'NULL' if c.shard is None else c.shard}::INT)"
+                         for i, (up, c) in enumerate(children))
+        at = f"{column}_{k}"
+        start = "(SELECT r, key, 'root' AS name FROM sized)" if before is None else before
+        ctes.append(f"""{at} AS (SELECT r, key, child AS name, shard FROM (
+  SELECT s.r, s.key, v.child, v.shard, row_number() OVER (PARTITION BY s.r ORDER BY
+    -ln((('0x' || substr(md5(v.child || ':' || s.key), 1, 13))::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE) / v.weight, v.i) AS best
+  FROM {start} s JOIN (VALUES {rows}) v(i, up, child, weight, shard) ON v.up = s.name) WHERE best = 1)""")
+        level, before, k = [c for _, c in children], at, k + 1
+    # the trees of the query have their shards on one level
+    return ",\n".join([*ctes, f"{column} AS (SELECT r, shard AS {column} FROM {before})"])
+
+
+def shards_sql(tree: Tree = TREE, more: int = 24) -> str:
+    return f"""WITH sized AS (SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id::VARCHAR, '') AS key,
+  strlen(coalesce(text, ''))::BIGINT + 8 AS size, {crc32("coalesce(text, '')")} AS text_crc32 FROM documents),
+{_descent(tree, 'shard')},
+{_descent(grown(tree, more), 'grown_shard')}
+SELECT doc_id, size, text_crc32, 'key' AS law, shard, row_number() OVER (PARTITION BY shard
+    ORDER BY md5(key), doc_id NULLS FIRST, size, text_crc32) - 1 AS slot, grown_shard
+FROM sized JOIN shard USING (r) JOIN grown_shard USING (r)"""
+
+
+#: Levels of the trees in SQL: sources of up to FANOUT ** 5 rows, and as many sources.
+SQL_LEVELS = 5
+
+
+def _levels(nodes: str, name: str) -> str:
+    """CTEs of the runs of each level above ``nodes`` (tree, pos, digest, n): (tree, run, digests, digest, n)."""
+    out, below = [], nodes
+    for k in range(SQL_LEVELS):
+        out.append(f"""{name}{k} AS (SELECT tree, run AS pos, digests, sha256(array_to_string(digests, '')) AS digest, n
+  FROM (SELECT tree, pos // {FANOUT} AS run, list(digest ORDER BY pos) AS digests, (any_value(n) + {FANOUT - 1}) // {FANOUT} AS n
+        FROM {below} WHERE n > 1 GROUP BY tree, pos // {FANOUT}))""")
+        below = f"{name}{k}"
+    return ",\n".join(out)
+
+
+def _roots(nodes: str, name: str) -> str:
+    return " UNION ALL ".join(f"SELECT tree, digest FROM {x} WHERE n = 1" for x in [nodes, *(f"{name}{k}" for k in range(SQL_LEVELS))])
+
+
+def _climb(start: str, name: str, tree: str, at: str) -> str:
+    """CTEs that fold level by level: ``now`` takes its slot's place, ``others`` grows by the siblings."""
+    out, below = [], start
+    for k in range(SQL_LEVELS):
+        out.append(f"""{name}_up{k} AS (SELECT c.* EXCLUDE ({at}, now, others), c.{at} // {FANOUT} AS {at},
+  CASE WHEN u.tree IS NULL THEN c.now ELSE sha256(array_to_string(u.digests[:c.{at} % {FANOUT}], '') || c.now
+    || array_to_string(u.digests[c.{at} % {FANOUT} + 2:], '')) END AS now,
+  CASE WHEN u.tree IS NULL THEN c.others ELSE c.others || array_to_string(u.digests[:c.{at} % {FANOUT}], '')
+    || array_to_string(u.digests[c.{at} % {FANOUT} + 2:], '') END AS others
+  FROM {below} c LEFT JOIN {name}{k} u ON u.tree = c.{tree} AND u.pos = c.{at} // {FANOUT})""")
+        below = f"{name}_up{k}"
+    return ",\n".join(out)
+
+
+def merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        parts = [f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in (*FIELDS[:-1], text)]
+        return f"sha256({' || '.join(parts)})"
+
+    lower = f"translate(text, '{UPPER}', '{LOWER}')"
+    last = SQL_LEVELS - 1
+    return f"""WITH given AS (SELECT doc_id, coalesce('1' || source, '0') AS tree, {leaf('text')} AS digest,
+  CASE WHEN doc_id IS NOT NULL AND {crc32("coalesce(doc_id::VARCHAR, '')")} % 5 = 0 THEN {leaf(lower)} ELSE {leaf('text')} END AS now
+  FROM documents),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+  count(*) OVER (PARTITION BY tree) AS n FROM given),
+{_levels('leaves', 's')},
+subroots AS ({_roots('leaves', 's')}),
+tops AS (SELECT '' AS tree, tree AS source, digest, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n FROM subroots),
+{_levels('tops', 't')},
+root AS ({_roots('tops', 't')}),
+begun AS (SELECT l.doc_id, l.digest AS leaf, l.tree, l.pos, l.now, '' AS others, t.digest AS subroot, t.pos AS top, '' AS whole
+  FROM leaves l JOIN tops t ON t.source = l.tree),
+{_climb('begun', 's', 'tree', 'pos')},
+{_climb(f's_up{last}', 't', 'whole', 'top')}
+SELECT doc_id, leaf, subroot, root.digest AS root, sha256(others) AS proof_sha256, now AS folded_root, now = root.digest AS verified
+FROM t_up{last} CROSS JOIN root"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op2_quality_rules": f"""WITH {quality_ctes('documents')}
 SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols,
        n_dup_lines::BIGINT AS n_dup_lines, n_repeat_words::BIGINT AS n_repeat_words, base_failed, kept FROM judged""",
     "op7_curriculum_mix": mix_sql(),
+    "op8_hash_tree": shards_sql(),
+    "op12_merkle_manifest": merkle_sql(),
     "op10_mph_dedup": """
 SELECT doc_id, max(doc_id) OVER (PARTITION BY h) AS keep_id, count(*) OVER (PARTITION BY h) AS group_size,
-       doc_id = max(doc_id) OVER (PARTITION BY h) AS kept, h AS text_sha256
+       coalesce(doc_id = max(doc_id) OVER (PARTITION BY h), max(doc_id) OVER (PARTITION BY h) IS NULL) AS kept, h AS text_sha256
 FROM (SELECT doc_id, sha256(coalesce(text, '')) AS h FROM documents)""",
 }

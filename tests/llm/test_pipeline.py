@@ -62,4 +62,4 @@ def test_oracles_cover_what_sql_can_express():
     from ledgerlens.llm.oracle import ORACLE_SQL
     from ledgerlens.llm.queries import QUERIES
 
-    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 11)} and set(ORACLE_SQL) < set(QUERIES)
+    assert {q.split("_")[0] for q in QUERIES} == {f"op{n}" for n in range(1, 14)} and set(ORACLE_SQL) < set(QUERIES)
