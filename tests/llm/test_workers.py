@@ -26,8 +26,7 @@ print(QUERIES[{name!r}](spark, "/root/testdata/sf0.001").count())
 """
 
 
-@pytest.mark.parametrize("name", ["op1_html_main_text", "op3_warc_chunks", "op4_token_rollup", "op5_sp_chunks", "op6_trie_join",
-                                  "op9_crf_langid", "op10_mph_dedup", "op11_token_alignment", "op12_merkle_manifest",
+@pytest.mark.parametrize("name", ["op1_html_main_text", "op9_crf_langid", "op11_token_alignment", "op12_merkle_manifest",
                                   "op13_token_files"])
 def test_query_without_the_package_on_the_workers(tmp_path, name):
     repo = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
