@@ -124,7 +124,7 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
         client_not_like: str = reports.TESTING, table_prefix: str = "",
         timings: dict | None = None, workers: int = 4, keep_snapshot: bool = False,
         snapshot_views=SHARED_VIEWS, case_insensitive: bool = False,
-        push=None) -> dict[str, str]:
+        push=None, checks: dict | None = None) -> dict[str, str]:
     """Run the whole job; returns table name -> written path.
 
     ``table_prefix`` is prepended to every report table name (the FX tables
@@ -138,21 +138,23 @@ def run(spark: SparkSession, src, out_dir: str, snapshot_dirs: list[str] | None
     sources are already well-split files and a second copy of the facts is not
     worth its write. ``case_insensitive`` compares client names as a database
     with such a collation does. ``push(df, name)``, when given, receives each
-    written table, to replace it in a reporting database.
+    written table, to replace it in a reporting database. ``checks``, when
+    given, receives the post-check of the project master: how many of its rows
+    share their wave with another (several client companies on one wave).
     """
     run_date = run_date or _dt.date.today()
     timings = {} if timings is None else timings
     shared = os.path.join(checkpoint_dir(spark), f"ledgerlens-snapshot-{uuid.uuid4().hex}")
     try:
         return _run(spark, src, shared, out_dir, snapshot_dirs, run_date, fx_cutoff, client_not_like, table_prefix,
-                    timings, workers, snapshot_views, case_insensitive, push)
+                    timings, workers, snapshot_views, case_insensitive, push, checks)
     finally:
         if not keep_snapshot:
             delete_path(spark, shared)
 
 
 def _run(spark, src, shared, out_dir, snapshot_dirs, run_date, fx_cutoff, client_not_like, table_prefix, timings,
-         workers, snapshot_views, case_insensitive, push) -> dict[str, str]:
+         workers, snapshot_views, case_insensitive, push, checks) -> dict[str, str]:
     t0 = time.perf_counter()
     snap = SnapshotSource(src, spark, shared, names=snapshot_views, workers=workers)
     timings["snapshot_sources"] = round(time.perf_counter() - t0, 3)
@@ -190,6 +192,9 @@ def _run(spark, src, shared, out_dir, snapshot_dirs, run_date, fx_cutoff, client
     steps.append((table_prefix + EXTENDED_TABLE, builders["extended_export"]))
     _in_parallel(lambda step: put(*step), steps, workers)
 
+    if checks is not None:
+        master = spark.read.parquet(written[table_prefix + "project_data"])
+        checks["duplicate_waves"] = reports.project_master_duplicate_waves(master).count()
     if snapshot_dirs:
         for base, name in (("cost_data_export", "cost_dump"), ("accounting_data_export", "accounting_cost_dump")):
             write_snapshot(spark.read.parquet(written[table_prefix + base]), snapshot_dirs, name, run_date,
@@ -234,11 +239,13 @@ def main(argv=None) -> None:
             replace_jdbc_table(df, a.jdbc_target_url, name, target)
 
     copy = a.snapshot == "all" or a.snapshot == "auto" and bool(a.jdbc_url)
+    checks: dict[str, int] = {}
     for name, path in run(spark, src, a.out, a.snapshot_dir, fx_cutoff=a.fx_cutoff,
                           client_not_like=a.client_not_like, table_prefix=a.table_prefix,
                           snapshot_views=SHARED_VIEWS if copy else (), case_insensitive=a.case_insensitive,
-                          push=push).items():
+                          push=push, checks=checks).items():
         print(name, path)
+    print("rows of project_data that share their wave:", checks["duplicate_waves"])
 
 
 def _properties(path: str) -> dict:

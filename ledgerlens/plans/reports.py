@@ -365,15 +365,20 @@ DUMP_COLUMNS = [
 ]
 
 
-def _invoice_groups(src, extra_keys=()) -> DataFrame:
+def _invoice_groups(src) -> DataFrame:
     """Invoice headers per wave (distinct on number, date, buyer, amount,
-    project code), one status each, plus the buyer company's name."""
+    project code), one status code each, plus the buyer company's name; R8 and
+    R10 read them."""
+    return parts.shared(src, "invoice_groups", lambda: _build_invoice_groups(src))
+
+
+def _build_invoice_groups(src) -> DataFrame:
     rows = parts.invoice_header_rows(src)
     rows = rows.select("project_id", "wave_id", "invoice_number", "submit_date", "buyer_company_id",
                        money.to_units(F.col("total")).alias("invoice_amount"), "project_code",
-                       "invoice_status")
+                       "status_code")
     ad = _pick(rows, ["project_id", "wave_id", "invoice_number", "submit_date", "buyer_company_id",
-                      "invoice_amount", "project_code"], ["invoice_status"])
+                      "invoice_amount", "project_code"], ["status_code"])
     c2 = parts.company_names(src, "invoiced_company")
     return ad.join(c2, F.col("buyer_company_id") == F.col("_invoiced_company_id"), "left")
 
@@ -397,9 +402,10 @@ def project_cost_dump(src) -> DataFrame:
     ad = _invoice_groups(src)
     adg = _pick(ad.select(F.col("project_id").alias("_a_pid"), F.col("wave_id").alias("_a_wid"),
                           "invoiced_company", "submit_date", "invoice_number", "invoice_amount",
-                          "invoice_status"),
+                          "status_code"),
                 ["_a_pid", "_a_wid", "invoiced_company", "submit_date", "invoice_number", "invoice_amount"],
-                ["invoice_status"], [F.count(F.lit(1)).alias("n_ad")])
+                ["status_code"], [F.count(F.lit(1)).alias("n_ad")])
+    adg = parts.with_status_name(adg, src)
     ptl = parts.time_by_wave(src).withColumnsRenamed({"project_id": "_t_pid", "wave_id": "_t_wid"})
 
     spine = parts.with_waves(p.join(cl, F.col("project_id") == F.col("_cl_pid"), "left"), src)
@@ -529,10 +535,11 @@ def accounting_dump(src, sort: bool = False) -> DataFrame:
                     money.to_units(F.col("_sales")).alias("total_sales")))
     ad = _invoice_groups(src)
     adg = _pick(ad.select(F.col("project_id").alias("_a_pid"), F.col("wave_id").alias("_a_wid"),
-                          "invoiced_company", "submit_date", "invoice_number", "invoice_status",
+                          "invoiced_company", "submit_date", "invoice_number", "status_code",
                           "invoice_amount"),
-                ["_a_pid", "_a_wid", "invoiced_company", "submit_date", "invoice_number", "invoice_status"],
+                ["_a_pid", "_a_wid", "invoiced_company", "submit_date", "invoice_number", "status_code"],
                 ["invoice_amount"])
+    adg = parts.with_status_name(adg, src)
     ptl = parts.time_by_wave(src).withColumnsRenamed({"project_id": "_t_pid", "wave_id": "_t_wid"})
     spine = parts.with_waves(p.join(cl, F.col("project_id") == F.col("_cl_pid"), "left"), src)
     rows = parts.join_on_wave(spine, [(pc, "_pc_pid", "_pc_wid"), (psp2, "_s_pid", "_s_wid"),

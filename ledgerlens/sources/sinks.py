@@ -45,8 +45,11 @@ def replace_table(df: DataFrame, name: str, path: str) -> str:
     df.write.parquet(target)
     quoted = target.replace("`", "``")
     # ALTER VIEW changes the entry in place; CREATE OR REPLACE would drop it first
-    verb = "ALTER" if spark.catalog.tableExists(name) else "CREATE"
-    spark.sql(f"{verb} VIEW {name} AS SELECT * FROM parquet.`{quoted}`")
+    there = spark.catalog.tableExists(name)
+    if there and spark.catalog.getTable(name).tableType != "VIEW":  # once, where an earlier job kept a table; its files stay
+        spark.sql(f"DROP TABLE {name}")
+        there = False
+    spark.sql(f"{'ALTER' if there else 'CREATE'} VIEW {name} AS SELECT * FROM parquet.`{quoted}`")
     for c in old[:-1]:
         delete_path(spark, f"{path}/{c}")
     return target

@@ -15,8 +15,12 @@ def test_job_writes_every_table(spark, tmp_path):
     before = set(os.listdir(ckpt))
     out = str(tmp_path / "out")
     snaps = [str(tmp_path / "files_a"), str(tmp_path / "files_b")]
+    checks = {}
     written = job.run(spark, src, out, snaps, run_date=dt.date(2024, 2, 1), fx_cutoff=FX_CUTOFF,
-                      client_not_like="%MACHINERY%")
+                      client_not_like="%MACHINERY%", checks=checks)
+    master = spark.read.parquet(written["project_data"])
+    assert checks == {"duplicate_waves": sum(n for (n,) in master.groupBy("project_wave_id").count().where("count > 1").select(
+        "count").collect())}
     assert set(written) == set(job.RESULT_TABLES) | {"full_table", "weekly_avg", job.EXTENDED_TABLE}
     # the written summary equals the registered query on the same tables
     got = spark.read.parquet(written["project_summary_data_export"])

@@ -84,6 +84,16 @@ def test_replace_table_switches_versions(spark, tmp_path):
     spark.sql(f"DROP VIEW {name}")
 
 
+def test_a_table_of_an_earlier_job_becomes_a_view(spark, tmp_path):
+    name = "ledgerlens_test_e"
+    spark.range(2).write.parquet(str(tmp_path / "old"))
+    spark.catalog.createTable(name, path=str(tmp_path / "old"), source="parquet")
+    sinks.replace_table(spark.range(3).toDF("id"), name, str(tmp_path / "t"))
+    assert spark.catalog.getTable(name).tableType == "VIEW" and spark.table(name).count() == 3
+    assert spark.read.parquet(str(tmp_path / "old")).count() == 2
+    spark.sql(f"DROP VIEW {name}")
+
+
 def test_failing_build_leaves_the_old_table(spark, tmp_path):
     path, name = str(tmp_path / "t"), "ledgerlens_test_f"
     sinks.replace_table(spark.range(3).toDF("id"), name, path)
