@@ -96,11 +96,10 @@ class Adapters:
 
     @cached_property
     def project_account(self) -> DataFrame:
-        o = self.t["orders"]
-        second = (o.where(F.col("o_orderkey") % 3 == 0)
-                  .select(F.col("o_orderkey").alias("project_id"),
-                          F.col("o_custkey").bitwiseXOR(F.lit(1)).alias("company_id")))
-        return self.project_account_view.unionByName(second)
+        company = F.col("o_custkey")
+        return self.t["orders"].select(F.col("o_orderkey").alias("project_id"), F.explode(
+            F.when(F.col("o_orderkey") % 3 == 0, F.array(company, company.bitwiseXOR(F.lit(1))))
+            .otherwise(F.array(company))).alias("company_id"))
 
     @cached_property
     def company(self) -> DataFrame:
@@ -233,10 +232,9 @@ class Adapters:
 
     @cached_property
     def project_invoice(self) -> DataFrame:
-        inv = self.invoice.select("id")
-        extra = inv.where(F.col("id") % 6 == 0).select((F.col("id") + 1).alias("project_id"),
-                                                        F.col("id").alias("invoice_id"))
-        return inv.select(F.col("id").alias("project_id"), F.col("id").alias("invoice_id")).unionByName(extra)
+        iid = F.col("id")
+        return self.invoice.select(F.explode(F.when(iid % 6 == 0, F.array(iid, iid + 1)).otherwise(F.array(iid)))
+                                   .alias("project_id"), iid.alias("invoice_id"))
 
     @cached_property
     def invoice_product(self) -> DataFrame:
