@@ -63,6 +63,16 @@ def left_join_many(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     return left.join(full, on, "inner").drop(*names)
 
 
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """``df`` dealt by ``keys`` over all of ``spark.sql.shuffle.partitions``.
+
+    Adaptive execution merges the partitions of its own shuffles into about one
+    a core, so that the sorts and hash maps of a task grow with the tables. A
+    join or grouping by ``keys`` takes over these partitions, which stay.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+
+
 def role(dim: DataFrame, prefix: str, cols: Sequence[str]) -> DataFrame:
     """One dimension in a named role: its columns renamed ``<prefix>_<col>``."""
     return dim.select(*[F.col(c).alias(f"{prefix}_{c}") for c in cols])

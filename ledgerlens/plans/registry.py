@@ -212,11 +212,15 @@ def join_chained_left(spark, sf_dir):
                               F.col("sales_product_id").alias("product"))
     ip = src.invoice_product.select(F.col("invoice_id"), F.col("sales_product_id").alias("_ip_sp"), "total")
     w = src.wave.select(F.col("project_id"), F.col("id").alias("wave_id"))
-    rows = (w.join(s, (F.col("project_id") == F.col("_s_pid")) & (F.col("wave_id") == F.col("_s_wid")), "left")
-            .join(ip, (F.col("invoice_id") == F.col("project_id")) & (F.col("_ip_sp") == F.col("product")), "left"))
+    # lines of one invoice and product are added up before they meet the waves
+    ip = ip.groupBy("invoice_id", "_ip_sp").agg(F.sum("total").alias("total"), F.count(F.lit(1)).alias("_n"))
+    rows = w.join(joins.spread(s, "_s_wid", "_s_pid"),
+                  (F.col("project_id") == F.col("_s_pid")) & (F.col("wave_id") == F.col("_s_wid")), "left")
+    rows = joins.spread(rows, "project_id", "product").join(
+        ip, (F.col("invoice_id") == F.col("project_id")) & (F.col("_ip_sp") == F.col("product")), "left")
     return (rows.groupBy("project_id", "wave_id", "product")
             .agg(money.as_money(money.to_units(F.sum("total"))).alias("invoice_total"),
-                 F.count("invoice_id").alias("n_invoice_lines")))
+                 F.coalesce(F.sum("_n"), F.lit(0)).alias("n_invoice_lines")))
 
 
 # ------------------------------------------------------------ aggregation

@@ -4,6 +4,7 @@ import re
 
 from fixtures import CURRENCIES, STATUSES, T, Source
 from ledgerlens.plans import reports
+from ledgerlens.plans.registry import QUERIES
 from conftest import rows
 
 D = T(2021, 1, 1)
@@ -36,3 +37,9 @@ def test_extended_export_is_not_dealt_by_week_or_code(spark):
     out = rows(df.select("project_id", "project_wave_id", "revenue", "rate_avg", "dc_sales_amount"))
     assert out == [(1, "1/10", 1.0, 1.5, 1 / 1.5), (1, "1/10", 1.0, 1.5, 1 / 1.5), (1, "1/11", 0.0, None, None),
                    (2, None, 0.0, None, None)]
+
+
+def test_chained_join_uses_every_shuffle_partition(spark):
+    """Merged partitions would hold more rows a task the larger the tables are."""
+    execution = QUERIES["join_chained_left"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
+    assert execution.toRdd().getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
