@@ -43,3 +43,11 @@ def test_chained_join_uses_every_shuffle_partition(spark):
     """Merged partitions would hold more rows a task the larger the tables are."""
     execution = QUERIES["join_chained_left"](spark, "/root/testdata/sf0.001")._jdf.queryExecution()
     assert execution.toRdd().getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_project_master_is_distinct_before_its_waves(spark):
+    df = reports.project_master(_source(spark))
+    top = df._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    assert "Join Inner" in next(line for line in top if "Join" in line or "Aggregate" in line)
+    assert rows(df.select("project_id", "project_wave_id", "client_company", "account_manager")) == [
+        (1, "1/10", "Company 2", "Ann Lee"), (1, "1/11", "Company 2", "Ann Lee"), (2, None, "Company 1", "Ann Lee")]
