@@ -51,3 +51,12 @@ def test_project_master_is_distinct_before_its_waves(spark):
     assert "Join Inner" in next(line for line in top if "Join" in line or "Aggregate" in line)
     assert rows(df.select("project_id", "project_wave_id", "client_company", "account_manager")) == [
         (1, "1/10", "Company 2", "Ann Lee"), (1, "1/11", "Company 2", "Ann Lee"), (2, None, "Company 1", "Ann Lee")]
+
+
+def test_sales_of_the_summary_are_dealt_by_wave_once(spark):
+    df = reports.project_summary(_source(spark))
+    dealt = _dealt_by(df)
+    assert not [k for k in dealt if re.search(r"revenue|currency_id|status_id", k)]
+    out = rows(df.select("project_id", "project_wave_id", "revenue", "sales_currency", "account_manager"))
+    assert out == [(1, "1/10", 1.0, "US Dollar", "Ann Lee"), (1, "1/10", 1.0, "US Dollar", "Ann Lee"),
+                   (1, "1/11", None, None, "Ann Lee"), (2, None, None, None, "Ann Lee")]
