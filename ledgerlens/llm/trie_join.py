@@ -21,8 +21,14 @@ are left out of the buckets where enough others remain, so that a passage that
 many documents share makes no bucket. Nothing that reaches the threshold is
 lost by any of this; a candidate's similarity is always counted in full.
 
-No group is expanded into pairs. Equal sets are one node. In a bucket the least
-node is the hub, and the tree of the others, in blocks of ``BLOCK``, is probed
+Buckets are dealt as packed hashes, sorted, and each group of sets that agree
+in many buckets goes on as one list with their number. Two sets that meet only in
+buckets of up to ``FEW`` sets are company if they share as many as they must; in a
+larger bucket the least node, its hub, is company of the others. What company
+connects is a cluster, and a cluster of up to ``BLOCK`` sets is joined in one tree.
+
+No group is expanded into pairs. Equal sets are one node. In larger clusters the
+tree of a hub's others, in blocks of ``BLOCK``, is probed
 with the hub alone. Then components are formed, and only where buckets still
 hold more than one component are sets joined in full, block against block, and
 subtrees of the probe's own component are skipped.
@@ -38,11 +44,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import broadcast_if_small, rows_as, unpacked, written
+from .common import broadcast_if_small, forget, recorded, rows_as, unpacked, written
 from .components import components
 
 #: Words in a shingle; similarity in percent.
@@ -61,6 +68,12 @@ LEAST_RANGE = 2.5
 ROUNDS = 2
 #: Up to this many differences sets meet in single shingles.
 SMALL = 4
+#: Buckets that are sorted at a time, about: those packed by a task, and those of a part that meet.
+CHUNK_ROWS, PART_ROWS = 300_000, 500_000
+#: In buckets of up to so many sets, the buckets that two sets share are counted.
+FEW = 16
+#: Sets in a row of a list at most; what packed ids number within a chunk.
+PIECE, CHUNK_SLOTS = 4096, 65_536
 
 U = np.uint64
 
@@ -380,20 +393,82 @@ def joined(meetings: DataFrame, sets: DataFrame, similarity: Similarity) -> Data
     return rows.select("meeting", "block", "node", "component", "role", "shingles").mapInArrow(run, "a long, b long")
 
 
+def _packed(found: list[np.ndarray], parts: int) -> Iterator[tuple[int, bytes, bytes]]:
+    """(part, keys, places) of each part that buckets fall into: their first 46
+    bits, sorted, as differences of 32 bits where these suffice, and their
+    places in ``found``. Buckets that differ in other bits alone meet as well,
+    which costs a comparison."""
+    keys = np.concatenate(found) >> U(18)
+    order = np.argsort(keys)
+    keys, place = keys[order], np.repeat(np.arange(len(found), dtype=np.uint16), [len(f) for f in found])[order]
+    part = ((keys >> U(14)) * U(parts)) >> U(32)
+    begins = np.flatnonzero(np.append(True, part[1:] != part[:-1]))
+    for b, e in zip(begins.tolist(), [*begins[1:].tolist(), len(keys)]):
+        steps = np.diff(keys[b:e])
+        rest = steps.astype(np.uint32) if not len(steps) or steps.max() < 2 ** 32 else steps
+        yield int(part[b]), keys[b:b + 1].tobytes() + rest.tobytes(), place[b:e].tobytes()
+
+
+def _unpacked(first: int, keys: bytes, places: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The keys and ids of a packed row."""
+    place = np.frombuffer(places, np.uint16)
+    steps = np.frombuffer(keys, U if len(keys) == 8 * len(place) else np.uint32, offset=8)
+    return np.cumsum(np.append(np.frombuffer(keys, U, 1), steps.astype(U)), dtype=U), place.astype(np.int64) + first
+
+
+def _lists(keys: np.ndarray, ids: np.ndarray) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Lists of the ids that share a key with others, each list once: two
+    hashes, the number of the piece and the number of keys of each piece of up
+    to ``PIECE`` ids; where pieces begin; the ids."""
+    order = np.argsort(keys, kind="stable")
+    same = keys[order][1:] == keys[order][:-1]
+    order = order[np.append(False, same) | np.append(same, False)] if len(keys) else order
+    order = order[np.lexsort((ids[order], keys[order]))]
+    keys, ids = keys[order], ids[order]
+    if not len(ids):
+        return [np.zeros(0, np.int64)] * 4, np.zeros(1, np.int32), ids
+    begins = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    size = np.diff(np.append(begins, len(ids)))
+    who, who2 = (np.add.reduceat(_mix(ids.view(U) + U(k)), begins) for k in (1, 1 << 62))
+    order = np.lexsort((who2, who))
+    first = np.flatnonzero(np.append(True, (np.diff(who[order]) != 0) | (np.diff(who2[order]) != 0)))
+    times, once = np.diff(np.append(first, len(order))), order[first]
+    size = size[once]
+    ids = ids[_ranges(begins[once], size)]
+    pieces = -(-size // PIECE)
+    piece = _ranges(np.zeros(len(pieces), np.int64), pieces)
+    at = np.repeat(np.cumsum(size) - size, pieces) + piece * PIECE
+    columns = [who.view(np.int64)[once], who2.view(np.int64)[once], times]
+    who, who2, times = (np.repeat(c, pieces) for c in columns)
+    return [who, who2, piece, times], np.append(at, len(ids)).astype(np.int32), ids
+
+
 def _shared(rows: DataFrame) -> DataFrame:
     """Rows of the buckets with two nodes or more, with the least as hub."""
     w = Window.partitionBy("bucket")
     return (rows.withColumn("hub", F.min("node").over(w)).withColumn("_top", F.max("node").over(w))
-            .where("hub <> _top").select("bucket", "node", "need", "hub"))
+            .where("hub <> _top").select("bucket", "node", "tag", "need", "times", "hub"))
 
 
 def _enough(rows: DataFrame) -> DataFrame:
     """Rows of the nodes that have as many buckets of a band and way as they
     share with a similar set."""
-    tag = F.col("bucket").bitwiseAND(F.lit(TAG))
-    nodes = (rows.groupBy("node", tag.alias("_tag")).agg(F.count(F.lit(1)).alias("_n"), F.max("need").alias("_need"))
-             .where("_n >= _need").select(F.col("node").alias("_node"), "_tag"))
-    return rows.join(nodes, (F.col("node") == F.col("_node")) & (tag == F.col("_tag")), "left_semi")
+    nodes = (rows.groupBy(F.col("node").alias("_node"), F.col("tag").alias("_tag"))
+             .agg(F.sum("times").alias("_n"), F.max("need").alias("_need"))
+             .where("_n >= _need").select("_node", "_tag"))
+    return rows.join(nodes, (F.col("node") == F.col("_node")) & (F.col("tag") == F.col("_tag")), "left_semi")
+
+
+def _company(rows: DataFrame) -> DataFrame:
+    """Links (a, b) that connect all sets that may be similar."""
+    sized = rows.join(rows.groupBy("bucket").agg(F.count(F.lit(1)).alias("_size")), "bucket")
+    few = sized.where(F.col("_size") <= FEW).select("bucket", "node", "tag", "need", "times")
+    other = few.select("bucket", F.col("node").alias("b"), F.col("tag").alias("_tag"), F.col("need").alias("_need"))
+    counted = (few.withColumnRenamed("node", "a").join(other, "bucket").where("a < b AND tag = _tag")
+               .groupBy("a", "b", "tag").agg(F.sum("times").alias("_n"), F.max(F.least("need", "_need")).alias("_least"))
+               .where("_n >= _least").select("a", "b"))
+    return counted.unionByName(sized.where((F.col("_size") > FEW) & (F.col("node") != F.col("hub"))).select(
+        F.col("hub").alias("a"), F.col("node").alias("b")))
 
 
 @dataclass(frozen=True)
@@ -439,41 +514,115 @@ class TrieJoin:
         return docs.select("doc_id", "key", "text").mapInArrow(
             run, "doc_id long, key long, n_shingles long, node long, check long")
 
-    def members(self, docs: DataFrame, common: np.ndarray) -> DataFrame:
-        """(bucket, node, need, hub) of the buckets with two nodes or more."""
+    def members(self, docs: DataFrame, common: np.ndarray, parts: int) -> DataFrame:
+        """(bucket, node, tag, need, times, hub) of the buckets with two nodes
+        or more. Buckets of the same sets, ``times`` of them, are one."""
         shingle, seed, similarity = self.shingle, self.seed, self.similarity
         shipped = docs.sparkSession.sparkContext.broadcast(common)
 
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            """Packed buckets by part and, in parts of their own, the sets' nodes, tags and needs."""
             done: set[int] = set()
+            found, slots, held, first = [], [], 0, TaskContext.get().partitionId() << 40
+
+            def flush() -> pa.RecordBatch:
+                rows = list(_packed(found, parts))
+                nodes, needs = (np.array([s[k] for s in slots], np.int64).tobytes() for k in (0, 1))
+                rows.append((parts + (first >> 40) % parts, nodes, needs))
+                part, keys, places = zip(*rows)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(part, pa.int64()), pa.array([first] * len(part), pa.int64()),
+                     pa.array(keys, pa.binary()), pa.array(places, pa.binary())], ["part", "first", "keys", "places"])
+
             for batch in batches:
                 for begin in range(0, batch.num_rows, 1000):
-                    nodes, found, need = [], [], []
                     for s in sets_of(batch.column(0).slice(begin, 1000).to_pylist(), shingle):
                         node = node_of(s, seed)[0]
-                        if len(s) and node not in done:
-                            done.add(node)
-                            for b, n in buckets(s, shipped.value, similarity):
-                                nodes.append(node)
-                                found.append(b)
-                                need.append(n)
+                        if not len(s) or node in done:
+                            continue
+                        done.add(node)
+                        for b, n in buckets(s, shipped.value, similarity):
+                            found.append(b)
+                            slots.append((node, (int(b[0]) & TAG) << 32 | n))
+                            held += len(b)
+                            if held >= CHUNK_ROWS or len(found) == CHUNK_SLOTS:
+                                yield flush()
+                                found, slots, held, first = [], [], 0, first + len(slots)
                     if len(done) > 1_000_000:
                         done.clear()
-                    if found:
-                        sizes = [len(f) for f in found]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.concatenate(found).view(np.int64)),
-                             pa.array(np.repeat(np.array(nodes, np.int64), sizes)),
-                             pa.array(np.repeat(np.array(need, np.int16), sizes))], ["bucket", "node", "need"])
-
-        rows = written(_shared(docs.select("text").mapInArrow(run, "bucket long, node long, need short"))
-                       .distinct(), "buckets")
+            if found:
+                yield flush()
+
+        def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held, now = [], None
+
+            def batch_of(columns, begins, ids) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, pa.int64()) for c in columns), pa.ListArray.from_arrays(begins, ids)],
+                    ["who", "who2", "piece", "times", "ids"])
+
+            for batch in batches:
+                for part, first, keys, places in zip(*(c.to_pylist() for c in batch.columns)):
+                    if part >= parts:
+                        nodes, needs = np.frombuffer(keys, np.int64), np.frombuffer(places, np.int64)
+                        yield batch_of([np.arange(len(nodes)) + first, needs, np.full(len(nodes), -1), np.ones(len(nodes))],
+                                       np.arange(len(nodes) + 1, dtype=np.int32), nodes)
+                        continue
+                    if part != now and held:
+                        yield batch_of(*_lists(*map(np.concatenate, zip(*held))))
+                        held = []
+                    now = part
+                    held.append(_unpacked(first, keys, places))
+            if held:
+                yield batch_of(*_lists(*map(np.concatenate, zip(*held))))
+
+        dealt = (docs.select("text").mapInArrow(deal, "part long, first long, keys binary, places binary")
+                 .repartition("part").sortWithinPartitions("part"))
+        lists = written(dealt.mapInArrow(meet, "who long, who2 long, piece long, times long, ids array<long>")
+                        .groupBy("who", "who2", "piece").agg(F.sum("times").alias("times"), F.first("ids").alias("ids")), "lists")
+        slots = lists.where("piece < 0").select(
+            F.col("who").alias("id"), F.col("ids")[0].alias("node"), F.shiftright("who2", 32).alias("tag"),
+            F.col("who2").bitwiseAND(F.lit(2 ** 32 - 1)).alias("need"))
+        rows = lists.where("piece >= 0").select(F.col("who").alias("bucket"), "times", F.explode("ids").alias("id"))
+        # equal sets of several tasks are one node
+        rows = (rows.join(slots, "id").groupBy("bucket", "node", "tag")
+                .agg(F.max("need").alias("need"), F.max("times").alias("times")))
+        rows = written(_shared(rows), "buckets")
         for _ in range(ROUNDS):
-            rows = written(_shared(_enough(rows).select("bucket", "node", "need")), "buckets")
+            rows = written(_shared(_enough(rows).select("bucket", "node", "tag", "need", "times")), "buckets")
         return rows
 
+    def clustered(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
+        """Links (a, b) inside each meeting of ``wanted`` (_id, key, meeting),
+        of a tree's sets at most."""
+        shingle, seed, similarity = self.shingle, self.seed, self.similarity
+        rows = (docs.select("_id", "key", "text").join(broadcast_if_small(wanted), ["_id", "key"])
+                .select("meeting", "text").repartition("meeting").sortWithinPartitions("meeting"))
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            held: dict[int, np.ndarray] = {}
+            now = None
+
+            def close() -> pa.RecordBatch:
+                node, n = np.array(list(held), np.int64), len(held)
+                found = linked(list(held.values()), np.arange(n), np.full(n, STORED + PROBE), similarity)
+                return pa.RecordBatch.from_arrays(
+                    [pa.array([node[x[k]] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+            for batch in batches:
+                for begin in range(0, batch.num_rows, 500):
+                    part = batch.slice(begin, 500)
+                    for meeting, s in zip(part.column(0).to_pylist(), sets_of(part.column(1).to_pylist(), shingle)):
+                        if meeting != now:
+                            yield close()
+                            held, now = {}, meeting
+                        held[node_of(s, seed)[0]] = s
+            yield close()
+
+        return rows.mapInArrow(run, "a long, b long")
+
     def shingle_sets(self, docs: DataFrame, wanted: DataFrame) -> DataFrame:
-        """(node, shingles) of the nodes in ``wanted`` (doc_id, key, node)."""
+        """(node, shingles) of the nodes in ``wanted`` (_id, key)."""
         shingle, seed = self.shingle, self.seed
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -494,8 +643,9 @@ class TrieJoin:
         text): nodes that are linked share a component, another node's is its own."""
         base = written(self.measured(docs), "sets")
         rows, marks = base.where(F.col("check").isNotNull()), base.where(F.col("check").isNull())
+        ident = [F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("_id"), "key"]
         nodes = rows.where("n_shingles > 0").groupBy("node").agg(
-            F.min(F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("_id"), "key")).alias("_first"),
+            F.min(F.struct(*ident)).alias("_first"), F.max("n_shingles").alias("n"),
             F.min("check").alias("_low"), F.max("check").alias("_high"))
         nodes = written(nodes, "nodes")
         if not nodes.where("_low <> _high").isEmpty():  # two sets share 64 bits: name them by others
@@ -504,19 +654,34 @@ class TrieJoin:
         least = COMMON_SHARE / 10 * rows.count()
         often = marks.groupBy("node").agg(F.sum("n_shingles").alias("n")).where(F.col("n") >= least)
         common = np.sort(np.array([r.node for r in often.select("node").collect()], np.int64).view(U))
-        members = self.members(docs, common)
-        pairs = written(members.where("node <> hub").select("hub", "node").distinct(), "hub-pairs")
-        wanted = (members.select("node").distinct().join(nodes, "node").select("_first._id", "_first.key"))
+        total = nodes.agg(F.sum("n")).first()[0] or 0
+        members = self.members(docs, common, max(1, -(-total // PART_ROWS)))
+        near = written(components(_company(members)).join(nodes, "node").select(
+            F.col("component").alias("meeting"), "node", "n", "_first._id", "_first.key"), "near")
+        small = near.groupBy("meeting").agg(
+            ((F.count(F.lit(1)) <= BLOCK) & (F.sum("n") <= BLOCK_SHINGLES)).alias("_small"))
+        near = written(near.join(small, "meeting"), "near")
         keyed = docs.withColumn("_id", F.coalesce("doc_id", F.lit(2 ** 63 - 1)))
-        sets = written(self.shingle_sets(keyed, wanted), "shingles")
-
-        sizes = sets.select("node", F.size("shingles").alias("n"))
-        links = written(joined(self._stars(pairs, sizes), sets, self.similarity), "star-links")
-        links = links.unionByName(joined(self._mixed(members, components(links), sizes), sets, self.similarity))
+        if not rows.groupBy(*ident).count().where("count > 1").isEmpty():  # a text once, or copies of a row meet in a task
+            keyed = keyed.dropDuplicates(["_id", "key"])
+        links = written(self.clustered(keyed, near.where("_small").select("_id", "key", "meeting")), "cluster-links")
+        large = near.where("NOT _small")
+        if not large.isEmpty():
+            links = links.unionByName(self._large(keyed, members, large))
         of = written(components(links), "components")
         return (rows.join(of, "node", "left")
                 .select("doc_id", "key", "n_shingles", "node", F.coalesce("component", "node").alias("component")))
 
+    def _large(self, keyed: DataFrame, members: DataFrame, large: DataFrame) -> DataFrame:
+        """Links inside the clusters that are more than a tree."""
+        members = members.drop("hub").join(large.select("node", "meeting"), "node")
+        members = written(_shared(members.withColumn("bucket", F.xxhash64("bucket", "meeting"))), "large")
+        pairs = written(members.where("node <> hub").select("hub", "node").distinct(), "hub-pairs")
+        sets = written(self.shingle_sets(keyed, large.select("_id", "key")), "shingles")
+        sizes = sets.select("node", F.size("shingles").alias("n"))
+        links = written(joined(self._stars(pairs, sizes), sets, self.similarity), "star-links")
+        return links.unionByName(joined(self._mixed(members, components(links), sizes), sets, self.similarity))
+
     @staticmethod
     def _blocks() -> Column:
         """Blocks for a group's sets: by their number, and by their shingles where they are long."""
@@ -545,7 +710,7 @@ class TrieJoin:
         i > j what does not probe itself.
         """
         held = members.join(of, "node", "left").select(
-            "bucket", "node", "need", "hub", F.coalesce("component", "node").alias("component"))
+            "bucket", "node", "tag", "need", "times", "hub", F.coalesce("component", "node").alias("component"))
         for again in range(ROUNDS + 1):  # only buckets in which sets of two components meet count now
             held = _enough(held) if again else held
             several = held.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
@@ -583,6 +748,17 @@ class TrieJoin:
         return same.unionByName(stored).unionByName(probes).select("meeting", "block", "node", "component", "role")
 
 
+def _grouped(join: TrieJoin, docs: DataFrame) -> DataFrame:
+    """``grouped``, written; the tables that led to it are deleted."""
+    own: list[str] = []
+    with recorded(own):
+        rows = join.grouped(docs)
+    rows = written(rows, "grouped")
+    for path in own:
+        forget(docs.sparkSession, path)
+    return rows
+
+
 def _keyed(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text)).alias("key"),
                        F.col(text).alias("text"))
@@ -597,7 +773,7 @@ def similar(docs: DataFrame, join: TrieJoin = TrieJoin(), doc_id: str = "doc_id"
     rows are linked like any equal texts; an empty table gives no rows; other
     columns are not read.
     """
-    rows = written(join.grouped(_keyed(docs, doc_id, text)), "grouped")
+    rows = _grouped(join, _keyed(docs, doc_id, text))
     least = rows.where("n_shingles > 0").groupBy("component").agg(F.min("doc_id").alias("component_id"))
     least = written(least, "component-ids")
     return rows.join(least, "component", "left").select(
@@ -611,7 +787,7 @@ def deduplicated(docs: DataFrame, join: TrieJoin = TrieJoin()) -> DataFrame:
     packed = rows_as(docs).select("_row", F.col("_row.doc_id").cast("long").alias("doc_id"),
                                   F.col("_row.text").alias("text"))
     keyed = packed.withColumn("key", F.xxhash64("text"))
-    rows = written(join.grouped(keyed.select("doc_id", "key", "text")), "grouped")
+    rows = _grouped(join, keyed.select("doc_id", "key", "text"))
     ident = F.struct(F.coalesce("doc_id", F.lit(2 ** 63 - 1)).alias("_id"), "key")
     first = rows.where("n_shingles > 0").groupBy("component").agg(F.min(ident).alias("_first"))
     gone = (rows.join(first, "component").where((F.col("n_shingles") > 0) & (ident != F.col("_first")))

@@ -144,3 +144,59 @@ def test_odd_rows(odd, empty):
     kept = t.deduplicated(odd, t.TrieJoin(4, t.Similarity(85)))
     assert kept.columns == odd.columns
     assert sorted((str(r.doc_id) for r in kept.collect())) == sorted(map(str, [1, 2, 3, 4, 6, 6, 9, 10, 11, None]))
+
+
+def test_packed_buckets_come_back_as_lists():
+    rng = np.random.default_rng(4)
+    pool = rng.integers(0, 2 ** 63, 300).astype(np.uint64) << np.uint64(1)
+    found = [np.unique(rng.choice(pool, 20)) for _ in range(60)] + [pool[:30]] * 3
+    expected = defaultdict(int)
+    for key in pool:
+        ids = tuple(i for i, f in enumerate(found) if key in f)
+        if len(ids) > 1:
+            expected[ids] += 1
+    parts = defaultdict(list)
+    for first, some in ((0, found[:40]), (40, found[40:])):
+        for part, keys, places in t._packed(some, 5):
+            parts[part].append(t._unpacked(first, keys, places))
+    got = defaultdict(int)
+    for held in parts.values():
+        columns, begins, ids = t._lists(*map(np.concatenate, zip(*held)))
+        for times, b, e in zip(columns[3], begins, begins[1:]):
+            got[tuple(ids[b:e].tolist())] += int(times)
+    assert len(parts) == 5 and got == expected
+
+
+def test_near_copies_keep_few_rows(spark, monkeypatch):
+    """Sets that share most of their buckets go on as lists, not as a row for each set and bucket."""
+    rng, rows, held = random.Random(3), [], {}
+    for group in range(30):
+        words = [f"w{rng.randrange(10 ** 6)}" for _ in range(400)]
+        rows += [(group * 4 + k, " ".join([f"a{k}", *words, f"z{k}"])) for k in range(4)]
+
+    def counted(df, tag, written=t.written, **options):
+        out = written(df, tag, **options)
+        held[tag] = max(held.get(tag, 0), out.count())
+        return out
+
+    monkeypatch.setattr(t, "written", counted)
+    kept = t.deduplicated(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert sorted(r.doc_id for r in kept.collect()) == [group * 4 for group in range(30)]
+    assert held["buckets"] < 20 * len(rows)  # a set of 400 words has over 100 buckets
+
+
+def test_chance_buckets_make_no_company(spark):
+    """Pairs that share fewer buckets than they must are no company, unless a bucket has many sets."""
+    columns = "bucket long, node long, tag long, need long, times long, hub long"
+    rows = [(1, 1, 0, 3, 2, 1), (1, 2, 0, 3, 2, 1), (2, 1, 0, 3, 1, 1), (2, 2, 0, 3, 1, 1), (2, 3, 0, 3, 1, 1),
+            *((9, node, 0, 3, 1, 10) for node in range(10, 10 + t.FEW + 1))]
+    got = {(r.a, r.b) for r in t._company(spark.createDataFrame(rows, columns)).collect()}
+    assert got == {(1, 2)} | {(10, node) for node in range(11, 10 + t.FEW + 1)}
+
+
+def test_shuffles_go_when_a_table_is_written(spark):
+    held = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = held.size()
+    rows = t.written(spark.range(1000).groupBy((t.F.col("id") % 7).alias("k")).count(), "test-groups")
+    assert rows.count() == 7 and held.size() <= before + 1  # that of this last count may be there
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "false") == "false"
