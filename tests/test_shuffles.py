@@ -60,3 +60,22 @@ def test_sales_of_the_summary_are_dealt_by_wave_once(spark):
     out = rows(df.select("project_id", "project_wave_id", "revenue", "sales_currency", "account_manager"))
     assert out == [(1, "1/10", 1.0, "US Dollar", "Ann Lee"), (1, "1/10", 1.0, "US Dollar", "Ann Lee"),
                    (1, "1/11", None, None, "Ann Lee"), (2, None, None, None, "Ann Lee")]
+
+
+def test_sales_and_invoices_of_the_extended_export_are_dealt_by_wave_once(spark):
+    weekly = spark.createDataFrame([], "date string, currency string, week_nr string, weekly_avg double")
+    dealt = _dealt_by(reports.extended_export(_source(spark), weekly))
+    assert dealt and not [k for k in dealt if re.search(r"(^|, )(_a_)?product(,|$)", k)]
+
+
+def test_beside_is_a_left_join(spark):
+    """Copies stay, keys that are NULL or not there have no row beside them."""
+    left = spark.createDataFrame([(1, 10, "a", 1), (1, 10, "a", 1), (1, 10, "a", 2), (1, 10, None, 3), (1, 11, "a", 4),
+                                  (None, 10, "a", 5)], "p long, w long, product string, v long")
+    right = spark.createDataFrame([(1, 10, "a", None, "x"), (1, 10, None, 7, "y"), (None, 10, "a", 8, "z"), (3, 30, "c", 9, "n")],
+                                  "q long, u long, other string, n long, t string")
+    got = reports._beside(left, ["p", "w", "product"], right, ["q", "u", "other"])
+    assert got.columns == ["p", "w", "product", "v", "n", "t"]
+    found = sorted((tuple(r) for r in got.collect()), key=lambda r: r[3])
+    assert found == [(1, 10, "a", 1, None, "x")] * 2 + [(1, 10, "a", 2, None, "x"), (1, 10, None, 3, None, None),
+                                                       (1, 11, "a", 4, None, None), (None, 10, "a", 5, None, None)]
