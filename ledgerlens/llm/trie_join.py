@@ -661,20 +661,20 @@ class TrieJoin:
         small = near.groupBy("meeting").agg(
             ((F.count(F.lit(1)) <= BLOCK) & (F.sum("n") <= BLOCK_SHINGLES)).alias("_small"))
         near = written(near.join(small, "meeting"), "near")
+        members = written(members.drop("hub").join(near.select("node", "meeting", "_small"), "node"), "labelled")
         keyed = docs.withColumn("_id", F.coalesce("doc_id", F.lit(2 ** 63 - 1)))
         if not rows.groupBy(*ident).count().where("count > 1").isEmpty():  # a text once, or copies of a row meet in a task
             keyed = keyed.dropDuplicates(["_id", "key"])
         links = written(self.clustered(keyed, near.where("_small").select("_id", "key", "meeting")), "cluster-links")
         large = near.where("NOT _small")
         if not large.isEmpty():
-            links = links.unionByName(self._large(keyed, members, large))
+            links = links.unionByName(self._large(keyed, members.where("NOT _small"), large))
         of = written(components(links), "components")
         return (rows.join(of, "node", "left")
                 .select("doc_id", "key", "n_shingles", "node", F.coalesce("component", "node").alias("component")))
 
     def _large(self, keyed: DataFrame, members: DataFrame, large: DataFrame) -> DataFrame:
         """Links inside the clusters that are more than a tree."""
-        members = members.drop("hub").join(large.select("node", "meeting"), "node")
         members = written(_shared(members.withColumn("bucket", F.xxhash64("bucket", "meeting"))), "large")
         pairs = written(members.where("node <> hub").select("hub", "node").distinct(), "hub-pairs")
         sets = written(self.shingle_sets(keyed, large.select("_id", "key")), "shingles")
@@ -709,8 +709,8 @@ class TrieJoin:
         sets probe as well. Block i meets block j: its probes for i <= j, and for
         i > j what does not probe itself.
         """
-        held = members.join(of, "node", "left").select(
-            "bucket", "node", "tag", "need", "times", "hub", F.coalesce("component", "node").alias("component"))
+        of = sizes.select("node").join(of, "node", "left").select("node", F.coalesce("component", "node").alias("component"))
+        held = members.join(of, "node").select("bucket", "node", "tag", "need", "times", "hub", "component")
         for again in range(ROUNDS + 1):  # only buckets in which sets of two components meet count now
             held = _enough(held) if again else held
             several = held.groupBy("bucket").agg(F.min("component").alias("_low"), F.max("component").alias("_high"))
